@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SECTIONS = ("tables", "cleaning", "scalars", "windows", "imputing")
+SECTIONS = (
+    "tables", "cleaning", "scalars", "windows", "imputing", "anomalies", "splitting", "labeling",
+    "training", "scoring", "profiling", "validating",
+)
 
 
 def _collect() -> tuple[dict[str, Query], dict[str, str]]:

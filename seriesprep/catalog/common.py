@@ -15,6 +15,7 @@ from seriesprep.sources.hourly import HOURLY, KINDS, read_hourly
 SIGNALS = HOURLY.signals
 EDGES = (35.0, 55.0)  # class bounds that suit the hourly means
 HORIZONS = (1, 6, 12, 24)
+SHIFT = 1.37e-8
 
 
 class Registry:
@@ -53,13 +54,18 @@ def hourly_with_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to a fixed number of digits, so two engines that add in another order agree."""
+    """Doubles to a fixed number of digits, so two engines that add in another order agree.
+
+    Means of hundredths often end in an exact half at the last digit; the small shift moves
+    these off the rounding edge.
+    """
     names = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({n: F.round(col(n), digits) for n in names}) if names else df
+    return df.withColumns({n: F.round(col(n) + F.lit(SHIFT), digits) for n in names}) if names else df
 
 
 def r6(expr: str, name: str) -> str:
-    return f"round({expr}, 6) + 0e0 AS {name}"  # adding zero turns -0.0 into 0.0
+    """The same in SQL; adding zero turns -0.0 into 0.0."""
+    return f"round({expr} + {SHIFT}, 6) + 0e0 AS {name}"
 
 
 def many(parts: Iterable[str]) -> str:

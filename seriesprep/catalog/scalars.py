@@ -82,9 +82,9 @@ def _(spark, folder):
     return table(spark, folder, "events").select("event_id", fn.to_number(text).alias("number"))
 
 
-@registry("clip_at_zero", "SELECT event_id, round(greatest(value - 20, 0), 6) AS clipped FROM events")
+@registry("clip_at_zero", f"SELECT event_id, {r6('greatest(value - 20, 0)', 'clipped')} FROM events")
 def _(spark, folder):
-    return table(spark, folder, "events").select("event_id", F.round(fn.clip_at_zero(F.col("value") - 20), 6).alias("clipped"))
+    return rounded(table(spark, folder, "events").select("event_id", fn.clip_at_zero(F.col("value") - 20).alias("clipped")))
 
 
 @registry("is_finite", "SELECT event_id, event_id % 4 = 0 AND value IS NOT NULL AS finite FROM events")

@@ -168,7 +168,7 @@ def anomalous_hours_per_day(spark, folder):
 # --- time-range frames -----------------------------------------------------------------------------
 
 def _range_sql(c: str, source: str, key: str, minimum: int, part: str = "") -> str:
-    return f"""SELECT {key}, CASE WHEN n >= {minimum} THEN round(m, 6) END AS {c}_mean_24h, CASE WHEN n >= {minimum} THEN round(s, 6) END AS {c}_std_24h
+    return f"""SELECT {key}, {r6(f'CASE WHEN n >= {minimum} THEN m END', f'{c}_mean_24h')}, {r6(f'CASE WHEN n >= {minimum} THEN s END', f'{c}_std_24h')}
       FROM (SELECT *, count({c}) OVER f AS n, avg({c}) OVER f AS m, stddev_samp({c}) OVER f AS s FROM {source}
         WINDOW f AS ({part} ORDER BY ts RANGE BETWEEN INTERVAL '23 hours 59 minutes 59.999999 seconds' PRECEDING AND CURRENT ROW))"""
 
@@ -193,12 +193,41 @@ def _(spark, folder):
 
 # --- unbounded past ----------------------------------------------------------------------------------
 
-@registry("ewm_mean")
+SPANS = (6, 12, 24)
+
+
+def _ewm_recursive() -> str:
+    """Weighted means step by step, for the short hourly series with nulls."""
+    cells = [(c, s, f"{2.0 / (s + 1)!r}") for c in SIGNALS for s in SPANS]
+    first = many(f"{c} AS y_{c}_{s}, CAST(1.0 AS DOUBLE) AS w_{c}_{s}" for c, s, _ in cells)
+    step = many(
+        f"CASE WHEN n.{c} IS NULL THEN y_{c}_{s} WHEN y_{c}_{s} IS NULL THEN n.{c} ELSE "
+        f"(w_{c}_{s} * (1 - {a}) * y_{c}_{s} + {a} * n.{c}) / (w_{c}_{s} * (1 - {a}) + {a}) END, "
+        f"CASE WHEN n.{c} IS NULL THEN w_{c}_{s} * (1 - {a}) ELSE 1.0 END" for c, s, a in cells
+    )
+    shown = many(r6(f"y_{c}_{s}", f"{c}_ewm{s}_mean") for c, s, _ in cells)
+    return f"""WITH RECURSIVE {HOURLY_SQL}, num AS (SELECT *, row_number() OVER (ORDER BY ts) AS rn FROM hourly),
+      rec AS (SELECT rn, {first} FROM num WHERE rn = 1
+        UNION ALL SELECT n.rn, {step} FROM rec r JOIN num n ON n.rn = r.rn + 1)
+      SELECT num.ts, {shown} FROM num LEFT JOIN rec ON rec.rn = num.rn - 1"""
+
+
+def _ewm_closed() -> str:
+    """Weighted means as sums over all earlier rows, for a series without nulls."""
+    sums = many(
+        r6(f"sum(b.value * power(1 - {a!r}, a.rn - 1 - b.rn) * CASE WHEN b.rn = 1 THEN 1.0 ELSE {a!r} END)", f"value_ewm{s}_mean")
+        for s in SPANS for a in [2.0 / (s + 1)]
+    )
+    return f"""WITH num AS (SELECT event_id, value, row_number() OVER (ORDER BY ts, event_id) AS rn FROM events)
+      SELECT a.event_id, {sums} FROM num a LEFT JOIN num b ON b.rn < a.rn GROUP BY a.event_id"""
+
+
+@registry("ewm_mean", _ewm_recursive())
 def _(spark, folder):
     return rounded(ewm_mean(hourly(spark, folder), HOURLY, SIGNALS).drop(*SIGNALS))
 
 
-@registry("ewm_mean_long")
+@registry("ewm_mean_long", _ewm_closed())
 def _(spark, folder):
     df = ewm_mean(events(spark, folder), EVENTS, ["value"])
     return rounded(df.drop("ts", "user_id", "event_type", "value"))

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?))$"
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
 def col(name: str) -> Column:
     """A column by its exact name, dots and parentheses included."""
-    return F.col(_quoted(name))
+    return F.col(quoted(name))
 
 
 def hour_of_day(ts: Column) -> Column:

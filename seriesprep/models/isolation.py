@@ -46,6 +46,19 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
     return nodes
 
 
+def _scores(forest: dict, raw: np.ndarray) -> np.ndarray:
+    """Walk all rows down all trees at once, level by level."""
+    x = (raw - forest["mean"]) / forest["spread"]
+    flat, width = x.ravel(), x.shape[1]
+    base = (np.arange(len(x)) * width)[:, None]
+    at = np.broadcast_to(forest["roots"], (len(x), len(forest["roots"])))
+    for _ in range(forest["levels"]):
+        goes_left = flat[base + forest["feature"][at]] <= forest["cut"][at]
+        at = np.where(goes_left, forest["left"][at], forest["right"][at])
+    score = 2.0 ** (-forest["depth"][at].mean(axis=1) / forest["norm"])
+    return np.where(np.isnan(x).any(axis=1), np.nan, score)
+
+
 class IsolationForest:
     """Fit on the training rows, flag the share ``contamination`` of them that is easiest to isolate.
 
@@ -117,33 +130,32 @@ class IsolationForestModel:
 
     def score(self, df: DataFrame, name: str = "an_score") -> DataFrame:
         """Anomaly score in (0, 1); null where a feature stays null."""
-        trees = [
-            g.sort_values("node")[["feature", "cut", "left", "right", "depth"]].to_numpy()
-            for _, g in self.nodes.groupby("tree")
-        ]
-        means = np.array([self.scale[c][0] for c in self.features])
-        spreads = np.array([self.scale[c][1] for c in self.features])
-        norm = float(_mean_depth(self.size))
-        shared = df.sparkSession.sparkContext.broadcast((trees, means, spreads, norm))
+        nodes = self.nodes.sort_values(["tree", "node"])
+        start = np.concatenate([[0], np.cumsum(nodes.groupby("tree").size().to_numpy())])
+        offset = np.repeat(start[:-1], np.diff(start))
+        at = np.arange(len(nodes))
+        leaf = nodes["feature"].to_numpy() < 0
+        # one flat table of nodes; a leaf leads back to itself
+        forest = {
+            "roots": start[:-1],
+            "feature": np.where(leaf, 0, nodes["feature"].to_numpy()),
+            "cut": nodes["cut"].to_numpy(),
+            "left": np.where(leaf, at, nodes["left"].to_numpy() + offset),
+            "right": np.where(leaf, at, nodes["right"].to_numpy() + offset),
+            "depth": nodes["depth"].to_numpy(),
+            "levels": int(np.ceil(np.log2(self.size))),
+            "mean": np.array([self.scale[c][0] for c in self.features]),
+            "spread": np.array([self.scale[c][1] for c in self.features]),
+            "norm": float(_mean_depth(self.size)),
+        }
+        shared = df.sparkSession.sparkContext.broadcast(forest)
 
         @F.pandas_udf("double")
         def path_score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            forest, mean, spread, c = shared.value
             for pdf in batches:
-                x = (pdf.to_numpy(dtype=float) - mean) / spread
-                total = np.zeros(len(x))
-                rows = np.arange(len(x))
-                for t in forest:
-                    at = np.zeros(len(x), dtype=int)
-                    inner = t[at, 0] >= 0
-                    while inner.any():
-                        i, n = rows[inner], at[inner]
-                        left = x[i, t[n, 0].astype(int)] <= t[n, 1]
-                        at[i] = np.where(left, t[n, 2], t[n, 3]).astype(int)
-                        inner = t[at, 0] >= 0
-                    total += t[at, 4]
-                score = 2.0 ** (-total / len(forest) / c)
-                yield pd.Series(np.where(np.isnan(x).any(axis=1), np.nan, score))
+                x = pdf.to_numpy(dtype=float)
+                parts = [_scores(shared.value, x[i:i + 1024]) for i in range(0, len(x), 1024)]
+                yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
         inputs = [
             F.coalesce(col(c).cast("double"), F.lit(self.medians.get(c)).cast("double")).alias(f"c{i}")

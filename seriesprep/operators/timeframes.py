@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesprep import layout
-from seriesprep.functions.scalars import col
-from seriesprep.operators.windows import exact_mean
+from seriesprep.functions.scalars import col, quoted
 from seriesprep.spec import SeriesSpec
 
 DENSE_FRAME_ROWS = 4_000
@@ -27,28 +26,33 @@ def rolling_time(
     ``dense=None`` measures the densest time bucket and chooses.
     """
     if spec.layout == "direct" and not dense:
-        w = _range_window(spec, hours)
-        return df.withColumns(_range_frame(w, columns, hours, min_periods))
+        return df.withColumns(_range_frame(_range_over(spec, hours), columns, hours, min_periods))
     if dense is None:
         dense = 2 * _densest_bucket(df, spec, hours) > DENSE_FRAME_ROWS
     pick = _by_running_sums if dense else _by_blocks
     return pick(df, spec, columns, hours, min_periods)
 
 
-def _range_window(spec: SeriesSpec, hours: int, *block: str) -> WindowSpec:
-    # the span of the frame without its first microsecond: the left end is open
-    span = F.expr(f"INTERVAL '{hours - 1}:59:59.999999' HOUR TO SECOND")
-    return Window.partitionBy(*block, *spec.by).orderBy(spec.ts).rangeBetween(
-        -span, Window.currentRow
-    )
+def _range_over(spec: SeriesSpec, hours: int, *block: str) -> Callable[[str], Column]:
+    """Turn the SQL of an aggregate into its value over ``(t - hours, t]``.
+
+    Range frames over an interval exist in SQL only. The frame is one microsecond short of
+    ``hours``, because its left end is open.
+    """
+    keys = ", ".join(quoted(k) for k in (*block, *spec.by))
+    part = f"PARTITION BY {keys} " if keys else ""
+    frame = f"RANGE BETWEEN INTERVAL '{hours - 1}:59:59.999999' HOUR TO SECOND PRECEDING AND CURRENT ROW"
+    return lambda agg: F.expr(f"{agg} OVER ({part}ORDER BY {quoted(spec.ts)} {frame})")
 
 
-def _range_frame(w: WindowSpec, columns, hours: int, min_periods: int) -> dict[str, Column]:
+def _range_frame(over: Callable[[str], Column], columns, hours: int, min_periods: int) -> dict[str, Column]:
     out: dict[str, Column] = {}
     for c in columns:
-        enough = F.count(col(c)).over(w) >= min_periods
-        spread = F.stddev_samp(col(c)).over(w)
-        out[f"{c}_mean_{hours}h"] = F.when(enough, exact_mean(c, spread, w))
+        x = quoted(c)
+        enough, spread = over(f"count({x})") >= min_periods, over(f"stddev_samp({x})")
+        # exact when all values of the frame are equal
+        mean = F.when(spread == 0, over(f"min({x})")).otherwise(over(f"avg({x})"))
+        out[f"{c}_mean_{hours}h"] = F.when(enough, mean)
         out[f"{c}_std_{hours}h"] = F.when(enough, spread)
     return out
 
@@ -67,8 +71,8 @@ def _densest_bucket(df: DataFrame, spec: SeriesSpec, hours: int) -> int:
 def _by_blocks(df, spec, columns, hours, min_periods):
     home = _bucket(spec, hours)
     copies = df.withColumn(layout.BLOCK, F.explode(F.array(home, home + 1)))
-    w = _range_window(spec, hours, layout.BLOCK)
-    out = copies.withColumns(_range_frame(w, columns, hours, min_periods))
+    over = _range_over(spec, hours, layout.BLOCK)
+    out = copies.withColumns(_range_frame(over, columns, hours, min_periods))
     return out.filter(F.col(layout.BLOCK) == home).drop(layout.BLOCK)
 
 
