@@ -100,7 +100,7 @@ def _(spark, folder):
 def _report() -> str:
     rows = [f"SELECT 'sentinel' AS phase, '{c}' AS \"column\", 'replaced' AS metric, count(*) FILTER ({c} IS NULL) AS value FROM clean" for c in SIGNALS]
     rows += [f"SELECT 'timestamp', NULL, '{m}', {e} FROM clean" for m, e in (
-        ("rows_before", "count(*)"), ("rows_bad_timestamp", "0"), ("duplicates_removed", "0"), ("rows_after", "count(*)"))]
+        ("rows_before", "count(*)"), ("rows_bad_timestamp", "0 * count(*)"), ("duplicates_removed", "0 * count(*)"), ("rows_after", "count(*)"))]
     rows += [f"SELECT 'summary', '{t}', '{m}', {e} FROM clean" for t in HOURLY.targets for m, e in (
         ("target_null", f"count(*) - count({t})"), ("target_known", f"count({t})"))]
     return " UNION ALL ".join(rows)

@@ -103,7 +103,9 @@ class IsolationForest:
             drawn = x.sample(fraction=min(1.0, 1.5 * wanted / n), seed=self.seed)
             drawn = drawn.withColumn("tree", F.floor(F.rand(self.seed + 1) * self.trees).cast("int"))
         else:
+            # every tree considers every row, and takes about twice what it needs
             drawn = x.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))))
+            drawn = drawn.filter(F.rand(self.seed + 1) < min(1.0, 2.0 * size / n))
         order = Window.partitionBy("tree").orderBy("_r")
         drawn = drawn.withColumn("_r", F.rand(self.seed + 2)).withColumn("_k", F.row_number().over(order))
         limit, seed, features = int(np.ceil(np.log2(size))), self.seed, self.features
