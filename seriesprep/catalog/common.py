@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesprep.functions.scalars import col
+from seriesprep.functions.scalars import quoted
 from seriesprep.operators.splits import Splits, split_by_ratio, split_rows
 from seriesprep.sources.hourly import HOURLY, KINDS, read_hourly
 
@@ -59,8 +58,10 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     Means of hundredths often end in an exact half at the last digit; the small shift moves
     these off the rounding edge.
     """
-    names = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({n: F.round(col(n) + F.lit(SHIFT), digits) for n in names}) if names else df
+    doubles = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return df.selectExpr(*[
+        f"round({quoted(c)} + {SHIFT}D, {digits}) AS {quoted(c)}" if c in doubles else quoted(c) for c in df.columns
+    ])
 
 
 def r6(expr: str, name: str) -> str:

@@ -127,9 +127,9 @@ def _(spark, folder):
 def _(spark, folder):
     from seriesprep import layout
 
-    def build(w):
-        ahead = {f"y__{t}": F.lead(t, 1).over(w) for t in HOURLY.targets}
-        return ahead | {f"p__{t}": F.lag(t, 1).over(w) for t in HOURLY.targets}
+    def build(over):
+        ahead = {f"y__{t}": over(f"lead({t}, 1)") for t in HOURLY.targets}
+        return ahead | {f"p__{t}": over(f"lag({t}, 1)") for t in HOURLY.targets}
 
     df = layout.with_rows(hourly_with_split(spark, folder), KEYED, build, before=1, after=1)
     df = df.withColumns({f"y_naive__{t}": F.col(t) for t in HOURLY.targets})

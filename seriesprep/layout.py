@@ -16,11 +16,12 @@ blocked  Rows are range-partitioned by (series, time, tiebreak), sorted and stag
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from seriesprep.functions.scalars import quoted
 from seriesprep.spec import SeriesSpec
 from seriesprep.workspace import stage
 
@@ -134,22 +135,50 @@ def _finish(df: DataFrame, asked: SeriesSpec) -> DataFrame:
     return df.drop(BLOCK) if asked.layout == "indexed" else df.drop(BLOCK, POS)
 
 
+class Over:
+    """Spells window expressions over one series, or one block of it, as SQL text.
+
+    A feature table has hundreds of window expressions; as text each is one call into the
+    JVM instead of half a dozen.
+    """
+
+    def __init__(self, keys: Sequence[str], order: Sequence[str]):
+        part = f"PARTITION BY {', '.join(map(quoted, keys))} " if keys else ""
+        self.window = f"{part}ORDER BY {', '.join(map(quoted, order))}"
+
+    def text(self, call: str, first: int | None = None, last: int | None = None) -> str:
+        """``call`` over the rows ``first`` .. ``last`` relative to the current one (or no frame)."""
+        if first is None:
+            return f"{call} OVER ({self.window})"
+        return f"{call} OVER ({self.window} ROWS BETWEEN {_bound(first)} AND {_bound(last)})"
+
+    def __call__(self, call: str, first: int | None = None, last: int | None = None) -> Column:
+        return F.expr(self.text(call, first, last))
+
+
+def _bound(offset: int) -> str:
+    if offset == 0:
+        return "CURRENT ROW"
+    return f"{-offset} PRECEDING" if offset < 0 else f"{offset} FOLLOWING"
+
+
 def with_rows(
     df: DataFrame,
     spec: SeriesSpec,
-    build: Callable[[WindowSpec], dict[str, Column]],
+    build: Callable[[Over], dict[str, Column]],
     before: int = 0,
     after: int = 0,
 ) -> DataFrame:
     """Add window columns that look at most ``before`` rows back and ``after`` rows ahead.
 
-    ``build`` gets the ordered window of one series (or of one block of it) and returns the
-    new columns by name. All of them share one shuffle and one sort.
+    ``build`` spells the new columns over the ordered window of one series (or of one block
+    of it). All of them share one shuffle and one sort.
     """
     placed, how = place(df, spec, max(before, after))
     if how.layout == "direct":
-        return placed.withColumns(build(series_window(how)))
-    blocks = halo_blocks(placed, how, before, after).withColumns(build(block_window(how)))
+        return placed.withColumns(build(Over(how.by, order_keys(how))))
+    blocks = halo_blocks(placed, how, before, after)
+    blocks = blocks.withColumns(build(Over([BLOCK, *how.by], [POS])))
     if before or after:
         blocks = blocks.filter(F.col(BLOCK) == home_block(how))
     return _finish(blocks, spec)
@@ -184,18 +213,23 @@ def block_carry(
     return match_rows(blocks, table, keys)
 
 
+def _from_start(w: WindowSpec, keys: list[str], backwards: bool) -> WindowSpec:
+    order = [F.col(k).desc() if backwards else F.col(k).asc() for k in keys]
+    return w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def carry(
     df: DataFrame, spec: SeriesSpec, values: dict[str, Column], backwards: bool = False
 ) -> DataFrame:
-    """Add, per name, the last non-null value up to and including the row (or the next one)."""
+    """Add, per name, the last non-null value up to and including the row (or the next one).
+
+    Looking ahead is looking back in reversed order: a frame that ends with the series would
+    be evaluated anew for every row.
+    """
     placed, how = place(df, spec)
-    first_to_row = (Window.unboundedPreceding, 0)
-    row_to_last = (0, Window.unboundedFollowing)
-    frame = row_to_last if backwards else first_to_row
-    pick = F.first if backwards else F.last
     if how.layout == "direct":
-        w = series_window(how).rowsBetween(*frame)
-        return placed.withColumns({n: pick(c, ignorenulls=True).over(w) for n, c in values.items()})
+        w = _from_start(Window.partitionBy(*how.by), order_keys(how), backwards)
+        return placed.withColumns({n: F.last(c, ignorenulls=True).over(w) for n, c in values.items()})
     blocks = halo_blocks(placed, how, 0, 0)
     edge = F.min_by if backwards else F.max_by
     summaries = {
@@ -204,9 +238,9 @@ def carry(
     joined = block_carry(
         blocks, how, summaries, lambda n, w: F.last(n, ignorenulls=True).over(w), backwards
     )
-    w = block_window(how).rowsBetween(*frame)
+    w = _from_start(Window.partitionBy(BLOCK, *how.by), [POS], backwards)
     out = joined.withColumns({
-        n: F.coalesce(pick(c, ignorenulls=True).over(w), F.col(f"_c{i}"))
+        n: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_c{i}"))
         for i, (n, c) in enumerate(values.items())
     })
     return _finish(out.drop(*summaries), spec)

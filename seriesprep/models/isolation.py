@@ -131,7 +131,14 @@ class IsolationForestModel:
         self.nodes, self.size, self.threshold = nodes, size, threshold
 
     def score(self, df: DataFrame, name: str = "an_score") -> DataFrame:
-        """Anomaly score in (0, 1); null where a feature stays null."""
+        """Anomaly score in (0, 1); null where a feature stays null.
+
+        Scoring is all arithmetic, so rows that come in fewer partitions than there are cores
+        are spread first.
+        """
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
         nodes = self.nodes.sort_values(["tree", "node"])
         start = np.concatenate([[0], np.cumsum(nodes.groupby("tree").size().to_numpy())])
         offset = np.repeat(start[:-1], np.diff(start))

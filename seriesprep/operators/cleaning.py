@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesprep.functions.scalars import col, to_number
+from seriesprep.functions.scalars import col, quoted, to_number
 from seriesprep.spec import SeriesSpec
 
 SENTINEL = -200.0
@@ -134,7 +134,7 @@ def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def select_present(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """The columns that exist, in the given order."""
-    return df.select(*[col(n) for n in names if n in df.columns])
+    return df.select(*[quoted(n) for n in names if n in df.columns])
 
 
 def slice_time(df: DataFrame, spec: SeriesSpec, start: datetime, end: datetime) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesprep import layout
 from seriesprep.functions.quantiles import exact_quantiles
-from seriesprep.functions.scalars import clip_at_zero, col
+from seriesprep.functions.scalars import clip_at_zero, col, quoted
 from seriesprep.spec import SeriesSpec
 
 
@@ -56,9 +56,8 @@ def fill_rolling(df: DataFrame, spec: SeriesSpec, columns: Sequence[str], size:
     placed, how = layout.place(df, spec, size)
     filled = ffill(placed, how, columns)
 
-    def build(w: WindowSpec):
-        frame = w.rowsBetween(-(size - 1), 0)
-        return {c: F.coalesce(col(c), F.avg(col(c)).over(frame)) for c in columns}
+    def build(over: layout.Over):
+        return {c: F.coalesce(col(c), over(f"avg({quoted(c)})", 1 - size, 0)) for c in columns}
 
     out = layout.with_rows(filled, how, build, before=size - 1)
     return out if spec.layout == "indexed" else out.drop(layout.POS)

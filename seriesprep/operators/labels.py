@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesprep import layout
-from seriesprep.functions.scalars import bin_left_closed, bin_right_closed, col
+from seriesprep.functions.scalars import bin_left_closed, bin_right_closed, col, quoted
+from seriesprep.layout import Over
 from seriesprep.metrics import rmse_expr
 from seriesprep.spec import SeriesSpec
 
@@ -20,9 +21,13 @@ HORIZONS = (1, 6, 12, 24)
 CO_EDGES = (1.5, 2.5)  # fixed values: low / mid / high carbon monoxide
 
 
+def _ahead(c: str, h: int) -> str:
+    return f"lead({quoted(c)}, {h})"
+
+
 def label_regression(df: DataFrame, spec: SeriesSpec, target: str, h: int) -> DataFrame:
     """``y`` h rows ahead and ``y_naive`` now; rows with either missing are dropped."""
-    out = layout.with_rows(df, spec, lambda w: {"y": F.lead(col(target), h).over(w)}, after=h)
+    out = layout.with_rows(df, spec, lambda over: {"y": over(_ahead(target, h))}, after=h)
     return out.withColumn("y_naive", col(target)).dropna(subset=["y", "y_naive"])
 
 
@@ -34,8 +39,8 @@ def label_multi(
     Training also needs every current value; scoring keeps rows without one
     (``require_current=False``).
     """
-    def build(w: WindowSpec):
-        return {f"y__{t}": F.lead(col(t), h).over(w) for t in targets}
+    def build(over: Over):
+        return {f"y__{t}": over(_ahead(t, h)) for t in targets}
 
     out = layout.with_rows(df, spec, build, after=h).withColumns({f"y_naive__{t}": col(t) for t in targets})
     needed = [f"y__{t}" for t in targets]
@@ -48,7 +53,7 @@ def label_class(
     df: DataFrame, spec: SeriesSpec, target: str, h: int, edges: Sequence[float] = CO_EDGES
 ) -> DataFrame:
     """Left-closed class ahead (``y``) and now (``y_naive``); rows with either missing dropped."""
-    out = layout.with_rows(df, spec, lambda w: {"y": F.lead(col(target), h).over(w)}, after=h)
+    out = layout.with_rows(df, spec, lambda over: {"y": over(_ahead(target, h))}, after=h)
     return out.withColumns({
         "y": bin_left_closed(F.col("y"), edges), "y_naive": bin_left_closed(col(target), edges)
     }).dropna(subset=["y", "y_naive"])
@@ -59,11 +64,11 @@ def label_horizons(
     edges: Sequence[float] | None = None, name: str = "{t}_tplus_{h}",
 ) -> DataFrame:
     """All horizons side by side in one window pass; with ``edges`` as right-closed classes."""
-    def build(w: WindowSpec):
+    def build(over: Over):
         out: dict[str, Column] = {}
         for t in targets:
             for h in horizons:
-                ahead = F.lead(col(t), h).over(w)
+                ahead = over(_ahead(t, h))
                 out[name.format(t=t, h=h)] = ahead if edges is None else bin_right_closed(ahead, edges)
         return out
 
@@ -77,8 +82,8 @@ def label_single(
     """One future value or right-closed class; unlabeled rows are dropped unless kept."""
     label = name or f"{target}_target"
 
-    def build(w: WindowSpec):
-        ahead = F.lead(col(target), h).over(w)
+    def build(over: Over):
+        ahead = over(_ahead(target, h))
         return {label: ahead if edges is None else bin_right_closed(ahead, edges)}
 
     out = layout.with_rows(df, spec, build, after=h)
@@ -104,12 +109,12 @@ def baseline_seasonal(
 
 
 def _baseline(df, spec, targets, horizons, group, back) -> DataFrame:
-    def build(w: WindowSpec):
+    def build(over: Over):
         out: dict[str, Column] = {}
         for i, t in enumerate(targets):
-            out[f"_b{i}"] = F.lag(col(t), back).over(w) if back else col(t)
+            out[f"_b{i}"] = over(f"lag({quoted(t)}, {back})") if back else col(t)
             for h in horizons:
-                out[f"_y{i}_{h}"] = F.lead(col(t), h).over(w)
+                out[f"_y{i}_{h}"] = over(_ahead(t, h))
         return out
 
     work = layout.with_rows(df, spec, build, before=back, after=max(horizons))

@@ -32,7 +32,7 @@ def is_sorted_unique(df: DataFrame, spec: SeriesSpec, ordinal: str | None = None
         return repeats.select("repeated_times", F.lit(None).cast("long").alias("out_of_order"))
     along = spec.using(ts=ordinal, tiebreak=())
     narrow = df.select(*spec.by, col(ordinal), col(spec.ts).alias("_t"))
-    before = layout.with_rows(narrow, along, lambda w: {"_p": F.lag("_t", 1).over(w)}, before=1)
+    before = layout.with_rows(narrow, along, lambda over: {"_p": over("lag(_t, 1)")}, before=1)
     order = before.agg(F.count_if(F.col("_t") < F.col("_p")).alias("out_of_order"))
     # two single-row tables
     return repeats.join(F.broadcast(order))

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesprep import layout
-from seriesprep.functions.scalars import col
+from seriesprep.functions.scalars import col, quoted
+from seriesprep.layout import Over
 from seriesprep.spec import SeriesSpec
 
 MAX_LAG = 48
@@ -21,59 +22,54 @@ ROLL_WINDOWS = (3, 6, 12, 24)
 
 # --- expressions over one ordered window; used alone or many in one select ---------------
 
-def lag_exprs(w: WindowSpec, columns: Sequence[str], lags: Sequence[int], name: str = "{c}_lag_{k}"):
-    return {name.format(c=c, k=k): F.lag(col(c), k).over(w) for c in columns for k in lags}
+def lag_exprs(over: Over, columns: Sequence[str], lags: Sequence[int], name: str = "{c}_lag_{k}"):
+    return {name.format(c=c, k=k): over(f"lag({quoted(c)}, {k})") for c in columns for k in lags}
 
 
-def lead_exprs(w: WindowSpec, columns: Sequence[str], horizons: Sequence[int], name: str):
-    return {name.format(c=c, h=h): F.lead(col(c), h).over(w) for c in columns for h in horizons}
+def lead_exprs(over: Over, columns: Sequence[str], horizons: Sequence[int], name: str):
+    return {name.format(c=c, h=h): over(f"lead({quoted(c)}, {h})") for c in columns for h in horizons}
 
 
-def rolling_past_exprs(w: WindowSpec, columns: Sequence[str], windows: Sequence[int]):
+def rolling_past_exprs(over: Over, columns: Sequence[str], windows: Sequence[int]):
     out: dict[str, Column] = {}
     for c in columns:
         for size in windows:
-            frame = w.rowsBetween(-size, -1)
-            out[f"{c}_roll{size}_mean"] = F.avg(col(c)).over(frame)
-            out[f"{c}_roll{size}_std"] = F.stddev_pop(col(c)).over(frame)
+            out[f"{c}_roll{size}_mean"] = over(f"avg({quoted(c)})", -size, -1)
+            out[f"{c}_roll{size}_std"] = over(f"stddev_pop({quoted(c)})", -size, -1)
     return out
 
 
-def moving_average_exprs(w: WindowSpec, columns, windows, strict: bool, name: str):
+def moving_average_exprs(over: Over, columns, windows, strict: bool, name: str):
     out: dict[str, Column] = {}
     for c in columns:
         for size in windows:
-            frame = w.rowsBetween(-(size - 1), 0)
-            mean = F.avg(col(c)).over(frame)
+            mean = over.text(f"avg({quoted(c)})", 1 - size, 0)
             if strict:
-                mean = F.when(F.count(col(c)).over(frame) == size, mean)
-            out[name.format(c=c, w=size)] = mean
+                known = over.text(f"count({quoted(c)})", 1 - size, 0)
+                mean = f"CASE WHEN {known} = {size} THEN {mean} END"
+            out[name.format(c=c, w=size)] = F.expr(mean)
     return out
 
 
-def diff_exprs(w: WindowSpec, columns: Sequence[str]):
-    return {f"{c}_diff_1": col(c) - F.lag(col(c), 1).over(w) for c in columns}
+def diff_exprs(over: Over, columns: Sequence[str]):
+    return {f"{c}_diff_1": F.expr(f"{quoted(c)} - {over.text(f'lag({quoted(c)}, 1)')}") for c in columns}
 
 
-def exact_mean(c: str, spread: Column, frame: WindowSpec) -> Column:
-    """Frame mean that is exact when all values are equal, so rounding never looks like a jump."""
-    return F.when(spread == 0, F.min(col(c)).over(frame)).otherwise(F.avg(col(c)).over(frame))
+def zscore_past_exprs(over: Over, columns, size: int = 24, min_periods: int = 12, k: float = 3.0):
+    """Past-only z-score flags; a zero spread with a different value counts as an anomaly.
 
-
-def zscore_past_exprs(w: WindowSpec, columns, size: int = 24, min_periods: int = 12, k: float = 3.0):
-    """Past-only z-score flags; a zero spread with a different value counts as an anomaly."""
+    With a zero spread the value is compared with the minimum, not the mean, so rounding never
+    looks like a jump.
+    """
     out: dict[str, Column] = {}
-    frame = w.rowsBetween(-size, -1)
     for c in columns:
-        spread = F.stddev_pop(col(c)).over(frame)
-        mean = exact_mean(c, spread, frame)
-        known = col(c).isNotNull() & (F.count(col(c)).over(frame) >= min_periods)
-        gap = F.abs(col(c) - mean)
-        flag = (
-            F.when(known & (spread > 0), (gap > F.lit(float(k)) * spread).cast("double"))
-            .when(known & (gap > 0), F.lit(1.0))
+        x = quoted(c)
+        spread = over.text(f"stddev_pop({x})", -size, -1)
+        out[f"{c}_is_anom"] = F.expr(
+            f"CASE WHEN {x} IS NULL OR {over.text(f'count({x})', -size, -1)} < {min_periods} THEN NULL"
+            f" WHEN {spread} > 0 THEN CAST(abs({x} - {over.text(f'avg({x})', -size, -1)}) > {float(k)}D * {spread} AS DOUBLE)"
+            f" WHEN {x} <> {over.text(f'min({x})', -size, -1)} THEN 1D END"
         )
-        out[f"{c}_is_anom"] = flag
     return out
 
 
@@ -84,7 +80,7 @@ def lag_features(
     name: str = "{c}_lag_{k}",
 ) -> DataFrame:
     """The value k rows back, per column and lag."""
-    return layout.with_rows(df, spec, lambda w: lag_exprs(w, columns, lags, name), before=max(lags))
+    return layout.with_rows(df, spec, lambda over: lag_exprs(over, columns, lags, name), before=max(lags))
 
 
 def lead_target(
@@ -93,7 +89,7 @@ def lead_target(
 ) -> DataFrame:
     """The value h rows ahead, per column and horizon."""
     return layout.with_rows(
-        df, spec, lambda w: lead_exprs(w, columns, horizons, name), after=max(horizons)
+        df, spec, lambda over: lead_exprs(over, columns, horizons, name), after=max(horizons)
     )
 
 
@@ -102,7 +98,7 @@ def rolling_past(
 ) -> DataFrame:
     """Mean and population std of the previous rows, the current one excluded."""
     return layout.with_rows(
-        df, spec, lambda w: rolling_past_exprs(w, columns, windows), before=max(windows)
+        df, spec, lambda over: rolling_past_exprs(over, columns, windows), before=max(windows)
     )
 
 
@@ -115,7 +111,7 @@ def moving_average(
     ``strict`` asks for W known values; otherwise one is enough.
     """
     return layout.with_rows(
-        df, spec, lambda w: moving_average_exprs(w, columns, windows, strict, name),
+        df, spec, lambda over: moving_average_exprs(over, columns, windows, strict, name),
         before=max(windows) - 1,
     )
 
@@ -124,14 +120,13 @@ def rolling_stats(
     df: DataFrame, spec: SeriesSpec, column: str, size: int = 24, min_periods: int = 8, ddof: int = 1
 ) -> DataFrame:
     """Inclusive rolling mean and std of one column as a table; incomplete rows are dropped."""
-    spread = F.stddev_samp if ddof else F.stddev_pop
+    x, spread = quoted(column), "stddev_samp" if ddof else "stddev_pop"
 
-    def build(w: WindowSpec):
-        frame = w.rowsBetween(-(size - 1), 0)
-        enough = F.count(col(column)).over(frame) >= min_periods
+    def build(over: Over):
+        enough = over(f"count({x})", 1 - size, 0) >= min_periods
         return {
-            "rolling_mean": F.when(enough, F.avg(col(column)).over(frame)),
-            "rolling_std": F.when(enough, spread(col(column)).over(frame)),
+            "rolling_mean": F.when(enough, over(f"avg({x})", 1 - size, 0)),
+            "rolling_std": F.when(enough, over(f"{spread}({x})", 1 - size, 0)),
         }
 
     kept = [*spec.by, spec.ts, *spec.tiebreak]
@@ -144,7 +139,7 @@ def rolling_stats(
 
 def diff1(df: DataFrame, spec: SeriesSpec, columns: Sequence[str]) -> DataFrame:
     """First difference to the previous row."""
-    return layout.with_rows(df, spec, lambda w: diff_exprs(w, columns), before=1)
+    return layout.with_rows(df, spec, lambda over: diff_exprs(over, columns), before=1)
 
 
 def zscore_flag_past(
@@ -153,5 +148,5 @@ def zscore_flag_past(
 ) -> DataFrame:
     """1.0 where a value is over k stds from the mean of the previous rows; null if undecided."""
     return layout.with_rows(
-        df, spec, lambda w: zscore_past_exprs(w, columns, size, min_periods, k), before=size
+        df, spec, lambda over: zscore_past_exprs(over, columns, size, min_periods, k), before=size
     )

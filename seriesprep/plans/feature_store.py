@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import DataFrame
 
 from seriesprep import layout
-from seriesprep.functions.scalars import calendar, col, cyclical, day_of_week, hour_of_day, is_weekend
+from seriesprep.functions.scalars import calendar, col, cyclical, day_of_week, hour_of_day, is_weekend, quoted
 from seriesprep.operators.cleaning import sentinel_to_null
 from seriesprep.operators.ewm import EWM_SPANS, ewm_mean
 from seriesprep.operators.windows import (
@@ -28,24 +28,24 @@ def feature_store(
     """
     signals = [c for c in spec.signals if c in df.columns]
     keys = list(dict.fromkeys([*spec.by, spec.ts, *spec.tiebreak]))
-    base = df.select(*[col(c) for c in keys + signals])
+    base = df.select(*map(quoted, keys + signals))
     reach = max([max_lag, anomaly_size, *roll])
     placed, how = layout.place(base, spec, reach)
     if spans:
         placed = ewm_mean(placed, how, signals, spans)
 
-    def build(w: WindowSpec):
+    def build(over: layout.Over):
         return (
-            lag_exprs(w, signals, range(1, max_lag + 1))
-            | rolling_past_exprs(w, signals, roll)
-            | diff_exprs(w, [c for c in spec.features if c in signals])
-            | zscore_past_exprs(w, [c for c in spec.targets if c in signals], anomaly_size)
+            lag_exprs(over, signals, range(1, max_lag + 1))
+            | rolling_past_exprs(over, signals, roll)
+            | diff_exprs(over, [c for c in spec.features if c in signals])
+            | zscore_past_exprs(over, [c for c in spec.targets if c in signals], anomaly_size)
         )
 
     out = layout.with_rows(placed, how, build, before=reach).drop(layout.POS)
     ts = col(spec.ts)
     out = out.withColumns(calendar(ts) | {"is_weekend": is_weekend(ts)} | cyclical(ts))
-    return out.select(*[col(c) for c in feature_names(keys, signals, spec, max_lag, roll, spans)])
+    return out.select(*map(quoted, feature_names(keys, signals, spec, max_lag, roll, spans)))
 
 
 def feature_names(keys, signals, spec: SeriesSpec, max_lag, roll, spans) -> list[str]:
@@ -70,8 +70,8 @@ def temporal_features(
     signals = [c for c in spec.signals if c in df.columns]
     clean = sentinel_to_null(df)
 
-    def build(w: WindowSpec):
-        return lag_exprs(w, signals, lags, "{c}_lag{k}") | moving_average_exprs(w, signals, windows, False, "{c}_MA{w}")
+    def build(over: layout.Over):
+        return lag_exprs(over, signals, lags, "{c}_lag{k}") | moving_average_exprs(over, signals, windows, False, "{c}_MA{w}")
 
     reach = max(max(lags), max(windows) - 1)
     out = layout.with_rows(clean, spec, build, before=reach)
@@ -82,8 +82,8 @@ def tree_features(
     df: DataFrame, spec: SeriesSpec, target: str, lags: Sequence[int] = (1, 6, 12, 24), windows: Sequence[int] = ROLL_WINDOWS
 ) -> DataFrame:
     """Hour, weekday, month, lags and strict moving averages of the target."""
-    def build(w: WindowSpec):
-        return lag_exprs(w, [target], lags) | moving_average_exprs(w, [target], windows, True, "{c}_ma_{w}")
+    def build(over: layout.Over):
+        return lag_exprs(over, [target], lags) | moving_average_exprs(over, [target], windows, True, "{c}_ma_{w}")
 
     out = layout.with_rows(df, spec, build, before=max(max(lags), max(windows) - 1))
     return out.withColumns(calendar(col(spec.ts), "weekday"))

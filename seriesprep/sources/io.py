@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from seriesprep.functions.scalars import col, nan_to_null
+from seriesprep.functions.scalars import col, nan_to_null, quoted
 from seriesprep.operators.cleaning import dedup_first, drop_null_timestamp, parse_timestamp
 from seriesprep.spec import SeriesSpec, safe_names
 
@@ -58,7 +58,7 @@ def drop_empty_columns(df: DataFrame) -> tuple[DataFrame, list[str]]:
         F.max(F.length(F.trim(col(n).cast("string")))).alias(f"_{i}") for i, n in enumerate(names)
     ]).first()
     empty = [n for i, n in enumerate(names) if not filled[i]]
-    return df.select(*[col(n) for n in names if n not in empty]), empty
+    return df.select(*[quoted(n) for n in names if n not in empty]), empty
 
 
 def normalize_names(df: DataFrame, safe: bool = False) -> tuple[DataFrame, dict[str, str]]:
@@ -70,7 +70,7 @@ def normalize_names(df: DataFrame, safe: bool = False) -> tuple[DataFrame, dict[
 def order_columns(df: DataFrame, preferred: Sequence[str]) -> DataFrame:
     """The preferred columns that exist, then all others in their order."""
     first = [n for n in preferred if n in df.columns]
-    return df.select(*[col(n) for n in first + [n for n in df.columns if n not in first]])
+    return df.select(*[quoted(n) for n in first + [n for n in df.columns if n not in first]])
 
 
 def _load(spark: SparkSession, path: str) -> DataFrame:
