@@ -129,10 +129,9 @@ def _with_past(blocks: DataFrame, spec: SeriesSpec, columns, cells, keys) -> Dat
             else:
                 for part in (lead, first, tail, mean, factor):
                     part.append(None)
-        row = {k: table.column(k)[:1] for k in keys}
-        row |= {"n": [n], "lead": [lead], "first": [first], "tail": [tail],
-                "mean": [mean], "factor": [factor]}
-        return pa.table(row)
+        row = {k: table.column(k)[:1] for k in keys} | {"n": [n]}
+        parts = {"lead": lead, "first": first, "tail": tail, "mean": mean, "factor": factor}
+        return pa.table(row | {k: pa.array([v], pa.list_(pa.float64())) for k, v in parts.items()})
 
     summary = narrow.groupBy(*keys).applyInArrow(summarise, summary_schema)
     past_schema = T.StructType(key_fields + [
