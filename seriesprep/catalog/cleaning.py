@@ -11,6 +11,7 @@ from seriesprep.catalog.common import (
 )
 from seriesprep.operators import cleaning as op
 from seriesprep.operators.labels import label_horizons
+from seriesprep.operators.validate import side_by_side
 from seriesprep.sources.hourly import HOURLY, raw_text_table
 from seriesprep.spec import SeriesSpec
 
@@ -53,7 +54,7 @@ def _(spark, folder):
     spec = SeriesSpec(ts="stamp")
     raw = table(spark, folder, "events").select(F.when(F.col("event_id") % 40 != 3, F.col("ts")).alias("stamp"))
     kept = op.drop_null_timestamp(raw, spec).agg(F.count(F.lit(1)).alias("rows_after"))
-    return op.count_null_timestamp(raw, spec).join(F.broadcast(kept))  # single rows
+    return side_by_side(op.count_null_timestamp(raw, spec), kept)
 
 
 @registry("dedup_first", """

@@ -7,12 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesprep.catalog.common import EDGES, SIGNALS, Registry, hourly_with_split, rounded, table
+from seriesprep.catalog.common import EDGES, SIGNALS, Registry, hourly, hourly_splits, hourly_with_split, rounded, table
 from seriesprep.functions.scalars import bin_left_closed
 from seriesprep.models import estimators as est
 from seriesprep.models import mlp, sweep
-from seriesprep.operators import labels
-from seriesprep.plans.feature_store import tree_features
+from seriesprep.operators import anomaly, labels
+from seriesprep.plans import forecast
+from seriesprep.plans.feature_store import boosting_features, feature_store, tree_features
 from seriesprep.sources.hourly import HOURLY
 from seriesprep.workspace import fresh_path
 
@@ -148,3 +149,25 @@ def _scores(predicted, y):
     naive = F.col(y) - F.col("y_naive")
     return rounded(predicted.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(gap * gap)).alias("rmse"), F.sqrt(F.avg(naive * naive)).alias("rmse_naive")))
+
+
+@registry("forecast_sweep")
+def _(spark, folder):
+    df, features = boosting_features(hourly_with_split(spark, folder), KEYED, HOURLY.targets)
+    kept = anomaly.anomaly_filter(anomaly.anomaly_flags(hourly_with_split(spark, folder), HOURLY, HOURLY.features, isolation=False))
+    clean, _ = boosting_features(kept.select("ts", "split", *SIGNALS), KEYED, HOURLY.targets)
+    fit = lambda train, prep, label: est.fit_gbt_regressor(train, prep, label, stages=10)
+    return rounded(sweep.forecast_sweep(
+        {"vanilla": df, "clean": clean}, HOURLY, ["click"], features, fit, (1,), "median", refit=False, seasonal=True))
+
+
+@registry("train_and_evaluate")
+def _(spark, folder):
+    df = feature_store(hourly(spark, folder), HOURLY, max_lag=3, roll=(3, 24), spans=(6,))
+    splits = hourly_splits(df, purge_hours=24)
+    task = forecast.Task("multi", ("click", "error"), 1)
+    model, _ = forecast.train(df, HOURLY, splits, task, mlp.Net(**QUICK))
+    path = fresh_path(spark, "mlp")
+    model.save(spark, path)
+    scores, _ = forecast.evaluate(mlp.MlpModel.load(spark, path), df, HOURLY, splits, task)
+    return rounded(scores)

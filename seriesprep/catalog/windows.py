@@ -308,3 +308,21 @@ def _(spark, folder):
 def _(spark, folder):
     df = hourly_with_split(spark, folder).select("ts", "split", "click")
     return rounded(plan.tree_features(df, HOURLY.keyed("split"), "click"))
+
+
+def _between(c: str) -> str:
+    """Linear in time between the known neighbours of the split, constant beyond them."""
+    at = f"CASE WHEN {c} IS NOT NULL THEN epoch_us(ts) END"
+    back = "(PARTITION BY split ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ahead = "(PARTITION BY split ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    p, n = f"last_value({c} IGNORE NULLS) OVER {back}", f"first_value({c} IGNORE NULLS) OVER {ahead}"
+    pt, nt = f"last_value({at} IGNORE NULLS) OVER {back}", f"first_value({at} IGNORE NULLS) OVER {ahead}"
+    return r6(f"coalesce({c}, {p} + ({n} - {p}) * (epoch_us(ts) - {pt}) / nullif({nt} - {pt}, 0), {p}, {n})", c)
+
+
+@registry("boosting_features", f"""WITH {SPLIT_SQL}, lagged AS (SELECT *, {many(
+      f"lag({c}, 1) OVER (PARTITION BY split ORDER BY ts) AS {c}_lag1" for c in HOURLY.targets)} FROM splitted)
+    SELECT ts, split, {many(_between(c) for c in (*HOURLY.features, *[f'{t}_lag1' for t in HOURLY.targets]))} FROM lagged""")
+def _(spark, folder):
+    df, names = plan.boosting_features(hourly_with_split(spark, folder), HOURLY.keyed("split"), HOURLY.targets)
+    return rounded(df.select("ts", "split", *[n for n in names if n not in ("hour", "weekday", "month")]))

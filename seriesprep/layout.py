@@ -17,18 +17,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from seriesprep.functions.scalars import quoted
+from seriesprep.functions.scalars import col, quoted
 from seriesprep.spec import SeriesSpec
 from seriesprep.workspace import stage
 
 ROWS_PER_SORT_TASK = 1_000_000
-MAX_BLOCK_ROWS = 1_000_000
+MAX_BLOCK_ROWS = 250_000
 MIN_BLOCK_ROWS = 1024
-MAX_BROADCAST_PARTS = 200_000
+MAX_COLLECTED_PARTS = 200_000
 POS, BLOCK = "_pos", "_block"
 _SHIFT = 33  # monotonically_increasing_id keeps the partition number above bit 33
 
@@ -89,14 +90,16 @@ def number_rows(df: DataFrame, spec: SeriesSpec, total: int) -> DataFrame:
     )
     staged = stage(ordered, "series")
     part = F.shiftright("_mid", _SHIFT)
-    # one row per sort task: the only table here that is ordered as a whole
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        staged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
-    if parts <= MAX_BROADCAST_PARTS:
-        starts = F.broadcast(starts)
+    counts = staged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per sort task
+    if parts <= MAX_COLLECTED_PARTS:
+        sizes = dict(sorted(tuple(r) for r in counts.collect()))
+        ends = list(accumulate(sizes.values(), initial=0))
+        starts = F.broadcast(df.sparkSession.createDataFrame(
+            list(zip(sizes, ends)), "_part long, _start long"))
+    else:
+        before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     low_bits = F.col("_mid").bitwiseAND(F.lit((1 << _SHIFT) - 1))
     return (
         staged.withColumn("_part", part)
@@ -184,12 +187,27 @@ def with_rows(
     return _finish(blocks, spec)
 
 
-def match_rows(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on the keys where null keys match, too."""
+def match_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on the keys where null keys match, too; the result has the left one's keys."""
     names = {k: f"_r{i}" for i, k in enumerate(keys)}
     right = right.withColumnsRenamed(names)
-    on = [F.col(k).eqNullSafe(F.col(r)) for k, r in names.items()]
-    return left.join(right, on, "left").drop(*names.values())
+    on = [col(k).eqNullSafe(F.col(r)) for k, r in names.items()]
+    return left.join(right, on, how).drop(*names.values())
+
+
+def join_carry(blocks: DataFrame, table: DataFrame, spec: SeriesSpec, names: Sequence[str]) -> DataFrame:
+    """Give the rows of each block what its series brings along from other blocks.
+
+    Series lie one after the other, so at most one of a block's series comes in from outside:
+    ``table`` has at most one row per block. Joining on the block alone leaves the rows
+    partitioned the way the block windows need them, and rows of other series get nulls.
+    """
+    renamed = {k: f"_k{i}" for i, k in enumerate(spec.by)}
+    joined = blocks.join(table.withColumnsRenamed(renamed), BLOCK, "left")
+    same = F.lit(True)
+    for k, r in renamed.items():
+        same = same & col(k).eqNullSafe(F.col(r))
+    return joined.withColumns({n: F.when(same, F.col(n)) for n in names}).drop(*renamed.values())
 
 
 def block_carry(
@@ -202,15 +220,16 @@ def block_carry(
     """Join to each row what the earlier (or later) blocks of its series leave behind.
 
     ``summaries`` aggregates each (block, series); ``merge`` combines them over the blocks
-    before the row's own. The summary table has one row per block and series. The join uses
-    the keys of the block windows, so it adds no shuffle of the rows.
+    before the row's own. The table of summaries has one row per block and series.
     """
-    keys = [BLOCK, *spec.by]
     order = F.col(BLOCK).desc() if backwards else F.col(BLOCK).asc()
     earlier = Window.partitionBy(*spec.by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    table = blocks.groupBy(*keys).agg(*[c.alias(n) for n, c in summaries.items()])
-    table = table.select(*keys, *[merge(n, earlier).alias(n) for n in summaries])
-    return match_rows(blocks, table, keys)
+    table = blocks.groupBy(BLOCK, *spec.by).agg(*[c.alias(n) for n, c in summaries.items()])
+    table = table.select(
+        BLOCK, *spec.by, *[merge(n, earlier).alias(n) for n in summaries],
+        F.count(F.lit(1)).over(earlier).alias("_before"),
+    ).filter("_before > 0").drop("_before")
+    return join_carry(blocks, table, spec, list(summaries))
 
 
 def _from_start(w: WindowSpec, keys: list[str], backwards: bool) -> WindowSpec:

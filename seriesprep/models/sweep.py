@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesprep.functions.scalars import bin_right_closed, col
-from seriesprep.metrics import macro_scores, rmse_finite
+from seriesprep.metrics import compare_datasets, macro_scores, rmse_finite
 from seriesprep.models import estimators
 from seriesprep.models.estimators import Forecaster, Preparation
 from seriesprep.operators.labels import HORIZONS, baseline_seasonal, label_horizons
@@ -116,6 +116,11 @@ def regression_sweep(
     return _result_table(df, cells, schema), cells
 
 
+def forecast_sweep(datasets: dict[str, DataFrame], *args, **options) -> DataFrame:
+    """The regression sweep on several versions of the data, for example with and without anomalies."""
+    return compare_datasets({name: regression_sweep(df, *args, **options)[0] for name, df in datasets.items()})
+
+
 def _seasonal_scores(labeled, spec, targets, horizons, split) -> dict[tuple[str, int], float]:
     keyed = spec.keyed(split)
     scores = baseline_seasonal(labeled, keyed, targets, horizons, group=[split])

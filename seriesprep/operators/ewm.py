@@ -157,7 +157,7 @@ def _with_past(blocks: DataFrame, spec: SeriesSpec, columns, cells, keys) -> Dat
         cols = {k: table.column(k) for k in keys}
         cols["_y"] = pa.array(past, pa.list_(pa.float64()))
         cols["_w"] = pa.array(weights, pa.list_(pa.float64()))
-        return pa.table(cols)
+        return pa.table(cols).slice(1)  # nothing comes into the first block of a series
 
     past = summary.groupBy(*spec.by).applyInArrow(chain, past_schema)
-    return layout.match_rows(blocks, past, keys)
+    return layout.join_carry(blocks, past, spec, ["_y", "_w"])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesprep import layout
@@ -189,11 +189,8 @@ def standard_scale(df: DataFrame, train: DataFrame, columns: Sequence[str]):
 def class_weights(train: DataFrame, label: str = "y", classes: int = 3) -> DataFrame:
     """Weight n / (classes * count) per class that occurs."""
     counts = train.groupBy(col(label).alias(label)).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("_total"))
-    # one row of totals, one row per class
-    return counts.join(F.broadcast(total)).select(
-        label, "n", (F.col("_total") / (F.lit(float(classes)) * F.col("n"))).alias("weight")
-    )
+    total = F.sum("n").over(Window.partitionBy())  # over one row per class
+    return counts.select(label, "n", (total / (F.lit(float(classes)) * F.col("n"))).alias("weight"))
 
 
 def with_class_weights(df: DataFrame, weights: DataFrame, label: str = "y", name: str = "weight") -> DataFrame:

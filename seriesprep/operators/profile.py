@@ -16,6 +16,7 @@ from seriesprep.operators.windows import rolling_stats
 from seriesprep.spec import SeriesSpec
 
 QUARTILES = (0.25, 0.5, 0.75)
+PAIRS_PER_PASS = 400
 
 
 def table_summary(df: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -140,7 +141,8 @@ def mean_by_dow(df: DataFrame, spec: SeriesSpec, columns: Sequence[str]) -> Data
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair over the rows that have both, null for constants.
 
-    One aggregate for the pairs above the diagonal; the matrix is mirrored from it.
+    Aggregates for the pairs on and above the diagonal, some hundred at a time; the other
+    half mirrors them.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     cells: dict[tuple[int, int], Column] = {}
@@ -150,12 +152,18 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
             x, y = col(a).cast("double"), col(b).cast("double")
             sx, sy = F.stddev_pop(F.when(y.isNotNull(), x)), F.stddev_pop(F.when(x.isNotNull(), y))
             cells[i, j] = F.try_divide(F.covar_pop(x, y), sx * sy)
-    wide = df.agg(*[c.alias(f"_{i}_{j}") for (i, j), c in cells.items()])
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"_{min(i, j)}_{max(i, j)}").alias("corr"))
-        for i, a in enumerate(names) for j, b in enumerate(names)
-    ])
-    return wide.select(F.explode(rows).alias("_r")).select("_r.*")
+    out = None
+    keys = list(cells)
+    for at in range(0, len(keys), PAIRS_PER_PASS):
+        part = keys[at:at + PAIRS_PER_PASS]
+        wide = df.agg(*[cells[i, j].alias(f"_{i}_{j}") for i, j in part])
+        entries = [(i, j, f"_{i}_{j}") for i, j in part] + [(j, i, f"_{i}_{j}") for i, j in part if i != j]
+        rows = F.array(*[
+            F.struct(F.lit(names[i]).alias("x"), F.lit(names[j]).alias("y"), F.col(c).alias("corr")) for i, j, c in entries
+        ])
+        table = wide.select(F.explode(rows).alias("_r")).select("_r.*")
+        out = table if out is None else out.unionByName(table)
+    return out
 
 
 def rolling_volatility(df: DataFrame, spec: SeriesSpec, column: str, size: int = 24, min_periods: int = 8) -> DataFrame:

@@ -12,6 +12,8 @@ from seriesprep.functions.scalars import col, quoted
 from seriesprep.spec import SeriesSpec
 
 DENSE_FRAME_ROWS = 4_000
+FRAMES_PER_BLOCK = 8
+HOUR = 3_600_000_000  # in microseconds
 
 
 def rolling_time(
@@ -21,7 +23,7 @@ def rolling_time(
     """Mean and sample std over ``(t - hours, t]`` as ``{c}_mean_{h}h`` and ``{c}_std_{h}h``.
 
     A range frame costs its row count for every row, so it serves series whose frames hold
-    few rows: on blocks of one frame length, each with the rows of the block before.
+    few rows: on blocks of a few frame lengths, each with the rows just before it.
     Dense series take running sums instead, whose cost does not depend on the density.
     ``dense=None`` measures the densest time bucket and chooses.
     """
@@ -57,10 +59,13 @@ def _range_frame(over: Callable[[str], Column], columns, hours: int, min_periods
     return out
 
 
-def _bucket(spec: SeriesSpec, hours: int) -> Column:
+def _micros(spec: SeriesSpec) -> Column:
     origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    micros = F.timestamp_diff("MICROSECOND", origin, col(spec.ts))
-    return F.floor(micros / F.lit(hours * 3_600_000_000)).cast("long")
+    return F.timestamp_diff("MICROSECOND", origin, col(spec.ts))
+
+
+def _bucket(spec: SeriesSpec, hours: int) -> Column:
+    return F.floor(_micros(spec) / F.lit(hours * HOUR)).cast("long")
 
 
 def _densest_bucket(df: DataFrame, spec: SeriesSpec, hours: int) -> int:
@@ -69,8 +74,11 @@ def _densest_bucket(df: DataFrame, spec: SeriesSpec, hours: int) -> int:
 
 
 def _by_blocks(df, spec, columns, hours, min_periods):
-    home = _bucket(spec, hours)
-    copies = df.withColumn(layout.BLOCK, F.explode(F.array(home, home + 1)))
+    """Blocks of several frame lengths; the rows of a block's last frame also serve the next block."""
+    size = hours * FRAMES_PER_BLOCK
+    home = _bucket(spec, size)
+    near_end = _micros(spec) - home * F.lit(size * HOUR) >= F.lit((size - hours) * HOUR)
+    copies = df.withColumn(layout.BLOCK, F.explode(F.array_compact(F.array(home, F.when(near_end, home + 1)))))
     over = _range_over(spec, hours, layout.BLOCK)
     out = copies.withColumns(_range_frame(over, columns, hours, min_periods))
     return out.filter(F.col(layout.BLOCK) == home).drop(layout.BLOCK)
@@ -84,17 +92,15 @@ def _by_running_sums(df, spec, columns, hours, min_periods):
     to keep the sums small; spreads below 1e-5 of the distance to it count as zero.
     """
     centre = df.agg(*[
-        F.percentile_approx(col(c), 0.5, 1000).alias(f"_m{i}") for i, c in enumerate(columns)
-    ])
+        F.percentile_approx(col(c).cast("double"), 0.5, 1000).alias(f"_{i}") for i, c in enumerate(columns)
+    ]).first()
+    centre = [F.lit(m if m is not None else 0.0) for m in centre]
     sums: dict[str, Column] = {}
     for i, c in enumerate(columns):
-        x = col(c) - F.col(f"_m{i}")
+        x = col(c) - centre[i]
         sums |= {f"_n{i}": F.count(x).cast("double"), f"_s{i}": F.sum(x), f"_q{i}": F.sum(x * x)}
-    # one row of centres
-    centred = df.join(F.broadcast(centre))
-    times = centred.groupBy(*spec.by, col(spec.ts).alias("_t")).agg(
-        *[F.coalesce(s, F.lit(0.0)).alias(n) for n, s in sums.items()],
-        *[F.first(f"_m{i}").alias(f"_m{i}") for i in range(len(columns))],
+    times = df.groupBy(*spec.by, col(spec.ts).alias("_t")).agg(
+        *[F.coalesce(s, F.lit(0.0)).alias(n) for n, s in sums.items()]
     )
     enters = F.struct(F.col("_t").alias("at"), F.lit(1).alias("kind"))
     leaves = F.struct(
@@ -113,7 +119,7 @@ def _by_running_sums(df, spec, columns, hours, min_periods):
         left = q - F.try_divide(s * s, n)
         left = F.when(left > F.abs(q) * 1e-10, left).otherwise(F.lit(0.0))
         enough = n >= min_periods
-        out[f"{c}_mean_{hours}h"] = F.when(enough, F.col(f"_m{i}") + F.try_divide(s, n))
+        out[f"{c}_mean_{hours}h"] = F.when(enough, centre[i] + F.try_divide(s, n))
         out[f"{c}_std_{hours}h"] = F.when(enough & (n > 1), F.sqrt(F.try_divide(left, n - 1)))
     stats = frames.filter(F.col("_kind") == 1).select(
         *spec.by, F.col("_t").alias(spec.ts), *[v.alias(k) for k, v in out.items()]

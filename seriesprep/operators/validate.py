@@ -19,6 +19,14 @@ from seriesprep.spec import SeriesSpec
 CHECKS = "check string, column string, status string, count long"
 
 
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """Single-row tables with different columns as one row."""
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.unionByName(row, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])
+
+
 def is_sorted_unique(df: DataFrame, spec: SeriesSpec, ordinal: str | None = None) -> DataFrame:
     """Times that occur more than once, and rows out of time order along the ingest ``ordinal``.
 
@@ -34,8 +42,7 @@ def is_sorted_unique(df: DataFrame, spec: SeriesSpec, ordinal: str | None = None
     narrow = df.select(*spec.by, col(ordinal), col(spec.ts).alias("_t"))
     before = layout.with_rows(narrow, along, lambda over: {"_p": over("lag(_t, 1)")}, before=1)
     order = before.agg(F.count_if(F.col("_t") < F.col("_p")).alias("out_of_order"))
-    # two single-row tables
-    return repeats.join(F.broadcast(order))
+    return side_by_side(repeats, order)
 
 
 def check_columns(df: DataFrame, spec: SeriesSpec, essential: Sequence[str] | None = None) -> DataFrame:
@@ -77,7 +84,7 @@ def expected_from_raw(
 def common_timestamps(expected: DataFrame, clean: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Keys in both tables."""
     keys = [*spec.by, spec.ts]
-    return expected.select(*keys).join(clean.select(*keys).distinct(), keys, "left_semi")
+    return layout.match_rows(expected.select(*keys), clean.select(*keys).distinct(), keys, "inner")
 
 
 def _paired(raw: DataFrame, clean: DataFrame, spec: SeriesSpec, columns: Sequence[str], targets_kept: bool):
@@ -89,7 +96,7 @@ def _paired(raw: DataFrame, clean: DataFrame, spec: SeriesSpec, columns: Sequenc
         raw = raw.filter(F.coalesce(*marked).isNotNull())
     left = raw.select(*keys, *[numeric_like(raw, c).alias(f"_r{i}") for i, c in enumerate(names)])
     right = clean.select(*keys, *[numeric_like(clean, c).alias(f"_c{i}") for i, c in enumerate(names)])
-    return left.join(right, keys), names
+    return layout.match_rows(left, right, keys, "inner"), names
 
 
 def check_sentinel(
@@ -184,7 +191,6 @@ def one_sided_times(expected: DataFrame, clean: DataFrame, spec: SeriesSpec) ->
     """Times found in only one of the tables, which the other checks pass over."""
     keys = [*spec.by, spec.ts]
     a, b = expected.select(*keys).distinct(), clean.select(*keys).distinct()
-    only_raw = a.join(b, keys, "left_anti").agg(F.count(F.lit(1)).alias("only_raw"))
-    only_clean = b.join(a, keys, "left_anti").agg(F.count(F.lit(1)).alias("only_clean"))
-    # two single-row tables
-    return only_raw.join(F.broadcast(only_clean))
+    only_raw = a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_raw"))
+    only_clean = b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_clean"))
+    return side_by_side(only_raw, only_clean)

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from seriesprep import layout
-from seriesprep.functions.scalars import calendar, col, cyclical, day_of_week, hour_of_day, is_weekend, quoted
+from seriesprep.functions.scalars import calendar, col, cyclical, day_of_week, hour_of_day, is_weekend, quoted, with_calendar
 from seriesprep.operators.cleaning import sentinel_to_null
+from seriesprep.operators.impute import interpolate_time
 from seriesprep.operators.ewm import EWM_SPANS, ewm_mean
 from seriesprep.operators.windows import (
     MAX_LAG, ROLL_WINDOWS, diff_exprs, lag_exprs, moving_average_exprs, rolling_past_exprs, zscore_past_exprs,
@@ -87,3 +88,20 @@ def tree_features(
 
     out = layout.with_rows(df, spec, build, before=max(max(lags), max(windows) - 1))
     return out.withColumns(calendar(col(spec.ts), "weekday"))
+
+
+def boosting_features(df: DataFrame, spec: SeriesSpec, targets: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Features for boosting: non-target signals, calendar and lag 1 of each target, gaps interpolated.
+
+    Targets keep their gaps, since labels are made from them. Calendar columns that are there
+    are kept. Returns the frame and the feature names; nulls that are left take the training
+    median in the preparation of the model.
+    """
+    df = with_calendar(df, spec.ts, overwrite=False)
+    placed, how = layout.place(df, spec, 1)
+    lagged = layout.with_rows(placed, how, lambda over: lag_exprs(over, targets, [1], "{c}_lag{k}"), before=1)
+    gappy = [c for c in spec.features if c in df.columns] + [f"{t}_lag1" for t in targets]
+    out = interpolate_time(lagged, how, gappy)
+    if spec.layout != "indexed":
+        out = out.drop(layout.POS)
+    return out, [*gappy, "hour", "weekday", "month"]

@@ -96,12 +96,24 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_blocked_plan_sorts_only_the_table_of_parts_in_one_task(spark):
+def test_blocked_plans_have_no_single_task_and_no_cross_join(spark):
     events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     spec = SeriesSpec(ts="ts", tiebreak=("event_id",), layout="blocked")
-    plan = _plan(windows.lag_features(events, spec, ["value"], (1, 48)))
-    assert plan.count("SinglePartition") == 1
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    for op in (
+        lambda: windows.lag_features(events, spec, ["value"], (1, 48)),
+        lambda: layout.row_index(events, spec.using(by=("event_type",))),
+        lambda: impute.bfill(events, spec.using(by=("event_type",)), ["value"]),
+    ):
+        plan = _plan(op())
+        assert "SinglePartition" not in plan
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_table_of_parts_can_stay_distributed(frame, monkeypatch):
+    spec = SPEC.using(layout="blocked", block_rows=32)
+    expected = by_id(layout.place(frame, spec)[0])
+    monkeypatch.setattr(layout, "MAX_COLLECTED_PARTS", 0)
+    pd.testing.assert_frame_equal(by_id(layout.place(frame, spec)[0]), expected)
 
 
 def test_time_slice_reaches_the_scan(spark):
