@@ -33,7 +33,7 @@ FAULTY_SQL = CLEAN_SQL + """, faulty AS (SELECT * REPLACE (CASE WHEN hour(ts) =
 
 
 @registry("check_columns", " UNION ALL ".join(
-    f"SELECT 'column_present' AS \"check\", '{c}' AS \"column\", 'pass' AS status, 0 AS count" for c in ("ts", *SIGNALS))
+    f"SELECT 'column_present' AS \"check\", '{c}' AS \"column\", 'pass' AS status, CAST(0 AS BIGINT) AS count" for c in ("ts", *SIGNALS))
     + " UNION ALL SELECT 'column_present', 'absent', 'fail', 1 UNION ALL SELECT 'timestamp_parses', 'ts', 'pass', 0")
 def _(spark, folder):
     return op.check_columns(hourly(spark, folder), HOURLY, [*SIGNALS, "absent"])
@@ -49,7 +49,7 @@ def _(spark, folder):
     return op.common_timestamps(op.expected_from_raw(raw(spark, folder), HOURLY), faulty_clean(spark, folder), HOURLY)
 
 
-@registry("one_sided_times", f"WITH {FAULTY_SQL} SELECT (SELECT count(*) FROM clean ANTI JOIN faulty USING (ts)) AS only_raw, 0 AS only_clean")
+@registry("one_sided_times", f"WITH {FAULTY_SQL} SELECT (SELECT count(*) FROM clean ANTI JOIN faulty USING (ts)) AS only_raw, CAST(0 AS BIGINT) AS only_clean")
 def _(spark, folder):
     return op.one_sided_times(op.expected_from_raw(raw(spark, folder), HOURLY), faulty_clean(spark, folder), HOURLY)
 

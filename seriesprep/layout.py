@@ -27,6 +27,7 @@ from seriesprep.spec import SeriesSpec
 from seriesprep.workspace import stage
 
 ROWS_PER_SORT_TASK = 1_000_000
+LEAST_SORT_ROWS = 10_000
 MAX_BLOCK_ROWS = 250_000
 MIN_BLOCK_ROWS = 1024
 MAX_COLLECTED_PARTS = 200_000
@@ -59,10 +60,6 @@ def place(df: DataFrame, spec: SeriesSpec, reach: int = 0) -> tuple[DataFrame, S
     """Settle the layout. Call it once and pass the result on to share one sort among operators."""
     if spec.layout in ("direct", "indexed"):
         return df, spec
-    if spec.layout == "auto" and not spec.by:
-        cap = spec.max_direct_rows
-        if df.select(spec.ts).limit(cap + 1).count() <= cap:
-            return df, spec.using(layout="direct")
     longest, total = longest_series(df, spec)
     if spec.layout == "auto" and longest <= spec.max_direct_rows:
         return df, spec.using(layout="direct")
@@ -80,7 +77,11 @@ def number_rows(df: DataFrame, spec: SeriesSpec, total: int) -> DataFrame:
     tasks. Rows equal in all keys are ordered by a hash of the whole row, which keeps a
     recomputed task identical.
     """
-    parts = max(_partitions(df), math.ceil(total / ROWS_PER_SORT_TASK))
+    parts = max(
+        math.ceil(total / ROWS_PER_SORT_TASK),
+        min(_partitions(df), math.ceil(total / LEAST_SORT_ROWS)),
+        1,
+    )
     keys = [F.col(c) for c in (*spec.by, *order_keys(spec))]
     keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     ordered = (
@@ -189,7 +190,7 @@ def with_rows(
 
 def match_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on the keys where null keys match, too; the result has the left one's keys."""
-    names = {k: f"_r{i}" for i, k in enumerate(keys)}
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
     right = right.withColumnsRenamed(names)
     on = [col(k).eqNullSafe(F.col(r)) for k, r in names.items()]
     return left.join(right, on, how).drop(*names.values())

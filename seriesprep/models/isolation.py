@@ -14,6 +14,7 @@ from seriesprep.functions.scalars import col
 from seriesprep.operators.impute import fit_medians, impute_saved
 from seriesprep.operators.labels import apply_scale, fit_scale
 
+CHUNK = 4096  # rows scored at a time
 NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, depth double"
 
 
@@ -53,9 +54,9 @@ def _scores(forest: dict, raw: np.ndarray) -> np.ndarray:
     base = (np.arange(len(x)) * width)[:, None]
     at = np.broadcast_to(forest["roots"], (len(x), len(forest["roots"])))
     for _ in range(forest["levels"]):
-        goes_left = flat[base + forest["feature"][at]] <= forest["cut"][at]
-        at = np.where(goes_left, forest["left"][at], forest["right"][at])
-    score = 2.0 ** (-forest["depth"][at].mean(axis=1) / forest["norm"])
+        goes_right = flat.take(base + forest["feature"].take(at)) > forest["cut"].take(at)
+        at = forest["children"].take(2 * at + goes_right)
+    score = 2.0 ** (-forest["depth"].take(at).mean(axis=1) / forest["norm"])
     return np.where(np.isnan(x).any(axis=1), np.nan, score)
 
 
@@ -149,8 +150,7 @@ class IsolationForestModel:
             "roots": start[:-1],
             "feature": np.where(leaf, 0, nodes["feature"].to_numpy()),
             "cut": nodes["cut"].to_numpy(),
-            "left": np.where(leaf, at, nodes["left"].to_numpy() + offset),
-            "right": np.where(leaf, at, nodes["right"].to_numpy() + offset),
+            "children": np.where(leaf[:, None], at[:, None], nodes[["left", "right"]].to_numpy() + offset[:, None]).ravel(),
             "depth": nodes["depth"].to_numpy(),
             "levels": int(np.ceil(np.log2(self.size))),
             "mean": np.array([self.scale[c][0] for c in self.features]),
@@ -163,7 +163,7 @@ class IsolationForestModel:
         def path_score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
             for pdf in batches:
                 x = pdf.to_numpy(dtype=float)
-                parts = [_scores(shared.value, x[i:i + 1024]) for i in range(0, len(x), 1024)]
+                parts = [_scores(shared.value, x[i:i + CHUNK]) for i in range(0, len(x), CHUNK)]
                 yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
         inputs = [

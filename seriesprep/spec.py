@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, replace
 
-# Column roles of the hourly air-quality layout (raw header names).
+# Column roles of the hourly sensor table (raw header names).
 RAW_TARGETS = ("CO(GT)", "NMHC(GT)", "C6H6(GT)", "NOx(GT)", "NO2(GT)")
 RAW_SENSORS = ("PT08.S1(CO)", "PT08.S2(NMHC)", "PT08.S3(NOx)", "PT08.S4(NO2)", "PT08.S5(O3)")
 RAW_WEATHER = ("T", "RH", "AH")
@@ -46,6 +46,9 @@ class SeriesSpec:
         return replace(self, **changes)
 
 
+SENSORS = SeriesSpec(targets=RAW_TARGETS, features=RAW_SENSORS + RAW_WEATHER)
+
+
 def safe_name(raw: str) -> str:
     """Lower case, every run of other characters to one underscore, none at the end."""
     return re.sub(r"[^0-9a-z]+", "_", raw.strip().lower()).rstrip("_")

@@ -18,3 +18,11 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def many_sort_tasks(monkeypatch):
+    """Let small test tables use several sort tasks, as large ones do."""
+    from seriesprep import layout
+
+    monkeypatch.setattr(layout, "LEAST_SORT_ROWS", 50)
