@@ -296,15 +296,15 @@ def _summed(parts: DataFrame, schema: str) -> DataFrame:
 
 def _epoch(rows: DataFrame, state: State, net: Net, rate: float, epoch: int, n_in: int, width: int, train: bool):
     """One pass: (averaged new state, training loss and validation loss of the given state)."""
-    shared = rows.sparkSession.sparkContext.broadcast(state)
+    shared = rows.sparkSession.sparkContext.broadcast((state.w, state.m, state.v, state.steps))
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = shared.value
-        own = State(list(start.w), list(start.m), list(start.v), start.steps)
+        w, m, v, steps = shared.value
+        own = State(list(w), list(m), list(v), steps)
         sums = {True: [0.0, 0.0], False: [0.0, 0.0]}
         rng = np.random.default_rng([net.seed, epoch])
         for x, y, weight, is_train in _batches(frames, n_in, width, net.batch):
-            z, _, _ = _forward(start.w, x, net)
+            z, _, _ = _forward(w, x, net)
             loss, _ = _loss(z, y, weight, net)
             sums[is_train][0] += loss
             sums[is_train][1] += len(x)

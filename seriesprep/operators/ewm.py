@@ -25,6 +25,7 @@ from seriesprep.functions.scalars import col
 from seriesprep.spec import SeriesSpec
 
 EWM_SPANS = (6, 12, 24)
+PAST = "_past"
 
 
 def _known(table: pa.Table, name: str) -> np.ndarray:
@@ -70,31 +71,28 @@ def ewm_mean(
         keys, order = list(how.by), layout.order_keys(how)
         work = placed
     out_schema = T.StructType(
-        [f for f in work.schema if f.name not in ("_y", "_w")]
+        [f for f in work.schema if f.name != PAST]
         + [T.StructField(n, T.DoubleType()) for n in names]
     )
     arrow_names = [f.name for f in out_schema][: -len(names)]
     sort_by = [(k, "ascending") for k in order]
 
     def local(table: pa.Table) -> pa.Table:
-        table = table.sort_by(sort_by)
-        past, weight = [None] * len(cells), [0.0] * len(cells)
-        if blocked and table.column("_y")[0].is_valid:
-            past = table.column("_y")[0].as_py()
-            weight = table.column("_w")[0].as_py()
-        out = table.select(arrow_names)
+        past = weight = np.full(len(cells), np.nan)
+        if blocked and table.column(PAST).null_count < table.num_rows:
+            past, weight = np.frombuffer(table.column(PAST).drop_null()[0].as_py()).reshape(2, -1)
+        table = out = table.select(arrow_names).sort_by(sort_by)
         for i, (c, a) in enumerate(cells):
             x = _known(table, c)
             mean, factor = _alone(x, a)
-            if past[i] is not None:
+            if not np.isnan(past[i]):
                 at = np.flatnonzero(~np.isnan(x))
                 if len(at):
                     first = x[at[0]]
                     y = _blend(past[i], weight[i] * (1.0 - a) ** (at[0] + 1), first, a)
                     mean = mean + factor * (y - first)
                 mean = np.where(np.isnan(mean), past[i], mean)
-            start = np.nan if past[i] is None else past[i]
-            shifted = np.concatenate([[start], mean[:-1]])
+            shifted = np.concatenate([[past[i]], mean[:-1]])
             out = out.append_column(names[i], pa.array(shifted, mask=np.isnan(shifted)))
         return out
 
@@ -105,7 +103,10 @@ def ewm_mean(
 
 
 def _with_past(blocks: DataFrame, spec: SeriesSpec, columns, cells, keys) -> DataFrame:
-    """Join to each block the means (``_y``) and weights (``_w``) that its series brings along."""
+    """Join to each block the means and weights that its series brings along, packed in ``_past``.
+
+    Packed because list columns are slow to hand over to Python row by row.
+    """
     key_fields = [blocks.schema[k] for k in keys]
     narrow = blocks.select(*keys, layout.POS, *[col(c) for c in dict.fromkeys(columns)])
     summary_schema = T.StructType(key_fields + [
@@ -134,30 +135,29 @@ def _with_past(blocks: DataFrame, spec: SeriesSpec, columns, cells, keys) -> Dat
         return pa.table(row | {k: pa.array([v], pa.list_(pa.float64())) for k, v in parts.items()})
 
     summary = narrow.groupBy(*keys).applyInArrow(summarise, summary_schema)
-    past_schema = T.StructType(key_fields + [
-        T.StructField("_y", T.ArrayType(T.DoubleType())),
-        T.StructField("_w", T.ArrayType(T.DoubleType())),
-    ])
+    past_schema = T.StructType(key_fields + [T.StructField(PAST, T.BinaryType())])
 
     def chain(table: pa.Table) -> pa.Table:
         table = table.sort_by(layout.BLOCK)
-        y, w = [None] * len(cells), [0.0] * len(cells)
-        past, weights = [], []
+        y, w = [np.nan] * len(cells), [np.nan] * len(cells)
+        past = []
         for row in table.to_pylist():
-            past.append(list(y)), weights.append(list(w))
+            past.append(np.array([y, w]).tobytes())
             for i, (_, a) in enumerate(cells):
                 if row["first"][i] is None:
                     w[i] *= (1.0 - a) ** row["n"]
                     continue
                 end, x = row["mean"][i], row["first"][i]
-                if y[i] is not None:
+                if not np.isnan(y[i]):
                     start = _blend(y[i], w[i] * (1.0 - a) ** row["lead"][i], x, a)
                     end += row["factor"][i] * (start - x)
                 y[i], w[i] = end, (1.0 - a) ** row["tail"][i]
         cols = {k: table.column(k) for k in keys}
-        cols["_y"] = pa.array(past, pa.list_(pa.float64()))
-        cols["_w"] = pa.array(weights, pa.list_(pa.float64()))
+        cols[PAST] = pa.array(past, pa.binary())
         return pa.table(cols).slice(1)  # nothing comes into the first block of a series
 
     past = summary.groupBy(*spec.by).applyInArrow(chain, past_schema)
-    return layout.join_carry(blocks, past, spec, ["_y", "_w"])
+    joined = layout.join_carry(blocks, past, spec, [PAST])
+    # the series that comes in starts the block, so its first row is enough to hold the past
+    starts = F.col(layout.POS) == F.col(layout.BLOCK) * spec.block_rows
+    return joined.withColumn(PAST, F.when(starts, F.col(PAST)))
