@@ -62,21 +62,18 @@ def exact_groups(
 ) -> DataFrame:
     """Every row's group of equal texts: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``, ``same_id``.
 
-    The row with the largest id stays; ``same_id`` counts the rows with this very id and text.
+    The row with the largest id stays; ``same_id`` counts the rows of the group that have this id.
     """
     digest = verified_digest(docs, digests, text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = stage(docs.select(
         F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row"), F.sha2(text, 256).alias("text_sha256"),
         F.transform(chunks(F.col(text_col)), digest).alias("recipe")), "recipes")
-    ids = rows.groupBy("recipe", "_id").agg(F.count("*").alias("same_id"), F.max("_row").alias("_row"))
-    groups = ids.groupBy("recipe").agg(F.max(F.struct("_id", "_row")).alias("_keep"), F.sum("same_id").alias("group_size"))
-    counted = ids.filter("same_id > 1").select("recipe", F.col("_id").alias("_twice"), "same_id")
-    joined = rows.join(groups, "recipe").join(
-        counted.withColumnRenamed("recipe", "_recipe"), F.col("recipe").eqNullSafe(F.col("_recipe")) & F.col("_id").eqNullSafe(F.col("_twice")), "left")
-    return joined.select(
+    ids = rows.groupBy("recipe", "_id").agg(F.max("_row").alias("_row"), F.count("*").alias("same_id"))
+    groups = ids.groupBy("recipe").agg(F.max(F.struct("_id", "_row", "same_id")).alias("_keep"), F.sum("same_id").alias("group_size"))
+    return rows.join(groups, "recipe").select(
         F.col("_id").alias(id_col), F.col("_keep._id").alias("keep_id"), "group_size",
-        (F.col("_row") == F.col("_keep._row")).alias("kept"), "text_sha256", F.coalesce("same_id", F.lit(1)).alias("same_id"))
+        (F.col("_row") == F.col("_keep._row")).alias("kept"), "text_sha256", F.col("_keep.same_id").alias("same_id"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesprep.catalog.common import Registry, table
-from seriesprep.llm import exact_dedup, secret_scan, url_filter, warc
+from seriesprep.llm import exact_dedup, quality, secret_scan, url_filter, warc
 
 registry = Registry()
 
@@ -116,3 +116,9 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", *[count(k).alias(f"n_{k}") for k in base],
         F.sha2(secret_scan.joined_spans(F.col("found"), base), 256).alias("base_sha256"),
         secret_scan.joined_spans(F.col("found"), every).alias("spans"))
+
+
+@registry("op7_quality")
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document: posterior of its weak labels, probability by the scorer, and the decision."""
+    return quality.classify(table(spark, folder, "documents")).drop("_key")
