@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesprep.catalog.common import Registry, table
-from seriesprep.llm import exact_dedup, quality, secret_scan, url_filter, warc
+from seriesprep.llm import decontaminate, exact_dedup, mixing, quality, secret_scan, url_filter, warc
 
 registry = Registry()
 
@@ -122,3 +122,27 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The quality of every document: posterior of its weak labels, probability by the scorer, and the decision."""
     return quality.classify(table(spark, folder, "documents")).drop("_key")
+
+
+LEAK_SQL = r"""
+WITH texts AS (SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+w AS (SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS w FROM texts),
+s AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM w WHERE len(w) >= 5),
+n AS (SELECT id, count(*) AS n FROM s WHERE kind = 1 GROUP BY 1)
+SELECT d.id AS doc_id, b.id AS item_id, max(n.n) AS n_item, count(*) AS n_shared, count(*) / max(n.n) AS containment
+FROM s d JOIN s b ON d.s = b.s AND d.kind = 0 AND b.kind = 1 JOIN n ON n.id = b.id
+GROUP BY d.id, b.id HAVING 100 * count(*) >= 80 * max(n.n)
+"""
+
+
+@registry("op8_decontaminate", LEAK_SQL)
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of document and benchmark item with four fifths or more of the item's shingles in the document."""
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("_key")
+
+
+@registry("op10_mixing")
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Domain posteriors and rate of every document."""
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("_key")
