@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesprep.catalog.common import Registry, table
-from seriesprep.llm import decontaminate, exact_dedup, mixing, quality, secret_scan, url_filter, warc
+from seriesprep.llm import decontaminate, exact_dedup, jaccard_join, mixing, quality, secret_scan, url_filter, warc
 
 registry = Registry()
 
@@ -146,3 +146,22 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Domain posteriors and rate of every document."""
     return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("_key")
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+f AS (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM f a JOIN f b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM s UNION SELECT r.node, p.b FROM r JOIN p ON r.seen = p.a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, m AS component_id FROM s JOIN (SELECT node, min(seen) AS m FROM r GROUP BY 1) ON node = doc_id
+"""
+
+
+@registry("op2_jaccard_join", JACCARD_SQL)
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingle count and component of every document."""
+    return jaccard_join.similar_groups(table(spark, folder, "documents")).drop("_key")
