@@ -1,4 +1,4 @@
-"""Softmax regression over hashed sparse features; gradients are summed over fixed shards of a bounded sample."""
+"""Softmax regression over hashed sparse features; gradients are summed over the shards of a bounded sample."""
 
 from __future__ import annotations
 
@@ -43,10 +43,9 @@ def bounded_sample(rows: DataFrame, key, count: int, most: int) -> DataFrame:
 def fit(features: DataFrame, classes: int, dims: int, steps: int = 40, rate: float = 0.3, decay: float = 1e-4) -> Linear:
     """Fit on rows of ``index`` (array of ints), ``value`` and ``target`` (arrays of floats, ``target`` one per class).
 
-    Full-batch steps with a rate of its own for every weight. Rows are dealt to a fixed number of shards, so the result
-    does not depend on the cluster; each shard returns one gradient.
+    Full-batch steps with a rate of its own for every weight. At most ``SHARDS`` tasks return one gradient each.
     """
-    data = stage(features.repartition(SHARDS, F.xxhash64("index", "value")), "training-rows")
+    data = stage(features, "training-rows").coalesce(SHARDS)
     count = data.count()
     weights = np.zeros((classes, dims + 1))
     if not count:
@@ -72,7 +71,7 @@ def fit(features: DataFrame, classes: int, dims: int, steps: int = 40, rate: flo
         return run
 
     for _ in range(steps):
-        parts = data.mapInArrow(gradient(Linear(weights)), "g BINARY").collect()  # one per task, at most SHARDS with rows
+        parts = data.mapInArrow(gradient(Linear(weights)), "g BINARY").collect()  # at most SHARDS
         step = sum(np.frombuffer(r["g"]).reshape(weights.shape) for r in parts) / count + decay * weights
         seen += step**2
         weights = weights - rate * step / np.sqrt(seen)
