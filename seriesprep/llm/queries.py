@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesprep.catalog.common import Registry, table
-from seriesprep.llm import decontaminate, exact_dedup, jaccard_join, mixing, quality, secret_scan, url_filter, warc
+from seriesprep.llm import class_lm, decontaminate, exact_dedup, jaccard_join, mixing, quality, secret_scan, url_filter, warc
 
 registry = Registry()
 
@@ -165,3 +165,9 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, m AS component_id FROM s JO
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Shingle count and component of every document."""
     return jaccard_join.similar_groups(table(spark, folder, "documents")).drop("_key")
+
+
+@registry("op5_class_lm")
+def op5_class_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document scored by the class model trained on those not held out."""
+    return class_lm.score_corpus(table(spark, folder, "documents"))
