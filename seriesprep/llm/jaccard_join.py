@@ -2,10 +2,12 @@
 
 A document is the set of its distinct shingles of five words. Two link when 100 * intersection >= 80 * union.
 
-* *Cells.* Which sets can meet at all is settled exactly by their rarest shingles: sets that link share one of the first
-  n - ceil(0.8 n) + 1 shingles in any common order. The order puts frequent shingles last, by a counting sketch of fixed
-  size, so a passage that many documents share opens no cell unless a document consists of little else. Within a
-  cell the sets are chained by size; the chains' components are clusters, and no link leaves its cluster. This partitions the
+* *Cells.* Which sets can meet at all is settled exactly by their rarest shingles. The prefix of a set is its first
+  n - ceil(0.8 n) + 1 shingles in an order common to all sets; it puts frequent shingles last, by a counting sketch of
+  fixed size, so a passage that many documents share opens no cell unless a document consists of little else. Sets that
+  link share so many prefix shingles as ``least_shared`` says; pairs in a cell are counted, and those that meet too seldom
+  are dropped. In a cell of more than ``CELL_PAIRS`` sets not all pairs are made: its sets are chained by size, as far as sizes
+  allow links. The components of pairs and chains are clusters, and no link leaves its cluster. Clusters partition the
   tree, since a count vector alone cannot tell where to look: the sum of minima of two unrelated texts is too
   large a part of their sizes for any split on a few coordinates to prune.
 * *Tree.* Shingles are hashed into ``GROUPS`` groups; a set's point has one coordinate per group, its count. The
@@ -43,7 +45,10 @@ LEAF_BYTES = 4 << 20
 SKETCH_SLOTS = 1 << 20
 SKETCH_BLOCK = 1 << 14
 CELL_ROWS = 1 << 20  # entries of cells in a task
+CELL_PAIRS = 64
+LEVELS = 64  # of frequency up to the mean
 FLUSH_BYTES = 8 << 20
+ALWAYS = 1 << 40
 
 U = np.uint64
 
@@ -103,7 +108,7 @@ def digests_and_sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame
 
 
 def frequency_levels(sketch: DataFrame) -> np.ndarray:
-    """Level of every slot of the sketch: 0 for counts below twice the mean, one more for each doubling. One byte per slot."""
+    """Count of every slot of the sketch in 64ths of the mean, 255 at most. One byte per slot."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
@@ -118,7 +123,7 @@ def frequency_levels(sketch: DataFrame) -> np.ndarray:
     for r in blocks.collect():  # SKETCH_SLOTS numbers in all
         total[r["block"] * SKETCH_BLOCK : (r["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(r["counts"], np.int64)
     mean = max(1.0, total.mean())
-    return np.clip(np.floor(np.log2(np.maximum(total / mean, 1))), 0, 60).astype(np.uint8)
+    return np.minimum(total * LEVELS // mean, 255).astype(np.uint8)
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -166,8 +171,19 @@ def cell_entries(docs: DataFrame, levels: np.ndarray, buckets: int, text_col: st
     return docs.select(F.col(text_col).cast("string").alias("_text")).mapInArrow(run, "bucket INT, keys BINARY, ids BINARY, sizes BINARY")
 
 
-def chain_links(entries: DataFrame, partitions: int, percent: int = PERCENT) -> DataFrame:
-    """Links ``a``, ``b`` between neighbours by size in each cell, where their sizes allow a link."""
+def least_shared(n: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Prefix shingles that two sets of n and m shingles share at least if they link.
+
+    If the prefix of the first ends earlier in the common order, its shingles that the other set has are all in the
+    other's prefix; at most n - overlap of them are not in the other set.
+    """
+    overlap = -(-percent * (n + m) // (100 + percent))
+    rest = 1 + overlap + np.minimum((-percent * n) // 100, (-percent * m) // 100)
+    return np.maximum(rest, 1)
+
+
+def cell_pairs(entries: DataFrame, partitions: int, percent: int = PERCENT) -> DataFrame:
+    """Links ``a``, ``b`` between sets that meet in cells often enough, and between neighbours in large cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[], [], []]
         for b in batches:
@@ -187,11 +203,37 @@ def chain_links(entries: DataFrame, partitions: int, percent: int = PERCENT) ->
         ids, sizes = ids[at], sizes[at]
         at = np.lexsort((ids, sizes, keys))
         keys, ids, sizes = keys[at], ids[at], sizes[at]
-        link = (keys[1:] == keys[:-1]) & (ids[1:] != ids[:-1]) & (100 * sizes[:-1].astype(np.int64) >= percent * sizes[1:].astype(np.int64))
-        pairs = np.unique(np.stack([ids[:-1][link], ids[1:][link]], axis=1), axis=0)
-        yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        once = np.ones(len(keys), bool)
+        once[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+        keys, ids, sizes = keys[once], ids[once], sizes[once].astype(np.int64)
+        _, cell, members = np.unique(keys, return_inverse=True, return_counts=True)
+        large = members[cell] > CELL_PAIRS
+        left, right, times = [], [], []
+        for step in range(1, CELL_PAIRS):
+            match = (keys[step:] == keys[:-step]) & (100 * sizes[:-step] >= percent * sizes[step:])
+            if step > 1:
+                match &= ~large[step:]
+            first = np.flatnonzero(match)
+            if not len(first):
+                if not (keys[step:] == keys[:-step]).any():
+                    break
+                continue
+            left.append(first)
+            right.append(first + step)
+            times.append(np.where(large[first], ALWAYS, 1))
+        if not left:
+            return
+        left, right, times = (np.concatenate(x) for x in (left, right, times))
+        a, b_ = ids[left], ids[right]
+        at = np.lexsort((b_, a))
+        a, b_, left, right, times = a[at], b_[at], left[at], right[at], times[at]
+        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b_[1:] != b_[:-1])]))
+        yield pa.record_batch([
+            pa.array(a[first]), pa.array(b_[first]), pa.array(least_shared(sizes[left[first]], sizes[right[first]], percent)),
+            pa.array(np.add.reduceat(times, first))], names=["a", "b", "least", "times"])
 
-    return entries.repartition(partitions, "bucket").mapInArrow(run, "a LONG, b LONG")
+    pairs = entries.repartition(partitions, "bucket").mapInArrow(run, "a LONG, b LONG, least LONG, times LONG")
+    return pairs.groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("least").alias("least")).filter("times >= least").select("a", "b")
 
 
 def _curve(own: np.ndarray) -> int:
@@ -359,7 +401,7 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_i
         .withColumn("node", F.monotonically_increasing_id()), "shingle-sets")
     total = sets.agg(F.coalesce(F.sum(F.expr(f"n - ceil({percent} * n / 100) + 1")), F.lit(0)).alias("t")).head()["t"]
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // CELL_ROWS))
-    links = chain_links(cell_entries(docs, levels, 8 * partitions, text_col, percent), partitions, percent)
+    links = cell_pairs(cell_entries(docs, levels, 8 * partitions, text_col, percent), partitions, percent)
     clusters = stage(connected_components(links), "clusters")
     wanted = sets.join(clusters.select(F.col("node").alias("hi"), F.col("root").alias("cluster")), "hi").select("_rep", "node", "cluster")
     packed = stage(points(docs, wanted, id_col, text_col), "points")
