@@ -38,7 +38,7 @@ from seriesprep.workspace import stage
 
 END = " "  # no word holds a blank
 WORDS, ENDINGS, CLASSES = 2048, 512, 64
-DICTIONARY = 1 << 18
+DICTIONARY = 1 << 17
 EXCHANGES = 6
 PRIOR = 20.0  # A
 END_UNIT = WORDS + ENDINGS
@@ -74,8 +74,8 @@ def count_words(training: DataFrame, text_col: str = "text") -> DataFrame:
         "word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(vocabulary: DataFrame, most: int = DICTIONARY) -> tuple[list[str], np.ndarray]:
-    """The most frequent words, at most ``most``, with their counts, from the most frequent on.
+def frequent_words(vocabulary: DataFrame, most: int = DICTIONARY) -> tuple[pa.Array, np.ndarray]:
+    """The most frequent words, at most ``most``, with their counts, from the most frequent on; without the end token.
 
     A count is taken or left as a whole, so words of equal count are treated alike.
     """
@@ -87,15 +87,15 @@ def frequent_words(vocabulary: DataFrame, most: int = DICTIONARY) -> tuple[list[
             break
         taken, least = taken + r["count"], r["level"]
     if least is None:
-        return [], np.empty(0, np.int64)
-    found = vocabulary.filter(level >= least).toPandas().sort_values(["n", "word"], ascending=[False, True])
-    return found["word"].tolist(), found["n"].to_numpy(np.int64)
+        return pa.array([], pa.string()), np.empty(0, np.int64)
+    found = vocabulary.filter((level >= least) & (F.col("word") != END)).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    return found["word"].combine_chunks(), found["n"].to_numpy().astype(np.int64)
 
 
-def hash_words(words: list[str]) -> np.ndarray:
+def hash_words(words: pa.Array) -> np.ndarray:
     """Hashes of words, as the tasks compute them."""
     out = []
-    for _, _, buf, offs in textnum.slices(pa.array(words, pa.string())):
+    for _, _, buf, offs in textnum.slices(words):
         out.append(textnum.word_hashes(buf, offs[:-1], offs[1:]))
     return np.concatenate(out) if out else np.empty(0, U)
 
@@ -129,8 +129,8 @@ class Units:
         return out
 
 
-def make_units(words: list[str]) -> Units:
-    hashes = hash_words([w for w in words if w != END][:WORDS])
+def make_units(words: pa.Array) -> Units:
+    hashes = hash_words(words[:WORDS])
     order = np.argsort(hashes)
     return Units(hashes[order], order.astype(np.int64))
 
@@ -204,10 +204,12 @@ def neighbour_counts(bigrams: DataFrame, classes: np.ndarray) -> tuple[np.ndarra
     named = spark.createDataFrame([(int(i), int(c)) for i, c in enumerate(classes)], "u INT, c INT")  # UNITS rows
     a, b = (F.broadcast(named.select(F.col("u").alias(x), F.col("c").alias(f"c{x}"))) for x in ("a", "b"))
     joined = bigrams.join(a, "a").join(b, "b")
-    right = joined.filter("a <> b").groupBy(F.col("a").alias("u"), F.col("cb").alias("c")).agg(F.sum("n").alias("n")).withColumn("side", F.lit(0))
-    left = joined.filter("a <> b").groupBy(F.col("b").alias("u"), F.col("ca").alias("c")).agg(F.sum("n").alias("n")).withColumn("side", F.lit(1))
-    alone = joined.filter("a = b").select(F.col("a").alias("u"), F.lit(0).alias("c"), "n", F.lit(2).alias("side"))
-    found = right.unionByName(left).unionByName(alone).toPandas()  # at most UNITS * (2 * classes + 1) rows
+    apart = F.col("a") != F.col("b")
+    sides = F.inline(F.when(apart, F.array(
+        F.struct(F.col("a").alias("u"), F.col("cb").alias("c"), F.lit(0).alias("side")),
+        F.struct(F.col("b").alias("u"), F.col("ca").alias("c"), F.lit(1).alias("side")),
+    )).otherwise(F.array(F.struct(F.col("a").alias("u"), F.lit(0).alias("c"), F.lit(2).alias("side")))))
+    found = joined.select("n", sides).groupBy("u", "c", "side").agg(F.sum("n").alias("n")).toPandas()  # at most UNITS * (2 * classes + 1) rows
     out = np.zeros((3, UNITS, k))
     np.add.at(out, (found["side"].to_numpy(np.int64), found["u"].to_numpy(np.int64), found["c"].to_numpy(np.int64)), found["n"].to_numpy(float))
     right_, left_, self_ = out[0], out[1], out[2][:, 0]
@@ -258,8 +260,6 @@ def fit(training: DataFrame, text_col: str = "text", rounds: int = EXCHANGES) ->
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v"),
                            F.coalesce(F.sum(F.when(F.col("word") == END, F.col("n"))), F.lit(0)).alias("e")).head()
     words, counts = frequent_words(vocabulary)
-    real = np.array([w != END for w in words], bool)
-    words, counts = [w for w in words if w != END], counts[real]
     units = make_units(words)
     bigrams = stage(count_bigrams(training, units, text_col), "bigrams")
     classes, table = cluster(bigrams, rounds)
