@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesprep.catalog.common import Registry, table
-from seriesprep.llm import class_lm, decontaminate, exact_dedup, jaccard_join, mixing, quality, secret_scan, url_filter, warc
+from seriesprep.llm import class_lm, decontaminate, exact_dedup, jaccard_join, mixing, quality, secret_scan, suffix_dedup, url_filter, warc
 
 registry = Registry()
 
@@ -171,3 +171,9 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op5_class_lm(spark: SparkSession, folder: str) -> DataFrame:
     """Every document scored by the class model trained on those not held out."""
     return class_lm.score_corpus(table(spark, folder, "documents"))
+
+
+@registry("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document that 50-byte strings of documents with smaller ids cover."""
+    return suffix_dedup.repeated_bytes(table(spark, folder, "documents")).drop("spans")
