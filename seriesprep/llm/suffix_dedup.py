@@ -36,6 +36,7 @@ WIDTH = 50
 GRAM = 20
 FLUSH_BYTES = 4 << 20
 BATCH = 1 << 17
+MIXED = 128  # set in the number of windows of an entry that stands for several segments of its anchor
 BUCKET_ROWS = 1 << 21
 
 U = np.uint64
@@ -191,6 +192,7 @@ def segment_entries(rows: DataFrame, buckets: int) -> DataFrame:
                 some = mixed & ~repeated
                 found.add(ids[some], marks[some], at[some], n[some], True)
                 sent = np.where(mixed, new_anchor, ~repeated)
+                n = np.where(mixed, n | MIXED, n)
                 yield from _send(found, buckets, *(x[sent] for x in (anchor, (whole >> U(32)).astype(np.uint32), ids, marks, at, n)))
 
     return rows.mapInArrow(run, PACKED)
@@ -287,8 +289,12 @@ def match_segments(entries: DataFrame, partitions: int) -> DataFrame:
                 repeated[own] |= known[of_pair]
                 mixed[own] |= mixed[pair][of_pair]
                 lo = hi
-            # entries of one pair and document stand and fall together
+            # an anchor of several segments in some map task is compared by window everywhere
             order = np.lexsort((ids, value, anchor))
+            group = np.cumsum(_first_of(anchor[order])) - 1
+            mixed[order] |= (np.bincount(group, n[order] & MIXED) > 0)[group]
+            n = n & (MIXED - 1)
+            # entries of one pair and document stand and fall together
             first = _first_of(anchor[order], value[order], ids[order])
             group = np.cumsum(first) - 1
             mixed[order] = (np.bincount(group, mixed[order]) > 0)[group]
