@@ -133,3 +133,18 @@ def mix(
     rate, _, _ = fit_rates(members, targets)
     return members.select(
         F.col("_id").alias(id_col), "_key", "n_tokens", *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(DOMAINS)], rate.alias("rate"))
+
+
+def with_rates(
+    docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that have a positive rate, with all their columns and ``n_tokens``, posteriors and ``rate``.
+
+    Columns of ``docs`` that have one of these names are replaced.
+    """
+    added = ["n_tokens", *[f"p_{d}" for d in DOMAINS], "rate"]
+    mixed = mix(docs, labels, targets, id_col, text_col).filter("rate > 0").select(
+        F.col(id_col).alias("_mixed"), F.col("_key").alias("_mixed_key"), *[F.col(c).alias(f"_new_{c}") for c in added]).distinct()
+    match = docs[id_col].eqNullSafe(mixed["_mixed"]) & (F.xxhash64(docs[text_col]) == mixed["_mixed_key"])
+    kept = [c for c in docs.columns if c not in added]
+    return docs.join(mixed, match).select(*[docs[f"`{c}`"] for c in kept], *[F.col(f"_new_{c}").alias(c) for c in added])
