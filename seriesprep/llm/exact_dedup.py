@@ -79,9 +79,13 @@ def exact_groups(
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     stay = exact_groups(docs, id_col, text_col).filter("kept").select(
-        F.col(id_col).alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"), F.col("same_id").alias("_same"))
+        F.col(id_col).alias("id"), F.col("text_sha256").alias("sha"), (F.col("same_id") > 1).alias("again"))
     mine = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
-    found = docs.join(stay, docs[id_col].eqNullSafe(stay["_keep_id"]) & (mine == stay["_keep_sha"]))
-    once = found.filter("_same = 1")
-    repeated = found.filter("_same > 1").dropDuplicates(["_keep_id", "_keep_sha"])
-    return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    def rows(chosen: DataFrame) -> DataFrame:
+        return docs.join(chosen, docs[id_col].eqNullSafe(chosen["id"]) & (mine == chosen["sha"]), "left_semi")
+
+    once, repeated = rows(stay.filter("NOT again")), rows(stay.filter("again"))
+    mark = "_".join(["content", *docs.columns])  # a name that no column has
+    repeated = repeated.withColumn(mark, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).dropDuplicates([id_col, mark]).drop(mark)
+    return once.unionByName(repeated)

@@ -147,4 +147,4 @@ def with_rates(
         F.col(id_col).alias("_mixed"), F.col("_key").alias("_mixed_key"), *[F.col(c).alias(f"_new_{c}") for c in added]).distinct()
     match = docs[id_col].eqNullSafe(mixed["_mixed"]) & (F.xxhash64(docs[text_col]) == mixed["_mixed_key"])
     kept = [c for c in docs.columns if c not in added]
-    return docs.join(mixed, match).select(*[docs[f"`{c}`"] for c in kept], *[F.col(f"_new_{c}").alias(c) for c in added])
+    return docs.join(mixed, match).select(*[docs[f"`{c}`"] for c in kept], *[mixed[f"_new_{c}"].alias(c) for c in added])
