@@ -172,6 +172,7 @@ class _Parser:
         while len(view):
             if self.state == "header":
                 self.head += view
+                self.head = self.head.lstrip(b"\r\n")  # blank lines between records
                 at = self.head.find(b"\r\n\r\n")
                 if at < 0:
                     return
@@ -196,7 +197,7 @@ class _Parser:
                     self.state = "header"
 
     def begin(self, head: bytes) -> None:
-        lines = head.lstrip(b"\r\n").split(b"\r\n")
+        lines = head.split(b"\r\n")
         if not lines[0].startswith(b"WARC/"):
             raise ValueError(f"not a WARC record: {lines[0][:60]!r}")
         pairs = (x.partition(b":") for x in lines[1:])
