@@ -145,7 +145,7 @@ def vote_patterns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return _measured(docs, id_col, text_col, then, "_id {id}, _key LONG, pattern LONG")
 
 
-def label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, float]:
+def label_model(patterns: np.ndarray, counts: np.ndarray, prior: float = PRIOR, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, float]:
     """Expectation-maximisation: posterior of every pattern, P(bad vote | class) by class and labeller, share of good ones.
 
     Votes are independent given the class; a labeller that does not vote says nothing.
@@ -165,7 +165,7 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) ->
             break
         for c, weight in enumerate((counts * (1 - posterior), counts * posterior)):
             bad, voted = (weight[:, None] * (cast == BAD)).sum(axis=0), (weight[:, None] * (cast != NONE)).sum(axis=0)
-            rates[c] = np.clip((bad + PRIOR * total * start[c]) / np.maximum(voted + PRIOR * total, 1e-9), 1e-6, 1 - 1e-6)
+            rates[c] = np.clip((bad + prior * total * start[c]) / np.maximum(voted + prior * total, 1e-9), 1e-6, 1 - 1e-6)
         rates[0], rates[1] = np.maximum(rates[0], LEAST_IF_BAD), np.minimum(rates[1], MOST_IF_GOOD)
         share = min(max((counts * posterior).sum() / max(total, 1), 0.01), 0.99)
     return posterior, rates, share

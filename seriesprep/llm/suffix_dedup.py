@@ -3,7 +3,7 @@ also starts in a document with a smaller id.
 
 * *Sampling.* Of the k-grams in a window of ``WIDTH`` bytes the one with the smallest hash is the window's anchor, so
   equal windows have equal anchors. Consecutive windows with one anchor form a segment; a text has about one
-  segment per 16 bytes. A segment is the suffix at its anchor, cut off where its windows end.
+  segment per 14 bytes. A segment is the suffix at its anchor, cut off where its windows end.
 * *Index family.* Segments are dealt by their anchor's hash. A task takes them in batches by ascending id. Each batch is
   sorted into an array, merge-scanned against the levels there are for equal segments and equal anchors, and becomes a
   level itself; levels of equal size merge, so there are about log2(batches) of them and each entry is merged as often.
@@ -21,27 +21,33 @@ other than id and text play no part.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesprep.llm import textnum
 from seriesprep.workspace import stage
 
 WIDTH = 50
-GRAM = 20
+GRAM = 24
 FLUSH_BYTES = 4 << 20
 BATCH = 1 << 17
 MIXED = 128  # set in the number of windows of an entry that stands for several segments of its anchor
-BUCKET_ROWS = 1 << 21
+TASK_BYTES = 32 << 20  # text whose entries go to one task
+HOME_BYTES = 4 << 20  # text of a group of documents
 
 U = np.uint64
-SPAN = np.dtype([("at", "<u4"), ("n", "<u2")])  # first window and number of windows
-RESULT = "_id LONG, _mark INT, whole BINARY, part BINARY"
+ENTRY = np.dtype([("key", "<u4"), ("value", "<u4"), ("doc", "<u2"), ("at", "<u4"), ("n", "u1")])
+DOC = np.dtype([("id", "<i8"), ("mark", "<i4")])
+# windows found in a document: the first, their number, and whether they are only to be compared
+SPAN = np.dtype([("id", "<i8"), ("mark", "<i4"), ("at", "<u4"), ("n", "u1"), ("part", "?")])
+PACKED = "bucket INT, docs BINARY, entries BINARY, home INT, spans BINARY"
+RESULT = "home INT, spans BINARY"
 
 
 def _minima(x: np.ndarray, width: int) -> np.ndarray:
@@ -91,78 +97,52 @@ def _spread(first: np.ndarray, values: np.ndarray) -> np.ndarray:
     return values[first][np.cumsum(first) - 1]
 
 
-class _Found:
-    """Spans found per document, as rows of the result."""
+def _spans(ids: np.ndarray, marks: np.ndarray, at: np.ndarray, n: np.ndarray, part: bool) -> np.ndarray:
+    out = np.empty(len(ids), SPAN)
+    out["id"], out["mark"], out["at"], out["n"], out["part"] = ids, marks, at, n, part
+    return out
 
-    def __init__(self):
-        self.rows: list[tuple[np.ndarray, ...]] = []
-
-    def add(self, ids: np.ndarray, marks: np.ndarray, at: np.ndarray, n: np.ndarray, part: bool) -> None:
-        if len(ids):
-            self.rows.append((ids, marks, at, n, np.full(len(ids), part)))
-
-    def table(self) -> pa.RecordBatch | None:
-        if not self.rows:
-            return None
-        ids, marks, at, n, part = (np.concatenate(c) for c in zip(*self.rows, strict=True))
-        self.rows = []
-        order = np.lexsort((at, part, marks, ids))
-        ids, marks, at, n, part = (x[order] for x in (ids, marks, at, n, part))
-        spans = np.empty(len(at), SPAN)
-        spans["at"], spans["n"] = at, n
-        starts = np.flatnonzero(_first_of(ids, marks))
-        ends = np.append(starts[1:], len(ids))
-        cut = [lo + int(np.searchsorted(part[lo:hi], True)) for lo, hi in zip(starts, ends, strict=True)]
-        return pa.record_batch([
-            pa.array(ids[starts]), pa.array(marks[starts], pa.int32()),
-            pa.array([spans[lo:c].tobytes() for lo, c in zip(starts, cut, strict=True)], pa.binary()),
-            pa.array([spans[c:hi].tobytes() for c, hi in zip(cut, ends, strict=True)], pa.binary())], names=["_id", "_mark", "whole", "part"])
-
-
-PACKED = "bucket INT, ids BINARY, entries BINARY, _id LONG, _mark INT, whole BINARY, part BINARY"
-ENTRY = np.dtype([("key", "<u4"), ("value", "<u4"), ("doc", "<u2"), ("at", "<u4"), ("n", "u1")])
-DOC = np.dtype([("id", "<i8"), ("mark", "<i4")])
 
+def _by_home(spans: np.ndarray, homes: int) -> list[tuple[int, bytes]]:
+    """Spans by the group of documents that they belong to."""
+    if not len(spans):
+        return []
+    home = spans["id"] % homes
+    order = np.argsort(home, kind="stable")
+    spans, home = spans[order], home[order]
+    names, starts = np.unique(home, return_index=True)
+    return [(int(h), part.tobytes()) for h, part in zip(names, np.split(spans, starts[1:]), strict=True)]
+
+
+def _packed(
+    bucket: np.ndarray, key: np.ndarray, value: np.ndarray, row: np.ndarray, at: np.ndarray, n: np.ndarray, ids: np.ndarray, marks: np.ndarray,
+    spans: np.ndarray, homes: int, buckets: int,
+) -> pa.RecordBatch:
+    """Entries as one row per bucket, with the documents they come from (``row`` in ``ids`` and ``marks``).
 
-def _packed(bucket: np.ndarray, key: np.ndarray, value: np.ndarray, ids: np.ndarray, marks: np.ndarray, at: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    """Entries as one row per bucket, with the documents they come from."""
+    Spans that are settled already travel along, dealt to any bucket.
+    """
     order = np.argsort(bucket, kind="stable")
-    bucket, key, value, ids, marks, at, n = (x[order] for x in (bucket, key, value, ids, marks, at, n))
+    bucket, key, value, row, at, n = (x[order] for x in (bucket, key, value, row, at, n))
     names, starts = np.unique(bucket, return_index=True)
     rows = []
     for b, lo, hi in zip(names.tolist(), starts.tolist(), [*starts[1:].tolist(), len(bucket)], strict=True):
         for at_ in range(lo, hi, 1 << 16):  # so that numbers of documents fit
             own = slice(at_, min(hi, at_ + (1 << 16)))
-            docs = np.empty(own.stop - own.start, DOC)
-            docs["id"], docs["mark"] = ids[own], marks[own]
-            docs, where = np.unique(docs, return_inverse=True)
-            out = np.empty(len(where), ENTRY)
+            used, where = np.unique(row[own], return_inverse=True)
+            docs, out = np.empty(len(used), DOC), np.empty(len(where), ENTRY)
+            docs["id"], docs["mark"] = ids[used], marks[used]
             out["key"], out["value"], out["doc"], out["at"], out["n"] = key[own], value[own], where, at[own], n[own]
-            rows.append((b, docs.tobytes(), out.tobytes()))
-    m = len(rows)
-    return pa.record_batch([
-        pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary()),
-        pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())],
-        names=["bucket", "ids", "entries", "_id", "_mark", "whole", "part"])
+            rows.append((b, docs.tobytes(), out.tobytes(), None, None))
+    rows += [(h % buckets, None, None, h, data) for h, data in _by_home(spans, homes)]
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary())
+    return pa.record_batch([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names=["bucket", "docs", "entries", "home", "spans"])
 
 
-def _passed_on(found: _Found, bucket: int) -> pa.RecordBatch | None:
-    """Spans settled in the map task, to be handed on by some reduce task."""
-    rows = found.table()
-    if rows is None:
-        return None
-    m = rows.num_rows
-    return pa.record_batch([
-        pa.array((np.arange(m) % bucket).astype(np.int32)), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), *rows.columns],
-        names=["bucket", "ids", "entries", "_id", "_mark", "whole", "part"])
-
-
-def _send(found: _Found, buckets: int, full: np.ndarray, value: np.ndarray, ids: np.ndarray, marks: np.ndarray, at: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if len(full):
-        yield _packed((full % U(buckets)).astype(np.int32), (full >> U(32)).astype(np.uint32), value, ids, marks, at, n)
-    settled = _passed_on(found, buckets)
-    if settled is not None:
-        yield settled
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of rounds whose results are written; Spark drops them when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -171,7 +151,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col(id_col).cast("long").alias("_id"), F.hash(text_col).alias("_mark"), F.col(text_col).cast("string").alias("_text"))
 
 
-def segment_entries(rows: DataFrame, buckets: int) -> DataFrame:
+def segment_entries(rows: DataFrame, buckets: int, homes: int) -> DataFrame:
     """First round, map side: entries by anchor, and what is settled within ``FLUSH_BYTES`` of text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -180,20 +160,21 @@ def segment_entries(rows: DataFrame, buckets: int) -> DataFrame:
                 row, at, n, anchor, whole = segments(buf, offs)
                 if not len(row):
                     continue
-                ids, marks, at = every_id[lo + row], every_mark[lo + row], at - offs[row]
-                order = np.lexsort((ids, whole, anchor))
-                ids, marks, at, n, anchor, whole = (x[order] for x in (ids, marks, at, n, anchor, whole))
+                own_ids, own_marks = every_id[lo:], every_mark[lo:]
+                order = np.lexsort((own_ids[row], whole, anchor))
+                row, at, n, anchor, whole = (x[order] for x in (row, at - offs[row], n, anchor, whole))
+                ids = own_ids[row]
                 new_anchor, new_whole = _first_of(anchor), _first_of(anchor, whole)
                 repeated = ids > _spread(new_whole, ids)
                 group = np.cumsum(new_anchor) - 1
                 mixed = (np.bincount(group, new_whole) > 1)[group]
-                found = _Found()
-                found.add(ids[repeated], marks[repeated], at[repeated], n[repeated], False)
                 some = mixed & ~repeated
-                found.add(ids[some], marks[some], at[some], n[some], True)
+                spans = np.concatenate([_spans(ids[x], own_marks[row[x]], at[x], n[x], part) for x, part in ((repeated, False), (some, True))])
                 sent = np.where(mixed, new_anchor, ~repeated)
-                n = np.where(mixed, n | MIXED, n)
-                yield from _send(found, buckets, *(x[sent] for x in (anchor, (whole >> U(32)).astype(np.uint32), ids, marks, at, n)))
+                anchor, whole, row, at, n = (x[sent] for x in (anchor, whole, row, at, np.where(mixed, n | MIXED, n)))
+                yield _packed(
+                    (anchor % U(buckets)).astype(np.int32), (anchor >> U(32)).astype(np.uint32), (whole >> U(32)).astype(np.uint32), row, at, n,
+                    own_ids, own_marks, spans, homes, buckets)
 
     return rows.mapInArrow(run, PACKED)
 
@@ -241,34 +222,29 @@ class IndexFamily:
         return known
 
 
-def _unpack(batches: Iterator[pa.RecordBatch], handed_on: list[pa.RecordBatch]) -> tuple[np.ndarray, ...] | None:
-    """Bucket and anchor as one number, value, id, mark, window, number of windows of all entries of a task."""
-    parts = []
+def _unpack(batches: Iterator[pa.RecordBatch]) -> tuple[tuple[np.ndarray, ...] | None, np.ndarray]:
+    """Bucket and anchor as one number, value, id, mark, window, number of windows of all entries of a task; settled spans."""
+    parts, settled = [], [np.empty(0, SPAN)]
     for b in batches:
-        settled = np.flatnonzero(~b.column(3).is_null().to_numpy(zero_copy_only=False))
-        if len(settled):
-            handed_on.append(pa.RecordBatch.from_arrays(
-                [c.take(pa.array(settled)) for c in b.columns[3:]], names=["_id", "_mark", "whole", "part"]))
-        for bucket, docs, data in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-            if data.is_valid:
-                own, docs = np.frombuffer(data.as_py(), ENTRY), np.frombuffer(docs.as_py(), DOC)[np.frombuffer(data.as_py(), ENTRY)["doc"]]
+        for bucket, docs, data, spans in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(4), strict=True):
+            if spans.is_valid:
+                settled.append(np.frombuffer(spans.as_py(), SPAN))
+            else:
+                own = np.frombuffer(data.as_py(), ENTRY)
+                docs = np.frombuffer(docs.as_py(), DOC)[own["doc"]]
                 parts.append((own["key"].astype(U) | U(bucket) << U(32), own["value"], docs["id"], docs["mark"], own["at"], own["n"]))
-    return tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else None
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else None, np.concatenate(settled)
 
 
-def _handed_on(rows: list[pa.RecordBatch], found: _Found) -> Iterator[pa.RecordBatch]:
-    yield from rows
-    table = found.table()
-    if table is not None:
-        yield table
+def _result(spans: np.ndarray, homes: int) -> pa.RecordBatch:
+    rows = _by_home(spans, homes)
+    return pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["home", "spans"])
 
 
-def match_segments(entries: DataFrame, partitions: int) -> DataFrame:
+def match_segments(entries: DataFrame, partitions: int, homes: int) -> DataFrame:
     """First round, reduce side: whole repeated segments (``whole``), and those to be compared by window (``part``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        settled: list[pa.RecordBatch] = []
-        got = _unpack(batches, settled)
-        found = _Found()
+        got, spans = _unpack(batches)
         if got is not None:
             order = np.argsort(got[2], kind="stable")  # batches by ascending id
             anchor, value, ids, marks, at, n = (x[order] for x in got)
@@ -298,62 +274,82 @@ def match_segments(entries: DataFrame, partitions: int) -> DataFrame:
             first = _first_of(anchor[order], value[order], ids[order])
             group = np.cumsum(first) - 1
             mixed[order] = (np.bincount(group, mixed[order]) > 0)[group]
-            found.add(ids[repeated], marks[repeated], at[repeated], n[repeated], False)
             some = mixed & ~repeated
-            found.add(ids[some], marks[some], at[some], n[some], True)
-        yield from _handed_on(settled, found)
+            spans = np.concatenate([spans, *[_spans(ids[x], marks[x], at[x], n[x], part) for x, part in ((repeated, False), (some, True))]])
+        yield _result(spans, homes)
 
     return entries.repartition(partitions, "bucket").mapInArrow(run, RESULT)
 
 
-def window_entries(rows: DataFrame, parts: DataFrame, buckets: int) -> DataFrame:
+def _grouped_texts(docs: DataFrame, spans: DataFrame, homes: int):
+    """Texts and spans side by side, by home; ``docs`` has ``_id`` among others."""
+    home = F.pmod(F.coalesce(F.col("_id"), F.col("_mark").cast("long")), F.lit(homes)).cast("int").alias("home")
+    return docs.select(home, "*").groupBy("home").cogroup(spans.groupBy("home"))
+
+
+def _spans_of(table: pa.Table, part: bool) -> np.ndarray:
+    """The spans in a table that are, or are not, to be compared only, by id, mark and place."""
+    parts = [np.frombuffer(x.as_py(), SPAN) for x in table["spans"]]
+    spans = np.concatenate([np.empty(0, SPAN), *parts])
+    spans = spans[spans["part"] == part]
+    return spans[np.lexsort((spans["at"], spans["mark"], spans["id"]))]
+
+
+def _ranges(spans: np.ndarray, ids: np.ndarray, marks: np.ndarray) -> list[tuple[int, int]]:
+    """Where the spans of each document begin and end among the sorted spans."""
+    starts = np.flatnonzero(_first_of(spans["id"], spans["mark"]))
+    ends = np.append(starts[1:], len(spans))
+    keys = zip(spans["id"][starts].tolist(), spans["mark"][starts].tolist(), strict=True)
+    at = dict(zip(keys, zip(starts.tolist(), ends.tolist(), strict=False), strict=False))
+    return [at.get(k, (0, 0)) for k in zip(ids, marks, strict=True)]
+
+
+def window_entries(rows: DataFrame, first: DataFrame, buckets: int, homes: int) -> DataFrame:
     """Second round, map side: the windows of segments that may be repeated in part."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for b in batches:
-            ids, marks = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for r, (text, lists) in enumerate(zip(b.column(2), b.column(3).to_pylist(), strict=True)):
-                buf = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-                spans = np.unique(np.frombuffer(b"".join(lists), SPAN))
-                starts = np.unique(np.repeat(spans["at"].astype(np.int64), spans["n"]) + _counting(spans["n"]))
-                for lo, hi in _runs(starts):
-                    hashes = textnum.mix64(textnum.window_hashes(textnum.BYTE_VALUE[buf[lo : hi + WIDTH - 1]], WIDTH))
-                    m = hi - lo
-                    held.append((hashes, np.full(m, ids[r]), np.full(m, marks[r], np.int32), np.arange(lo, hi)))
-                    size += m
-                if size >= FLUSH_BYTES // 8:
-                    yield from settle(held)
-                    held, size = [], 0
-        if held:
-            yield from settle(held)
-
-    def settle(held: list) -> Iterator[pa.RecordBatch]:
-        hashes, ids, marks, at = (np.concatenate(c) for c in zip(*held, strict=True))
-        order = np.lexsort((ids, hashes))
-        hashes, ids, marks, at = (x[order] for x in (hashes, ids, marks, at))
-        repeated = ids > _spread(_first_of(hashes), ids)
-        found = _Found()
-        found.add(ids[repeated], marks[repeated], at[repeated], np.ones(repeated.sum(), np.int64), False)
-        sent = ~repeated
-        yield from _send(found, buckets, hashes[sent], (hashes[sent] & U(0xFFFFFFFF)).astype(np.uint32), ids[sent], marks[sent], at[sent], np.ones(sent.sum(), np.int64))
-
-    joined = rows.join(parts.hint("shuffle_hash"), ["_id", "_mark"]).select("_id", "_mark", "_text", "parts")
-    return joined.mapInArrow(run, PACKED)
-
-
-def match_windows(entries: DataFrame, partitions: int) -> DataFrame:
+    names = ["bucket", "docs", "entries", "home", "spans"]
+
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        parts = _spans_of(found, True)
+        ids, marks = texts["_id"].to_numpy(), texts["_mark"].to_numpy().astype(np.int32)
+        ranges = np.array(_ranges(parts, ids.tolist(), marks.tolist()), np.int64).reshape(-1, 2)
+        out = []
+        for lo, hi, buf, offs in textnum.slices(texts["_text"]):
+            size = ranges[lo:hi, 1] - ranges[lo:hi, 0]
+            own = parts[np.repeat(ranges[lo:hi, 0], size) + _counting(size)]
+            n = own["n"].astype(np.int64)
+            row = np.repeat(np.repeat(np.arange(hi - lo), size), n)
+            at = np.repeat(own["at"].astype(np.int64), n) + _counting(n)
+            if len(at):
+                hashes = textnum.mix64(textnum.window_hashes(textnum.BYTE_VALUE[buf], WIDTH))
+                out.append((hashes[at + offs[row]], lo + row, at))
+        if not out:
+            return pa.table([pa.array([], k) for k in (pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary())], names=names)
+        hashes, row, at = (np.concatenate(c) for c in zip(*out, strict=True))
+        own = ids[row]
+        order = np.lexsort((at, row, own, hashes))
+        hashes, row, at, own = (x[order] for x in (hashes, row, at, own))
+        repeated = own > _spread(_first_of(hashes), own)
+        one = np.ones(len(at), np.uint8)
+        spans = _spans(own[repeated], marks[row[repeated]], at[repeated], one[repeated], False)
+        hashes, row, at, one = (x[~repeated] for x in (hashes, row, at, one))
+        return pa.Table.from_batches([_packed(
+            (hashes % U(buckets)).astype(np.int32), (hashes >> U(32)).astype(np.uint32), (hashes & U(0xFFFFFFFF)).astype(np.uint32), row, at, one,
+            ids, marks, spans, homes, buckets)])
+
+    return _grouped_texts(rows, first, homes).applyInArrow(run, PACKED)
+
+
+def match_windows(entries: DataFrame, partitions: int, homes: int) -> DataFrame:
     """Second round, reduce side: the windows that also start in a document with a smaller id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        settled: list[pa.RecordBatch] = []
-        got = _unpack(batches, settled)
-        found = _Found()
+        got, spans = _unpack(batches)
         if got is not None:
             anchor, value, ids, marks, at, n = got
             order = np.lexsort((ids, value, anchor))
             anchor, value, ids, marks, at, n = (x[order] for x in (anchor, value, ids, marks, at, n))
             repeated = ids > _spread(_first_of(anchor, value), ids)
-            found.add(ids[repeated], marks[repeated], at[repeated], n[repeated], False)
-        yield from _handed_on(settled, found)
+            spans = np.concatenate([spans, _spans(ids[repeated], marks[repeated], at[repeated], n[repeated], False)])
+        yield _result(spans, homes)
 
     return entries.repartition(partitions, "bucket").mapInArrow(run, RESULT)
 
@@ -365,14 +361,6 @@ def _counting(n: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n)
 
 
-def _runs(sorted_numbers: np.ndarray) -> list[tuple[int, int]]:
-    """Start and end of every run of consecutive numbers."""
-    if not len(sorted_numbers):
-        return []
-    cut = np.flatnonzero(np.diff(sorted_numbers) != 1) + 1
-    return list(zip(sorted_numbers[np.append(0, cut)].tolist(), (sorted_numbers[np.append(cut - 1, len(sorted_numbers) - 1)] + 1).tolist(), strict=True))
-
-
 def removed_spans(spans: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs of bytes covered by the windows of ``spans``."""
     if not len(spans):
@@ -388,38 +376,38 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, and the removed ``spans`` (start, end) of every row."""
     spark = docs.sparkSession
     rows = _documents(docs, id_col, text_col)
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)).alias("b")).head()["b"]
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // (16 * BUCKET_ROWS)))
-    first = stage(match_segments(segment_entries(rows, partitions), partitions), "segments")
-    parts = first.filter(F.octet_length("part") > 0).groupBy("_id", "_mark").agg(F.collect_list("part").alias("parts"))
-    second = stage(match_windows(window_entries(rows, parts, partitions), partitions), "windows")
-    found = first.unionByName(second).filter(F.octet_length("whole") > 0).groupBy("_id", "_mark").agg(F.collect_list("whole").alias("found"))
-
+    size = int(rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)).alias("b")).head()["b"])
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
+    homes = -(-size // HOME_BYTES) + partitions
+    first = stage(match_segments(segment_entries(rows, partitions, homes), partitions, homes), "segments")
+    release(spark)
+    second = stage(match_windows(window_entries(rows, first, partitions, homes), partitions, homes), "windows")
+    release(spark)
     texts = docs.select(F.col(id_col).alias("_own"), F.col(id_col).cast("long").alias("_id"), F.hash(text_col).alias("_mark"), F.col(text_col).cast("string").alias("_text"))
-    joined = texts.join(found.hint("shuffle_hash"), ["_id", "_mark"], "left").select("_own", "_text", "found")
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sizes, removed, runs, codes, spans = [], [], [], [], []
-            for text, lists in zip(b.column(1), b.column(2).to_pylist(), strict=True):
-                data = (text.as_py() or "").encode()
-                cut = removed_spans(np.frombuffer(b"".join(lists), SPAN)) if lists else []
-                code, at = hashlib.sha256(), 0
-                for lo, hi in cut:
-                    code.update(data[at:lo])
-                    at = hi
-                code.update(data[at:])
-                sizes.append(len(data))
-                removed.append(sum(hi - lo for lo, hi in cut))
-                runs.append(len(cut))
-                codes.append(code.hexdigest())
-                spans.append([{"start": lo, "end": hi} for lo, hi in cut])
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.record_batch([
-                b.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(codes, pa.string()),
-                pa.array(spans, kind)], names=["_own", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def finish(texts: pa.Table, found: pa.Table) -> pa.Table:
+        spans = _spans_of(found, False)
+        ranges = _ranges(spans, texts["_id"].to_pylist(), texts["_mark"].to_pylist())
+        sizes, removed, runs, codes, cuts = [], [], [], [], []
+        for text, (first_, last) in zip(texts["_text"], ranges, strict=True):
+            data = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
+            cut = removed_spans(spans[first_:last])
+            code, at = hashlib.sha256(), 0
+            for lo, hi in cut:
+                code.update(data[at:lo])
+                at = hi
+            code.update(data[at:])
+            sizes.append(len(data))
+            removed.append(sum(hi - lo for lo, hi in cut))
+            runs.append(len(cut))
+            codes.append(code.hexdigest())
+            cuts.append([{"start": lo, "end": hi} for lo, hi in cut])
+        return pa.table([
+            texts["_own"], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(codes, pa.string()),
+            pa.array(cuts, kind)], names=["_own", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return joined.mapInArrow(finish, (
+    return _grouped_texts(texts, first.unionByName(second), homes).applyInArrow(finish, (
         f"_own {id_type}, n_bytes LONG, n_removed LONG, n_spans LONG, kept_sha256 STRING, spans ARRAY<STRUCT<start: LONG, end: LONG>>"
     )).withColumnRenamed("_own", id_col)

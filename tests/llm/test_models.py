@@ -1,0 +1,234 @@
+"""Classifier, language model, decontamination, mixing and the pipeline, on hard tables and against plain versions."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+import hard
+from seriesprep.llm import class_lm, decontaminate, linear, mixing, quality
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    return {t: spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels", "benchmark")}
+
+
+def test_quality_finds_the_labelled_junk(spark, given):
+    out = quality.classify(given["documents"]).join(given["labels"], "doc_id").toPandas()
+    assert out.p_good.between(0, 1).all()
+    assert out[out.quality == 1].keep.mean() == 1.0 and out[out.quality == 0].keep.mean() < 0.1
+
+
+def test_quality_on_hard_rows(spark):
+    out = quality.classify(hard.table(spark)).collect()
+    assert len(out) == len(hard.ROWS)
+    by_id = {r["doc_id"]: r for r in out}
+    for i in (3, 4, 5):
+        assert by_id[i]["p_good"] == 0 and not by_id[i]["keep"]
+    assert quality.classify(hard.table(spark, [])).count() == 0
+
+
+def test_label_model_recovers_planted_accuracies():
+    rng = np.random.default_rng(3)
+    m, n = len(quality.LABELLERS), 20_000
+    good = rng.random(n) < 0.8
+    rate = np.where(good[:, None], 0.005, np.linspace(0.3, 0.8, m)[None, :])
+    votes = np.where(rng.random((n, m)) < 0.3, quality.NONE, np.where(rng.random((n, m)) < rate, quality.BAD, quality.GOOD))
+    patterns, counts = np.unique(quality._pattern(votes.astype(np.int8)), return_counts=True)
+    posterior, rates, share = quality.label_model(patterns, counts.astype(float), prior=0.001)
+    assert abs(share - 0.8) < 0.02 and np.abs(rates[0] - np.linspace(0.3, 0.8, m)).max() < 0.08
+    assert len(posterior) == len(patterns)
+
+
+def test_linear_separates(spark):
+    rng = random.Random(2)
+    rows = [([y, 2 + rng.randrange(50)], [1.0, 1.0], [1.0 - y, float(y)]) for y in (rng.randrange(2) for _ in range(400))]
+    model = linear.fit(spark.createDataFrame(rows, "index ARRAY<INT>, value ARRAY<FLOAT>, target ARRAY<FLOAT>"), 2, 64)
+    p = model.posteriors(np.array([0, 5, 1, 5]), np.ones(4), np.array([0, 2, 4, 4]))
+    assert p[0, 0] > 0.9 and p[1, 1] > 0.9 and p.shape == (3, 2)
+
+
+def plain_lm(rows):
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+    tokens = [[*hard.words(t), class_lm.END] for _, t in rows]
+    counts = Counter(w for (i, _), ws in zip(rows, tokens, strict=True) if not held(i) for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    return [(i, held(i), len(ws), sum(counts[w] > 0 for w in ws), n, round(sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws), 6))
+            for (i, _), ws in zip(rows, tokens, strict=True)]
+
+
+@pytest.mark.parametrize("dictionary", [1 << 17, 5])
+def test_base_scores(spark, monkeypatch, dictionary):
+    monkeypatch.setattr(class_lm.frequent_words, "__defaults__", (dictionary,))
+    rows = [r for r in hard.ROWS if r[1] not in (hard.LONG, hard.LONG + " tail")] + [(1, "É é a-b A-B a-b"), (6, " ".join(["unseen", "words"] * 9))]
+    got = class_lm.score_corpus(hard.table(spark, rows)).collect()
+    hard.same([(r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got], plain_lm(rows))
+    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
+    assert class_lm.score_corpus(hard.table(spark, [])).count() == 0
+
+
+def test_class_model_adds_up_and_learns(spark, monkeypatch):
+    """Two kinds of words that alternate: probabilities after each word sum to one, and held-out texts get likelier."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice([f"n{rng.randrange(30)}", f"n{rng.randrange(30)}"]) if k % 2 else f"v{rng.randrange(30)}" for k in range(40))) for i in range(200)]
+    docs = hard.table(spark, rows)
+    model = class_lm.fit(docs.filter(~class_lm.held_out(F.col("doc_id"))))
+    scores = class_lm.score(docs, model).filter("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).head()
+    assert scores[0] > 0.9 * scores[1] and scores[2] > 1000
+    classes = dict(zip(model.units.numbers.tolist(), model.classes[model.units.numbers].tolist(), strict=True))
+    down = model.denominator
+    counts = {w: c for w, c in model.vocabulary.collect()}
+    words = sorted(w for w in counts if w != class_lm.END)
+    hashes = class_lm.hash_words(class_lm.pa.array(words))
+    unit = {w: int(model.units.numbers[list(model.units.hashes).index(h)]) for w, h in zip(words, hashes, strict=True)}
+    for before in (class_lm.END_CLASS, classes[unit["v1"]], classes[unit["n1"]]):
+        total = sum(10 ** model.factors[before, classes[unit[w]]] * (counts[w] + 0.5) / down for w in words)
+        total += sum(10 ** model.factors[before, c] * 0.5 / down for c in range(class_lm.CLASSES))
+        total += 10 ** model.factors[before, class_lm.END_CLASS] * (counts[class_lm.END] + 0.5) / down
+        assert abs(total - 1) < 1e-6
+
+
+def test_exchange_raises_likelihood():
+    rng = np.random.default_rng(1)
+    units, k = 40, 4
+    kind = np.arange(units) % 2
+    pairs = rng.poisson(np.where(kind[:, None] != kind[None, :], 6.0, 0.3))
+    classes = np.append(rng.integers(0, k - 1, units - 1), k - 1)
+
+    def tables(c):
+        onehot = np.eye(k)[c]
+        own = np.diagonal(pairs).astype(float)
+        away = pairs - np.diag(np.diagonal(pairs))
+        return away @ onehot, away.T @ onehot, own, onehot.T @ pairs @ onehot
+
+    before = class_lm.likelihood(tables(classes)[3])
+    for _ in range(6):
+        for u in range(units - 1):
+            classes = class_lm.exchange(classes, *tables(classes), np.array([u]))
+            after = class_lm.likelihood(tables(classes)[3])
+            assert after >= before - 1e-6
+            before = after
+    assert len({(kind[u], classes[u]) for u in range(units - 1)}) <= 4
+
+
+def plain_leaks(rows, items):
+    out = []
+    for i, t in rows:
+        w = hard.words(t)
+        for item, text in items:
+            iw = hard.words(text)
+            own = hard.shingles(text)
+            width = min(len(iw), 5)
+            have = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)}
+            if own and 100 * len(own & have) >= 80 * len(own):
+                out.append((i, item, len(own), len(own & have)))
+    return out
+
+
+@pytest.mark.parametrize(("slots", "limit"), [(1 << 24, 200_000), (1 << 16, 0)])
+def test_leaks(spark, monkeypatch, slots, limit):
+    monkeypatch.setattr(decontaminate.slot_filter, "__defaults__", (slots,))
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 3, 5, 8, 30, 200])))) for i in range(30)] + [(99, None), (98, " "), (97, hard.BASE)]
+    rows = list(hard.ROWS)
+    for i in range(40):
+        inside = [hard.words(rng.choice(items)[1]) for _ in range(2)]
+        body = [rng.choice(vocabulary) for _ in range(rng.choice([0, 50, 3000]))] + [w for part in inside for w in part if rng.random() < 0.97] + ["end"]
+        rows.append((300 + i, " ".join(body)))
+    items_df = spark.createDataFrame([(*x, "a") for x in items], "item_id LONG, text STRING, doc_id STRING")
+    got = decontaminate.contaminated(hard.table(spark, rows), items_df)
+    want = plain_leaks(sorted({(i, t) for i, t in rows}, key=repr), items)
+    hard.same([(r["doc_id"], r["item_id"], r["n_item"], r["n_shared"]) for r in got.collect()], want)
+    docs = hard.table(spark, rows)
+    clean = decontaminate.drop_contaminated(docs, items_df)
+    dirty = {(i, t) for i, t in rows if plain_leaks([(i, t)], items)}
+    assert clean.columns == docs.columns
+    hard.same(clean.select("doc_id", "text").collect(), [r for r in rows if r not in dirty])
+    assert decontaminate.contaminated(hard.table(spark, []), items_df).count() == 0
+    assert decontaminate.drop_contaminated(docs, items_df.limit(0)).count() == len(rows)
+
+
+def test_sketches_always_meet():
+    for n in range(1, 400):
+        assert decontaminate.sketch_size(n) > n - -(-80 * n // 100) and decontaminate.sketch_size(n) <= n
+
+
+def test_mixing_meets_its_targets(spark, given):
+    out = mixing.mix(given["documents"], given["labels"]).toPandas()
+    assert len(out) == 1000 and (out.rate >= 0).all()
+    total = out.n_tokens.sum()
+    for domain, share in zip(mixing.DOMAINS, mixing.TARGETS, strict=True):
+        assert abs((out.rate * out.n_tokens * out[f"p_{domain}"]).sum() / total - share) < 1e-4
+    known = out.merge(given["labels"].toPandas(), on="doc_id")
+    assert known[(known.quality == 1) & (known.toxic == 0)].rate.mean() > 5 * known[known.toxic == 1].rate.mean()
+
+
+def test_domains_are_predicted_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = mixing.fit_domains(docs, labels.filter("doc_id % 5 <> 0"))
+    test = mixing.memberships(docs.join(labels.filter("doc_id % 5 = 0"), "doc_id", "left_semi"), model).withColumnRenamed("_id", "doc_id").join(labels, "doc_id").toPandas()
+    truth = np.where(test.toxic == 1, 2, np.where(test.quality == 1, 0, 1))
+    guess = test[["p0", "p1", "p2"]].to_numpy().argmax(axis=1)
+    assert (guess == truth).mean() > 0.9 and (guess[truth == 0] == 0).mean() > 0.97
+
+
+def test_projected_steps_stop_at_zero(spark):
+    rows = [(1, 0, 100, 1.0, 0.0, 0.0), (2, 0, 100, 0.0, 1.0, 0.0), (3, 0, 100, 0.5, 0.4, 0.1)]
+    members = spark.createDataFrame(rows, "_id LONG, _key LONG, n_tokens LONG, p0 DOUBLE, p1 DOUBLE, p2 DOUBLE")
+    rate, have, wanted = mixing.fit_rates(members, (1.0, 0.0, 0.0), steps=60)
+    rates = [r["r"] for r in members.select("_id", rate.alias("r")).orderBy("_id").collect()]
+    assert all(r >= 0 for r in rates) and rates[0] > 2 and rates[1] < 0.1
+    assert np.abs(have - wanted).max() < 0.35 * wanted.sum()
+
+
+def test_mixing_on_hard_rows(spark):
+    labels = spark.createDataFrame([(1, 1, 0, "x"), (1, 0, 0, "x"), (10, None, 0, "x"), (12, 0, 1, "x"), (None, 1, 1, "x"), (777, 1, 1, "x")],
+                                   "doc_id LONG, quality INT, toxic INT, text STRING")
+    docs = hard.table(spark)
+    assert mixing.mix(docs, labels).count() == len(hard.ROWS) and mixing.mix(docs, labels.limit(0)).count() == len(hard.ROWS)
+    assert mixing.mix(hard.table(spark, []), labels).count() == 0
+    out = mixing.with_rates(docs, labels)
+    assert set(out.columns) == set(docs.columns) | {"p_good", "p_poor", "p_toxic"} and out.schema["rate"].dataType.typeName() == "double"
+
+
+def test_pipeline_stages(spark, given):
+    """Every stage against a plain version on the rows its predecessor kept."""
+    docs = given["documents"]
+    rows = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    labels = {r["doc_id"]: r for r in given["labels"].collect()}
+    items = [tuple(r) for r in given["benchmark"].select("item_id", "text").collect()]
+    for name, step in corpus_pipeline.STAGES:
+        out = step(spark, docs, FOLDER)
+        if name != "mixing":
+            assert out.columns == given["documents"].columns
+        out = corpus_pipeline.stage(out)
+        kept = [r["doc_id"] for r in out.collect()]
+        assert len(kept) == len(set(kept))
+        if name == "quality":
+            assert all(i in kept for i, r in labels.items() if r["quality"] == 1)
+        if name == "exact":
+            assert sorted(kept) == sorted({t: i for i, t in sorted(rows.items())}.values())
+        if name == "similar":
+            assert sorted(kept) == sorted(i for i, _, c in hard.components(sorted(rows.items())) if i == c)
+        if name == "leaks":
+            assert sorted(kept) == sorted(i for i in rows if not plain_leaks([(i, rows[i])], items))
+        if name == "mixing":
+            assert sorted(kept) == sorted(rows)
+        docs, rows = out, {i: rows[i] for i in kept}
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path, given):
+    for t, df in given.items():
+        (df.limit(0) if t == "documents" else df).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
