@@ -180,7 +180,8 @@ def exchange(classes: np.ndarray, right: np.ndarray, left: np.ndarray, itself: n
         g[own] -= r
         g[:, own] -= l
         g[own, own] -= s
-        rows, cols, diagonal = g.sum(axis=1), g.sum(axis=0), np.diagonal(g)
+        # totals of the classes with the unit back among their neighbours, wherever it goes
+        rows, cols, diagonal = g.sum(axis=1) + l, g.sum(axis=0) + r, np.diagonal(g)
         base = _phi(g)
         with_row, with_col = _phi(g + r[None, :]) - base, _phi(g + l[:, None]) - base
         gain = (
