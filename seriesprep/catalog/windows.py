@@ -181,13 +181,13 @@ def _(spark, folder):
 
 @registry("rolling_time_by_series", _range_sql("value", "events", "event_id", 1, "PARTITION BY user_id"))
 def _(spark, folder):
-    df = rolling_time(events(spark, folder), BY_USER, ["value"], dense=False)
+    df = rolling_time(events(spark, folder), BY_USER, ["value"])
     return kept(df, "event_id", "value_mean_24h", "value_std_24h")
 
 
 @registry("rolling_time_dense", _range_sql("value", "events", "event_id", 1))
 def _(spark, folder):
-    df = rolling_time(events(spark, folder), EVENTS, ["value"], dense=True)
+    df = rolling_time(events(spark, folder), EVENTS, ["value"])
     return kept(df, "event_id", "value_mean_24h", "value_std_24h")
 
 

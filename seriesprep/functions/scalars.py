@@ -15,6 +15,12 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def finite(name: str) -> str:
+    """SQL of a column with infinite values as null, as rolling and weighted statistics take them."""
+    x = quoted(name)
+    return f"CASE WHEN abs({x}) < double('infinity') THEN {x} END"
+
+
 def col(name: str) -> Column:
     """A column by its exact name, dots and parentheses included.
 

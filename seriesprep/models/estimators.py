@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
@@ -35,17 +35,14 @@ class Preparation:
     features: list[str]
     fill: dict[str, float]
     scale: dict[str, tuple[float, float]] | None = None
+    dropped: list[str] = field(default_factory=list)
 
     @classmethod
     def fit(cls, train: DataFrame, features: Sequence[str], impute: str = "mean", scale: bool = False):
         fill = {"mean": fit_means, "median": fit_medians}[impute](train, features)
         usable = [c for c in features if c in fill]
         params = fit_scale(impute_saved(train, fill), usable) if scale else None
-        return cls(usable, fill, params)
-
-    @property
-    def dropped(self) -> list[str]:
-        return [c for c in self.fill if c not in self.features]
+        return cls(usable, fill, params, [c for c in features if c not in fill])
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Filled and scaled copies of the features as one vector column ``features``."""

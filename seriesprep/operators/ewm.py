@@ -29,7 +29,8 @@ PAST = "_past"
 
 
 def _known(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).combine_chunks().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    x = table.column(name).combine_chunks().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    return np.where(np.isfinite(x), x, np.nan)  # infinite values count as missing
 
 
 def _alone(x: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:

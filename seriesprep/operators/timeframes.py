@@ -2,126 +2,85 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesprep import layout
-from seriesprep.functions.scalars import col, quoted
+from seriesprep.functions.scalars import col, finite, quoted
 from seriesprep.spec import SeriesSpec
 
-DENSE_FRAME_ROWS = 4_000
-FRAMES_PER_BLOCK = 8
 HOUR = 3_600_000_000  # in microseconds
+PARTS = ("n", "mean", "square", "low", "high")  # count, mean, sum of squared distances to it, extremes
 
 
 def rolling_time(
-    df: DataFrame, spec: SeriesSpec, columns: Sequence[str], hours: int = 24,
-    min_periods: int = 1, dense: bool | None = None,
+    df: DataFrame, spec: SeriesSpec, columns: Sequence[str], hours: int = 24, min_periods: int = 1,
 ) -> DataFrame:
     """Mean and sample std over ``(t - hours, t]`` as ``{c}_mean_{h}h`` and ``{c}_std_{h}h``.
 
-    A range frame costs its row count for every row, so it serves series whose frames hold
-    few rows: on blocks of a few frame lengths, each with the rows just before it.
-    Dense series take running sums instead, whose cost does not depend on the density.
-    ``dense=None`` measures the densest time bucket and chooses.
+    Time is cut into spans as long as the frame, so a frame is the end of one span and the beginning of the next.
+    Both are running statistics, forwards and backwards within a span, whose cost does not depend on the number of
+    rows in a frame; they are merged by count, mean and squared distances, without differences of sums. The
+    layout of ``spec`` plays no part. Infinite values count as missing.
     """
-    if spec.layout == "direct" and not dense:
-        return df.withColumns(_range_frame(_range_over(spec, hours), columns, hours, min_periods))
-    if dense is None:
-        dense = 2 * _densest_bucket(df, spec, hours) > DENSE_FRAME_ROWS
-    pick = _by_running_sums if dense else _by_blocks
-    return pick(df, spec, columns, hours, min_periods)
-
-
-def _range_over(spec: SeriesSpec, hours: int, *block: str) -> Callable[[str], Column]:
-    """Turn the SQL of an aggregate into its value over ``(t - hours, t]``.
-
-    Range frames over an interval exist in SQL only. The frame is one microsecond short of
-    ``hours``, because its left end is open.
-    """
-    keys = ", ".join(quoted(k) for k in (*block, *spec.by))
-    part = f"PARTITION BY {keys} " if keys else ""
-    frame = f"RANGE BETWEEN INTERVAL '{hours - 1}:59:59.999999' HOUR TO SECOND PRECEDING AND CURRENT ROW"
-    return lambda agg: F.expr(f"{agg} OVER ({part}ORDER BY {quoted(spec.ts)} {frame})")
-
-
-def _range_frame(over: Callable[[str], Column], columns, hours: int, min_periods: int) -> dict[str, Column]:
-    out: dict[str, Column] = {}
-    for c in columns:
-        x = quoted(c)
-        enough, spread = over(f"count({x})") >= min_periods, over(f"stddev_samp({x})")
-        # exact when all values of the frame are equal
-        mean = F.when(spread == 0, over(f"min({x})")).otherwise(over(f"avg({x})"))
-        out[f"{c}_mean_{hours}h"] = F.when(enough, mean)
-        out[f"{c}_std_{hours}h"] = F.when(enough, spread)
-    return out
-
-
-def _micros(spec: SeriesSpec) -> Column:
-    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", origin, col(spec.ts))
-
-
-def _bucket(spec: SeriesSpec, hours: int) -> Column:
-    return F.floor(_micros(spec) / F.lit(hours * HOUR)).cast("long")
-
-
-def _densest_bucket(df: DataFrame, spec: SeriesSpec, hours: int) -> int:
-    counts = df.groupBy(*spec.by, _bucket(spec, hours).alias("_b")).count()
-    return int(counts.agg(F.max("count")).first()[0] or 0)
-
-
-def _by_blocks(df, spec, columns, hours, min_periods):
-    """Blocks of several frame lengths; the rows of a block's last frame also serve the next block."""
-    size = hours * FRAMES_PER_BLOCK
-    home = _bucket(spec, size)
-    near_end = _micros(spec) - home * F.lit(size * HOUR) >= F.lit((size - hours) * HOUR)
-    copies = df.withColumn(layout.BLOCK, F.explode(F.array_compact(F.array(home, F.when(near_end, home + 1)))))
-    over = _range_over(spec, hours, layout.BLOCK)
-    out = copies.withColumns(_range_frame(over, columns, hours, min_periods))
-    return out.filter(F.col(layout.BLOCK) == home).drop(layout.BLOCK)
-
-
-def _by_running_sums(df, spec, columns, hours, min_periods):
-    """Count, sum and sum of squares as running sums of rows that enter and rows that leave.
-
-    Every time adds its values at ``t`` and takes them back at ``t + hours``, so the running
-    sum at ``t`` is the sum over the frame. Values are taken around their approximate median
-    to keep the sums small; spreads below 1e-5 of the distance to it count as zero.
-    """
-    centre = df.agg(*[
-        F.percentile_approx(col(c).cast("double"), 0.5, 1000).alias(f"_{i}") for i, c in enumerate(columns)
-    ]).first()
-    centre = [F.lit(m if m is not None else 0.0) for m in centre]
-    sums: dict[str, Column] = {}
-    for i, c in enumerate(columns):
-        x = col(c) - centre[i]
-        sums |= {f"_n{i}": F.count(x).cast("double"), f"_s{i}": F.sum(x), f"_q{i}": F.sum(x * x)}
-    times = df.groupBy(*spec.by, col(spec.ts).alias("_t")).agg(
-        *[F.coalesce(s, F.lit(0.0)).alias(n) for n, s in sums.items()]
-    )
-    enters = F.struct(F.col("_t").alias("at"), F.lit(1).alias("kind"))
-    leaves = F.struct(
-        (F.col("_t") + F.expr(f"INTERVAL '{hours}' HOUR")).alias("at"), F.lit(0).alias("kind")
-    )
-    moves = times.withColumn("_e", F.explode(F.array(enters, leaves))).select(
-        "*", F.col("_e.at").alias("_at"), F.col("_e.kind").alias("_kind")
-    ).drop("_e")
-    sign = F.when(F.col("_kind") == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
-    along = SeriesSpec(ts="_at", by=spec.by, tiebreak=("_kind", "_t"), layout="blocked",
-                       block_rows=spec.block_rows)
-    frames = layout.running_sums(moves, along, {f"{n}_f": sign * F.col(n) for n in sums})
+    start = {f"_{p}{i}": F.expr(text) for i, c in enumerate(columns) for p, text in _running(_beginning(spec, hours), c).items()}
+    rows = df.withColumns(start)
+    ends = _ends(df, spec, columns, hours)
+    joined = layout.match_rows(rows, ends, [*spec.by, spec.ts])
     out: dict[str, Column] = {}
     for i, c in enumerate(columns):
-        n, s, q = (F.round(F.col(f"_n{i}_f"), 0), F.col(f"_s{i}_f"), F.col(f"_q{i}_f"))
-        left = q - F.try_divide(s * s, n)
-        left = F.when(left > F.abs(q) * 1e-10, left).otherwise(F.lit(0.0))
-        enough = n >= min_periods
-        out[f"{c}_mean_{hours}h"] = F.when(enough, centre[i] + F.try_divide(s, n))
-        out[f"{c}_std_{hours}h"] = F.when(enough & (n > 1), F.sqrt(F.try_divide(left, n - 1)))
-    stats = frames.filter(F.col("_kind") == 1).select(
-        *spec.by, F.col("_t").alias(spec.ts), *[v.alias(k) for k, v in out.items()]
-    )
-    return layout.match_rows(df, stats, [*spec.by, spec.ts])
+        mean, spread, n = _merged(i)
+        out[f"{c}_mean_{hours}h"] = F.when(n >= min_periods, mean)
+        out[f"{c}_std_{hours}h"] = F.when(n >= min_periods, spread)
+    helpers = [f"{mark}{p}{i}" for mark in ("_", "_e") for p in PARTS for i in range(len(columns))]
+    return joined.withColumns(out).drop(*helpers)
+
+
+def _span(time: str, hours: int) -> str:
+    origin = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+    return f"floor(timestampdiff(MICROSECOND, {origin}, CAST({time} AS TIMESTAMP_NTZ)) / {hours * HOUR}L)"
+
+
+def _beginning(spec: SeriesSpec, hours: int) -> str:
+    """Window from the start of a row's span through all rows of its time."""
+    keys = ", ".join([*map(quoted, spec.by), _span(quoted(spec.ts), hours)])
+    return f"(PARTITION BY {keys} ORDER BY {quoted(spec.ts)} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+def _running(window: str, column: str) -> dict[str, str]:
+    x = f"CAST({finite(column)} AS DOUBLE)"
+    return {
+        "n": f"count({x}) OVER {window}", "mean": f"avg({x}) OVER {window}", "square": f"var_pop({x}) OVER {window} * count({x}) OVER {window}",
+        "low": f"min({x}) OVER {window}", "high": f"max({x}) OVER {window}",
+    }
+
+
+def _ends(df: DataFrame, spec: SeriesSpec, columns: Sequence[str], hours: int) -> DataFrame:
+    """For every time t, the statistics of the rows after ``t - hours`` in the span before t's own."""
+    keys = [col(k) for k in spec.by]
+    values = [col(c).alias(f"_x{i}") for i, c in enumerate(columns)]
+    known = df.select(*keys, col(spec.ts).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(df.schema[spec.ts].dataType).alias("_t"), *values)
+    asked = df.select(*keys, (col(spec.ts) - F.expr(f"INTERVAL '{hours}' HOUR")).alias("_at"), F.lit(0).alias("_kind"), col(spec.ts).alias("_t")).distinct()
+    both = known.unionByName(asked, allowMissingColumns=True)
+    # going back in time, what is asked at a time comes before the rows of that very time
+    part = ", ".join([*map(quoted, spec.by), _span("_at", hours)])
+    window = f"(PARTITION BY {part} ORDER BY _at DESC, _kind ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    stats = {f"_e{p}{i}": F.expr(text) for i in range(len(columns)) for p, text in _running(window, f"_x{i}").items()}
+    return both.withColumns(stats).filter("_kind = 0").select(*keys, col("_t").alias(spec.ts), *stats)
+
+
+def _merged(i: int) -> tuple[Column, Column, Column]:
+    """Mean, sample std and count of both parts of column ``i`` together."""
+    n1, n2 = (F.coalesce(F.col(f"{mark}n{i}"), F.lit(0)).cast("double") for mark in ("_", "_e"))
+    n = n1 + n2
+    m1, m2 = F.coalesce(f"_mean{i}", f"_emean{i}"), F.coalesce(f"_emean{i}", f"_mean{i}")
+    q1, q2 = (F.coalesce(F.col(f"{mark}square{i}"), F.lit(0.0)) for mark in ("_", "_e"))
+    low, high = F.least(f"_low{i}", f"_elow{i}"), F.greatest(f"_high{i}", f"_ehigh{i}")
+    apart = m2 - m1
+    square = q1 + q2 + apart * apart * F.try_divide(n1 * n2, n)
+    equal = low == high  # then the mean is the value itself, and nothing is left of rounding
+    mean = F.when(equal, low).otherwise(m1 + apart * F.try_divide(n2, n))
+    spread = F.when(n > 1, F.when(equal, F.lit(0.0)).otherwise(F.sqrt(F.try_divide(square, n - 1))))
+    return mean, spread, n

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesprep import layout
-from seriesprep.functions.scalars import col, quoted
+from seriesprep.functions.scalars import col, finite, quoted
 from seriesprep.layout import Over
 from seriesprep.spec import SeriesSpec
 
@@ -34,8 +34,8 @@ def rolling_past_exprs(over: Over, columns: Sequence[str], windows: Sequence[int
     out: dict[str, Column] = {}
     for c in columns:
         for size in windows:
-            out[f"{c}_roll{size}_mean"] = over(f"avg({quoted(c)})", -size, -1)
-            out[f"{c}_roll{size}_std"] = over(f"stddev_pop({quoted(c)})", -size, -1)
+            out[f"{c}_roll{size}_mean"] = over(f"avg({finite(c)})", -size, -1)
+            out[f"{c}_roll{size}_std"] = over(f"stddev_pop({finite(c)})", -size, -1)
     return out
 
 
@@ -43,9 +43,9 @@ def moving_average_exprs(over: Over, columns, windows, strict: bool, name: str):
     out: dict[str, Column] = {}
     for c in columns:
         for size in windows:
-            mean = over.text(f"avg({quoted(c)})", 1 - size, 0)
+            mean = over.text(f"avg({finite(c)})", 1 - size, 0)
             if strict:
-                known = over.text(f"count({quoted(c)})", 1 - size, 0)
+                known = over.text(f"count({finite(c)})", 1 - size, 0)
                 mean = f"CASE WHEN {known} = {size} THEN {mean} END"
             out[name.format(c=c, w=size)] = F.expr(mean)
     return out
@@ -63,12 +63,12 @@ def zscore_past_exprs(over: Over, columns, size: int = 24, min_periods: int = 12
     """
     out: dict[str, Column] = {}
     for c in columns:
-        x = quoted(c)
-        spread = over.text(f"stddev_pop({x})", -size, -1)
+        x, known = quoted(c), finite(c)
+        spread = over.text(f"stddev_pop({known})", -size, -1)
         out[f"{c}_is_anom"] = F.expr(
-            f"CASE WHEN {x} IS NULL OR {over.text(f'count({x})', -size, -1)} < {min_periods} THEN NULL"
-            f" WHEN {spread} > 0 THEN CAST(abs({x} - {over.text(f'avg({x})', -size, -1)}) > {float(k)}D * {spread} AS DOUBLE)"
-            f" WHEN {x} <> {over.text(f'min({x})', -size, -1)} THEN 1D END"
+            f"CASE WHEN {x} IS NULL OR {over.text(f'count({known})', -size, -1)} < {min_periods} THEN NULL"
+            f" WHEN {spread} > 0 THEN CAST(abs({x} - {over.text(f'avg({known})', -size, -1)}) > {float(k)}D * {spread} AS DOUBLE)"
+            f" WHEN {x} <> {over.text(f'min({known})', -size, -1)} THEN 1D END"
         )
     return out
 
@@ -120,7 +120,7 @@ def rolling_stats(
     df: DataFrame, spec: SeriesSpec, column: str, size: int = 24, min_periods: int = 8, ddof: int = 1
 ) -> DataFrame:
     """Inclusive rolling mean and std of one column as a table; incomplete rows are dropped."""
-    x, spread = quoted(column), "stddev_samp" if ddof else "stddev_pop"
+    x, spread = finite(column), "stddev_samp" if ddof else "stddev_pop"
 
     def build(over: Over):
         enough = over(f"count({x})", 1 - size, 0) >= min_periods

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helpers import SPEC, by_id, per_series, series_frame
 from seriesprep.operators import windows
 from seriesprep.operators.ewm import ewm_mean
+from seriesprep.operators.anomaly import residual_flag
 from seriesprep.operators.timeframes import rolling_time
 from seriesprep.plans.feature_store import feature_store
 from seriesprep.spec import SeriesSpec
@@ -131,25 +132,51 @@ def by_time(g):
     return g.assign(a_mean_24h=s.mean().to_numpy(), a_std_24h=s.std().to_numpy())
 
 
-@pytest.mark.parametrize("dense", [False, True])
-@pytest.mark.parametrize("layout", ["direct", "auto"])
-def test_rolling_time(spark, dense, layout):
+@pytest.mark.parametrize("layout", ["direct", "auto", "blocked"])
+def test_rolling_time(spark, layout):
     df = time_frame(spark)
-    out = rolling_time(df, SPEC.using(layout=layout, block_rows=40), ["a"], 24, 3, dense=dense)
+    out = rolling_time(df, SPEC.using(layout=layout, block_rows=40), ["a"], 24, 3)
     pd.testing.assert_frame_equal(by_id(out), per_series(df.toPandas(), by_time), check_dtype=False, rtol=1e-7, atol=1e-7)
 
 
-def test_rolling_time_peers_count_whatever_the_density(spark):
+def test_rolling_time_counts_all_rows_of_a_time(spark):
     df = series_frame(spark, 200, seed=9)
     df = df.withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz")).cache()
-    a = by_id(rolling_time(df, SPEC, ["a"], 24, 1, dense=False))
-    b = by_id(rolling_time(df, SPEC.using(block_rows=16), ["a"], 24, 1, dense=True))
-    pd.testing.assert_frame_equal(a, b, rtol=1e-7, atol=1e-6)
+    want = df.toPandas().assign(key=lambda d: d.k.fillna("none"))
 
+    def frame(row):
+        own = want[(want.key == row.key) & (want.ts <= row.ts) & (want.ts > row.ts - pd.Timedelta("24h"))].a
+        return own.mean(), own.std()
 
-def test_dense_frames_of_equal_values_have_no_spread(spark):
+    out = by_id(rolling_time(df, SPEC, ["a"], 24, 1))
+    got = out.merge(want.assign(want=want.apply(frame, axis=1))[["id", "k", "want"]], on=["id", "k"])
+    assert len(got) == len(want)
+    for c, i in (("a_mean_24h", 0), ("a_std_24h", 1)):
+        pd.testing.assert_series_equal(got[c].astype(float), got.want.str[i].astype(float), check_names=False, rtol=1e-7, atol=1e-7)
+
+
+def test_frames_of_equal_values_have_no_spread(spark):
     times = pd.date_range("2024-01-01", periods=60, freq="h")
     rows = [("x", i, times[i].to_pydatetime(), 0.1 if i < 55 else 7.3, 0.0) for i in range(60)]
     df = spark.createDataFrame(rows, "k string, id long, ts timestamp_ntz, a double, b double")
-    out = by_id(rolling_time(df, SPEC, ["a"], 24, 1, dense=True))
+    out = by_id(rolling_time(df, SPEC, ["a"], 24, 1))
     assert (out["a_std_24h"][1:55] == 0).all() and out["a_std_24h"][55] > 0
+
+
+def test_shifted_stretch_and_infinity_give_the_flags_of_pandas(spark):
+    """Values near 0 with a stretch near a million, where sums of squares would lose the spread, and one infinity."""
+    rng = np.random.default_rng(7)
+    times = pd.date_range("2024-01-01", periods=400, freq="37min")
+    a = rng.normal(0, 0.1, 400)
+    a[120:300] += 1e6
+    a[[60, 200, 350]] += 5
+    a[310] = np.inf
+    df = spark.createDataFrame([("x", i, times[i].to_pydatetime(), float(a[i]), 0.0) for i in range(400)], "k string, id long, ts timestamp_ntz, a double, b double")
+    series = pd.Series(np.where(np.isinf(a), np.nan, a), times)
+    mean, std = (getattr(series.rolling("24h", min_periods=12), f)() for f in ("mean", "std"))
+    out = by_id(residual_flag(df, SPEC, ["a"]))
+    sure = ~np.isclose(np.abs(a - mean), 3 * std, rtol=1e-4)  # pandas itself loses digits in the stretch
+    want = (np.abs(a - mean) > 3 * std).fillna(False).astype(int).to_numpy()
+    exact = [(np.nanmean(w), np.nanstd(w, ddof=1)) for w in (series[(times > t - pd.Timedelta("24h")) & (times <= t)] for t in times)]
+    plain = np.array([int(abs(v - m) > 3 * s) if k >= 12 and np.isfinite(s) else 0 for k, (v, (m, s)) in enumerate(zip(a, exact, strict=True))])
+    assert (out["an_resid_a"].to_numpy() == plain)[12:].all() and (plain == want)[12:][sure[12:]].mean() > 0.97
