@@ -35,10 +35,10 @@ from seriesprep.workspace import stage
 
 WIDTH = 50
 GRAM = 24
-FLUSH_BYTES = 4 << 20
+FLUSH_BYTES = 2 << 20
 BATCH = 1 << 17
 MIXED = 128  # set in the number of windows of an entry that stands for several segments of its anchor
-TASK_BYTES = 32 << 20  # text whose entries go to one task
+TASK_BYTES = 12 << 20  # text whose entries go to one task
 HOME_BYTES = 4 << 20  # text of a group of documents
 
 U = np.uint64
@@ -248,6 +248,7 @@ def match_segments(entries: DataFrame, partitions: int, homes: int) -> DataFrame
         if got is not None:
             order = np.argsort(got[2], kind="stable")  # batches by ascending id
             anchor, value, ids, marks, at, n = (x[order] for x in got)
+            got = None
             mixed, repeated, family = np.zeros(len(ids), bool), np.zeros(len(ids), bool), IndexFamily()
             lo = 0
             while lo < len(ids):
