@@ -5,136 +5,73 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesprep.functions.scalars import col
 
-BUILTIN_ROWS = 1_000_000
-COLLECT_VALUES = 100_000
+ACCURACY = 10_000
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-    builtin_rows: int = BUILTIN_ROWS, collect_values: int = COLLECT_VALUES,
-) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles per column (None for a column without values).
+def _number(name: str) -> Column:
+    """A column as doubles, NaN as null."""
+    x = col(name).cast("double")
+    return F.when(~F.isnan(x), x)
 
-    Up to ``builtin_rows`` rows the built-in ``percentile`` does it. It keeps the distinct
-    values of a column in one buffer, so beyond that each wanted rank is enclosed between two
-    approximate quantiles, the rows below are counted, and the enclosure is narrowed until
-    few distinct values are left in it.
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles per column (None for a column without values; NaN counts as missing).
+
+    Each wanted rank is enclosed between two approximate quantiles, the rows below and at both ends are counted, and
+    the enclosure is narrowed until the rank stands at one of its ends. A round is two aggregates for all columns
+    and shrinks an enclosure some thousandfold; no values are collected.
     """
     columns = list(columns)
     if not columns:
         return {}
-    counts = df.agg(*[F.count(col(c)).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    counts = df.agg(*[F.count(_number(c)).alias(f"_{i}") for i, c in enumerate(columns)]).first()
     sizes = {c: int(counts[i]) for i, c in enumerate(columns)}
-    if max(sizes.values()) <= builtin_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[
-            F.percentile(col(c).cast("double"), wanted).alias(f"_{i}") for i, c in enumerate(columns)
-        ]).first()
-        return {c: (list(row[i]) if sizes[c] else [None] * len(probs)) for i, c in enumerate(columns)}
-    ranks: dict[tuple[str, int], float | None] = {}
-    for c in columns:
-        for p in probs:
-            if sizes[c]:
-                at = p * (sizes[c] - 1)
-                ranks[c, math.floor(at)] = None
-                ranks[c, math.ceil(at)] = None
-    _select(df, ranks, collect_values)
-    out: dict[str, list[float | None]] = {}
-    for c in columns:
-        values: list[float | None] = []
-        for p in probs:
-            if not sizes[c]:
-                values.append(None)
-                continue
-            at = p * (sizes[c] - 1)
-            low, high = ranks[c, math.floor(at)], ranks[c, math.ceil(at)]
-            values.append(low + (high - low) * (at - math.floor(at)))
-        out[c] = values
+    places = {c: [p * (sizes[c] - 1) for p in probs] for c in columns if sizes[c]}
+    wanted = {(c, r) for c, ats in places.items() for at in ats for r in (math.floor(at), math.ceil(at))}
+    ranks = _select(df, sorted(wanted), sizes)
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
+    for c, ats in places.items():
+        ends = [(ranks[c, math.floor(at)], ranks[c, math.ceil(at)], at - math.floor(at)) for at in ats]
+        out[c] = [low if low == high else low + (high - low) * part for low, high, part in ends]
     return out
 
 
-def _select(df: DataFrame, ranks: dict[tuple[str, int], float | None], collect_values: int) -> None:
-    """Fill in the value at each (column, 0-based rank)."""
-    inf = float("inf")
-    spans = {key: (-inf, inf) for key in ranks}
-    below = {key: 0 for key in ranks}
-    open_keys = list(ranks)
-    accuracy = 10_000
-    while open_keys:
-        inside = {
-            key: F.when(col(key[0]).between(*spans[key]), col(key[0]).cast("double")) for key in open_keys
-        }
-        row = df.agg(*[
-            F.struct(
-                F.count(x).alias("n"), F.approx_count_distinct(x).alias("d"),
-                F.min(x).alias("lo"), F.max(x).alias("hi"),
-            ).alias(f"_{i}")
-            for i, x in enumerate(inside.values())
+def _select(df: DataFrame, keys: list[tuple[str, int]], sizes: dict[str, int]) -> dict[tuple[str, int], float]:
+    """The value at each (column, 0-based rank)."""
+    found: dict[tuple[str, int], float] = {}
+    spans = {k: (-math.inf, math.inf) for k in keys}
+    below = dict.fromkeys(keys, 0)
+    held = {k: sizes[k[0]] for k in keys}  # values within the enclosure
+    while keys:
+        inside = {k: F.when(_number(k[0]).between(*spans[k]), _number(k[0])) for k in keys}
+        guesses = []
+        for k in keys:
+            share, slack = (k[1] - below[k]) / max(held[k] - 1, 1), 4.0 / ACCURACY
+            guesses.append(F.percentile_approx(inside[k], [max(share - slack, 0.0), min(share + slack, 1.0)], ACCURACY))
+        ends = df.agg(*[g.alias(f"_{i}") for i, g in enumerate(guesses)]).first()
+        counts = df.agg(*[
+            F.struct(*[F.count_if(test).alias(name) for name, test in (
+                ("under", inside[k] < lo), ("to_low", inside[k] <= lo), ("to_high", inside[k] < hi), ("upto", inside[k] <= hi))]).alias(f"_{i}")
+            for i, (k, (lo, hi)) in enumerate(zip(keys, ends, strict=True))
         ]).first()
-        few, many = [], []
-        for i, key in enumerate(open_keys):
-            cell = row[i]
-            if cell["lo"] == cell["hi"]:
-                ranks[key] = cell["lo"]
+        for i, (k, (lo, hi)) in enumerate(zip(keys, ends, strict=True)):
+            at, n, (low, high) = k[1] - below[k], counts[i], spans[k]
+            if at < n["under"]:
+                spans[k], held[k] = (low, math.nextafter(lo, -math.inf)), n["under"]
+            elif at < n["to_low"]:
+                found[k] = lo
+            elif at < n["to_high"]:
+                spans[k], held[k] = (math.nextafter(lo, math.inf), math.nextafter(hi, -math.inf)), n["to_high"] - n["to_low"]
+                below[k] += n["to_low"]
+            elif at < n["upto"]:
+                found[k] = hi
             else:
-                (few if cell["d"] <= collect_values else many).append((key, cell))
-        if few:
-            _count_out(df, ranks, spans, below, [k for k, _ in few])
-        if many:
-            _narrow(df, spans, below, many, inside, accuracy)
-        open_keys = [k for k, _ in many]
-
-
-def _count_out(df, ranks, spans, below, keys) -> None:
-    """Rank lookup in the counts of the few distinct values left in the enclosures."""
-    entries = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.when(col(c).between(*spans[c, r]), col(c).cast("double")).alias("v"))
-        for i, (c, r) in enumerate(keys)
-    ])
-    pairs = df.select(F.explode(entries).alias("e")).select("e.i", "e.v").dropna()
-    found: dict[int, list[tuple[float, int]]] = {}
-    for r in pairs.groupBy("i", "v").count().collect():
-        found.setdefault(r["i"], []).append((r["v"], r["count"]))
-    for i, key in enumerate(keys):
-        seen = below[key]
-        for value, n in sorted(found[i]):
-            seen += n
-            if seen > key[1]:
-                ranks[key] = value
-                break
-
-
-def _narrow(df, spans, below, many, inside, accuracy) -> None:
-    """Shrink each enclosure to two neighbouring approximate quantiles around the rank."""
-    guesses = []
-    for key, cell in many:
-        share = (key[1] - below[key]) / max(cell["n"] - 1, 1)
-        slack = 4.0 / accuracy
-        probs = [max(share - slack, 0.0), min(share + slack, 1.0)]
-        guesses.append(F.percentile_approx(inside[key], probs, accuracy))
-    found = df.agg(*[g.alias(f"_{i}") for i, g in enumerate(guesses)]).first()
-    tries = [(key, cell, found[i]) for i, (key, cell) in enumerate(many)]
-    counts = df.agg(*[
-        F.struct(
-            F.count_if(inside[key] < F.lit(lo)).alias("under"),
-            F.count_if(inside[key] <= F.lit(hi)).alias("upto"),
-        ).alias(f"_{i}")
-        for i, (key, _, (lo, hi)) in enumerate(tries)
-    ]).first()
-    for i, (key, cell, (lo, hi)) in enumerate(tries):
-        low, high = spans[key]
-        at = key[1] - below[key]
-        if counts[i]["under"] > at:
-            high, low_edge = math.nextafter(lo, -math.inf), None
-        elif counts[i]["upto"] <= at:
-            low_edge, high = math.nextafter(hi, math.inf), high
-            below[key] += counts[i]["upto"]
-        else:
-            low_edge, high = lo, hi
-            below[key] += counts[i]["under"]
-        spans[key] = (low if low_edge is None else low_edge, high)
+                spans[k], held[k] = (math.nextafter(hi, math.inf), high), held[k] - n["upto"]
+                below[k] += n["upto"]
+        keys = [k for k in keys if k not in found]
+    return found

@@ -19,8 +19,7 @@ def frame(spark):
     return df.withColumn("split", split).cache()
 
 
-@pytest.mark.parametrize("builtin,collect", [(10**6, 10), (0, 10), (0, 10**6), (0, 200)])
-def test_exact_quantiles(spark, builtin, collect):
+def test_exact_quantiles(spark):
     rng = np.random.default_rng(0)
     data = pd.DataFrame({
         "u": rng.normal(size=5000), "few": rng.integers(0, 4, 5000).astype(float), "same": 2.5,
@@ -28,16 +27,29 @@ def test_exact_quantiles(spark, builtin, collect):
     })
     probs = [0.0, 0.25, 0.5, 0.98, 1.0]
     df = spark.createDataFrame(data).withColumn("none", F.lit(None).cast("double")).repartition(7)
-    got = exact_quantiles(df, [*data.columns, "none"], probs, builtin_rows=builtin, collect_values=collect)
+    got = exact_quantiles(df, [*data.columns, "none"], probs)
     for c in data.columns:
         np.testing.assert_allclose(got[c], np.quantile(data[c], probs), rtol=1e-12)
     assert got["none"] == [None] * 5
 
 
+def test_quantiles_of_extreme_columns(spark):
+    """Two values with the rank at their border, one value only, infinities, and NaN as missing."""
+    n = 20_000
+    data = pd.DataFrame({
+        "two": np.where(np.arange(n) < n // 2, 1.0, 2.0), "same": np.full(n, 7.5), "wide": np.exp(np.linspace(-700, 700, n)),
+        "ends": np.r_[[-np.inf, np.inf], np.arange(n - 2)], "holes": np.where(np.arange(n) % 3 == 0, np.nan, np.arange(n))})
+    df = spark.createDataFrame(data.sample(frac=1, random_state=1)).repartition(5)
+    probs = [0.0, 0.25, 0.5, 0.500025, 0.9999, 1.0]
+    got = exact_quantiles(df, list(data.columns), probs)
+    for c in ("two", "same", "wide", "holes"):
+        np.testing.assert_allclose(got[c], np.nanquantile(data[c], probs), rtol=1e-12)
+    assert got["ends"][0] == -np.inf and got["ends"][-1] == np.inf and got["ends"][2] == np.quantile(data["ends"][2:], 0.5)
+
+
 def test_quantiles_with_nulls(spark):
     df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, 4.0, None)], "v double")
     assert exact_quantiles(df, ["v"], [0.5])["v"] == [2.5]
-    assert exact_quantiles(df, ["v"], [0.5], builtin_rows=0, collect_values=1)["v"] == [2.5]
 
 
 def test_imputers_fit_on_train_only(frame):
