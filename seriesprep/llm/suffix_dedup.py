@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,6 +98,12 @@ def _spread(first: np.ndarray, values: np.ndarray) -> np.ndarray:
     return values[first][np.cumsum(first) - 1]
 
 
+def _several(first: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each group of sorted rows, whether it has more than one id."""
+    starts = np.flatnonzero(first)
+    return np.minimum.reduceat(ids, starts) < np.maximum.reduceat(ids, starts) if len(starts) else np.empty(0, bool)
+
+
 def _spans(ids: np.ndarray, marks: np.ndarray, at: np.ndarray, n: np.ndarray, part: bool) -> np.ndarray:
     out = np.empty(len(ids), SPAN)
     out["id"], out["mark"], out["at"], out["n"], out["part"] = ids, marks, at, n, part
@@ -141,8 +148,10 @@ def _packed(
 
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of rounds whose results are written; Spark drops them when the driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # first the handles of Python go, then what they held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -167,7 +176,8 @@ def segment_entries(rows: DataFrame, buckets: int, homes: int) -> DataFrame:
                 new_anchor, new_whole = _first_of(anchor), _first_of(anchor, whole)
                 repeated = ids > _spread(new_whole, ids)
                 group = np.cumsum(new_anchor) - 1
-                mixed = (np.bincount(group, new_whole) > 1)[group]
+                # several segments, and of several documents: an anchor that one document repeats is not compared with itself
+                mixed = ((np.bincount(group, new_whole) > 1) & _several(new_anchor, ids))[group]
                 some = mixed & ~repeated
                 spans = np.concatenate([_spans(ids[x], own_marks[row[x]], at[x], n[x], part) for x, part in ((repeated, False), (some, True))])
                 sent = np.where(mixed, new_anchor, ~repeated)
@@ -270,6 +280,7 @@ def match_segments(entries: DataFrame, partitions: int, homes: int) -> DataFrame
             order = np.lexsort((ids, value, anchor))
             group = np.cumsum(_first_of(anchor[order])) - 1
             mixed[order] |= (np.bincount(group, n[order] & MIXED) > 0)[group]
+            mixed[order] &= _several(_first_of(anchor[order]), ids[order])[group] | (np.bincount(group, n[order] & MIXED) > 0)[group]
             n = n & (MIXED - 1)
             # entries of one pair and document stand and fall together
             first = _first_of(anchor[order], value[order], ids[order])
