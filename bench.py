@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -38,7 +39,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        .config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     known = catalog.queries()

@@ -56,13 +56,13 @@ class Preparation:
         return assembler.transform(work).drop(*inputs.values())
 
     def to_json(self) -> str:
-        return json.dumps({"features": self.features, "fill": self.fill, "scale": self.scale})
+        return json.dumps({"features": self.features, "fill": self.fill, "scale": self.scale, "dropped": self.dropped})
 
     @classmethod
     def from_json(cls, text: str) -> Preparation:
         js = json.loads(text)
         scale = {k: tuple(v) for k, v in js["scale"].items()} if js["scale"] else None
-        return cls(js["features"], js["fill"], scale)
+        return cls(js["features"], js["fill"], scale, js.get("dropped", []))
 
 
 @dataclass

@@ -184,7 +184,7 @@ def feature_columns(
     if columns is not None:
         missing = [c for c in columns if c not in df.columns]
         if missing:
-            raise ValueError(f"{len(missing)} feature columns are missing, e.g. {missing[:5]}")
+            raise ValueError(f"the table lacks {missing} of the saved columns")
         return list(columns)
     names = [c for c in df.columns if c not in exclude]
     if tokens is None:

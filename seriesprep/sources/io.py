@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,17 @@ MISSING_TOKENS = (
 
 
 def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
-    """Names in the first line; a nameless column is called ``Unnamed: i``."""
+    """Names in the first line, quotes observed; a nameless column is ``Unnamed: i``, a repeated name gets a number."""
     line = spark.read.text(path).first()
-    names = line[0].lstrip("﻿").split(sep) if line else []
-    return [n.strip('"') if n.strip() else f"Unnamed: {i}" for i, n in enumerate(names)]
+    if not line:
+        return []
+    fields = next(csv.reader([line[0].lstrip("\ufeff")], delimiter=sep), [])
+    names: list[str] = []
+    for i, field in enumerate(fields):
+        name = field if field.strip() else f"Unnamed: {i}"
+        again = sum(n == name or n.startswith(f"{name}.") for n in names) if name in names else 0
+        names.append(f"{name}.{again}" if again else name)
+    return names
 
 
 def read_delimited(

@@ -183,3 +183,11 @@ def test_write_and_read_table(spark, tmp_path):
 def test_nan_becomes_null_on_read(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1), float("nan"))], "timestamp timestamp_ntz, v double")
     assert io.prepare_table(df, SeriesSpec()).first()["v"] is None
+
+
+def test_header_with_quotes_and_repeats(spark, tmp_path):
+    from seriesprep.sources.io import read_delimited
+
+    (tmp_path / "t.csv").write_text('"a;b";c;c;;c\n1;2;3;4;5\n')
+    df = read_delimited(spark, str(tmp_path / "t.csv"))
+    assert df.columns == ["a;b", "c", "c.1", "Unnamed: 3", "c.2"] and tuple(df.first()) == ("1", "2", "3", "4", "5")

@@ -170,3 +170,11 @@ def test_anomaly_chain(frame):
     assert all(r["kept"] + r["dropped"] == r["rows"] for r in counts.values())
     assert anomaly.anomaly_filter(flagged).count() == sum(r["kept"] for r in counts.values())
     assert anomaly.any_flag(flagged).filter("an_any != greatest(an_resid_v, an_iso)").count() == 0
+
+
+def test_features_without_values_are_reported(spark):
+    from seriesprep.models.estimators import Preparation
+
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
+    got = Preparation.fit(df, ["a", "b"])
+    assert got.features == ["a"] and got.dropped == ["b"]
