@@ -70,7 +70,9 @@ def exact_groups(
         F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row"), F.sha2(text, 256).alias("text_sha256"),
         F.transform(chunks(F.col(text_col)), digest).alias("recipe")), "recipes")
     ids = rows.groupBy("recipe", "_id").agg(F.max("_row").alias("_row"), F.count("*").alias("same_id"))
-    groups = ids.groupBy("recipe").agg(F.max(F.struct("_id", "_row", "same_id")).alias("_keep"), F.sum("same_id").alias("group_size"))
+    # written, so that the join below deals its rows itself and a large group's rows can be split
+    groups = stage(ids.groupBy("recipe").agg(
+        F.max(F.struct("_id", "_row", "same_id")).alias("_keep"), F.sum("same_id").alias("group_size")), "recipe-groups")
     return rows.join(groups, "recipe").select(
         F.col("_id").alias(id_col), F.col("_keep._id").alias("keep_id"), "group_size",
         (F.col("_row") == F.col("_keep._row")).alias("kept"), "text_sha256", F.col("_keep.same_id").alias("same_id"))
