@@ -31,7 +31,8 @@ LEAST_SORT_ROWS = 10_000
 MAX_BLOCK_ROWS = 250_000
 MIN_BLOCK_ROWS = 1024
 MAX_COLLECTED_PARTS = 200_000
-POS, BLOCK = "_pos", "_block"
+BLOCKS_PER_SPAN = 1024
+POS, BLOCK, SPAN = "_pos", "_block", "_span"
 _SHIFT = 33  # monotonically_increasing_id keeps the partition number above bit 33
 
 
@@ -223,13 +224,26 @@ def block_carry(
     ``summaries`` aggregates each (block, series); ``merge`` combines them over the blocks
     before the row's own. The table of summaries has one row per block and series.
     """
-    order = F.col(BLOCK).desc() if backwards else F.col(BLOCK).asc()
-    earlier = Window.partitionBy(*spec.by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    table = blocks.groupBy(BLOCK, *spec.by).agg(*[c.alias(n) for n, c in summaries.items()])
-    table = table.select(
-        BLOCK, *spec.by, *[merge(n, earlier).alias(n) for n in summaries],
-        F.count(F.lit(1)).over(earlier).alias("_before"),
-    ).filter("_before > 0").drop("_before")
+    table = blocks.groupBy(BLOCK, *spec.by).agg(*[c.alias(n) for n, c in summaries.items()]).withColumn(
+        SPAN, F.expr(f"{BLOCK} div {BLOCKS_PER_SPAN}"))
+
+    def order(name: str) -> Column:
+        return F.col(name).desc() if backwards else F.col(name).asc()
+
+    # in two levels: spans of blocks first, so that no task holds the summaries of a whole series
+    inside = Window.partitionBy(SPAN, *spec.by)
+    whole = inside.orderBy(order(BLOCK)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    spans = table.select(SPAN, *spec.by, *[merge(n, whole).alias(n) for n in summaries], F.row_number().over(
+        inside.orderBy(order(BLOCK))).alias("_nth")).filter("_nth = 1").drop("_nth")
+    earlier = Window.partitionBy(*spec.by).orderBy(order(SPAN)).rowsBetween(Window.unboundedPreceding, -1)
+    past = spans.select(SPAN, *spec.by, *[merge(n, earlier).alias(n) for n in summaries], F.count(F.lit(1)).over(earlier).alias("_before")).filter(
+        "_before > 0").drop("_before")
+    # what stands before a span counts as a block ahead of its first one
+    both = table.withColumn("_own", F.lit(1)).unionByName(past.withColumn("_own", F.lit(0)), allowMissingColumns=True)
+    before = inside.orderBy("_own", order(BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
+    table = both.select(
+        BLOCK, *spec.by, *[merge(n, before).alias(n) for n in summaries], F.count(F.lit(1)).over(before).alias("_before"), "_own",
+    ).filter("_own = 1 AND _before > 0").drop("_before", "_own")
     return join_carry(blocks, table, spec, list(summaries))
 
 

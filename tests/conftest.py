@@ -23,7 +23,8 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(autouse=True)
 def many_sort_tasks(monkeypatch):
-    """Let small test tables use several sort tasks, as large ones do."""
+    """Let small test tables use several sort tasks and several spans of blocks, as large ones do."""
     from seriesprep import layout
 
     monkeypatch.setattr(layout, "LEAST_SORT_ROWS", 50)
+    monkeypatch.setattr(layout, "BLOCKS_PER_SPAN", 3)
