@@ -47,7 +47,8 @@ SKETCH_BLOCK = 1 << 14
 CELL_ROWS = 1 << 20  # entries of cells in a task
 CELL_PAIRS = 64
 LEVELS = 64  # of frequency up to the mean
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 4 << 20
+PAIRS_HELD = 1 << 20  # pairs of a task before they are summed
 ALWAYS = 1 << 40
 
 U = np.uint64
@@ -182,6 +183,15 @@ def least_shared(n: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.nda
     return np.maximum(rest, 1)
 
 
+def _summed(met: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Pairs and how often they met, each pair once."""
+    a, b, least, times = (np.concatenate(x) for x in zip(*met, strict=True))
+    at = np.lexsort((b, a))
+    a, b, least, times = a[at], b[at], least[at], times[at]
+    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return a[first], b[first], least[first], np.add.reduceat(times, first)
+
+
 def cell_pairs(entries: DataFrame, partitions: int, percent: int = PERCENT) -> DataFrame:
     """Links ``a``, ``b`` between sets that meet in cells often enough, and between neighbours in large cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,29 +218,22 @@ def cell_pairs(entries: DataFrame, partitions: int, percent: int = PERCENT) -> D
         keys, ids, sizes = keys[once], ids[once], sizes[once].astype(np.int64)
         _, cell, members = np.unique(keys, return_inverse=True, return_counts=True)
         large = members[cell] > CELL_PAIRS
-        left, right, times = [], [], []
+        met, held = [], 0
         for step in range(1, CELL_PAIRS):
             match = (keys[step:] == keys[:-step]) & (100 * sizes[:-step] >= percent * sizes[step:])
             if step > 1:
                 match &= ~large[step:]
             first = np.flatnonzero(match)
-            if not len(first):
-                if not (keys[step:] == keys[:-step]).any():
-                    break
-                continue
-            left.append(first)
-            right.append(first + step)
-            times.append(np.where(large[first], ALWAYS, 1))
-        if not left:
-            return
-        left, right, times = (np.concatenate(x) for x in (left, right, times))
-        a, b_ = ids[left], ids[right]
-        at = np.lexsort((b_, a))
-        a, b_, left, right, times = a[at], b_[at], left[at], right[at], times[at]
-        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b_[1:] != b_[:-1])]))
-        yield pa.record_batch([
-            pa.array(a[first]), pa.array(b_[first]), pa.array(least_shared(sizes[left[first]], sizes[right[first]], percent)),
-            pa.array(np.add.reduceat(times, first))], names=["a", "b", "least", "times"])
+            if len(first):
+                met.append((ids[first], ids[first + step], least_shared(sizes[first], sizes[first + step], percent), np.where(large[first], ALWAYS, 1)))
+                held += len(first)
+                if held > PAIRS_HELD:
+                    met = [_summed(met)]
+                    held = len(met[0][0])
+            elif not (keys[step:] == keys[:-step]).any():
+                break
+        if met:
+            yield pa.record_batch([pa.array(x) for x in _summed(met)], names=["a", "b", "least", "times"])
 
     pairs = entries.repartition(partitions, "bucket").mapInArrow(run, "a LONG, b LONG, least LONG, times LONG")
     return pairs.groupBy("a", "b").agg(F.sum("times").alias("times"), F.min("least").alias("least")).filter("times >= least").select("a", "b")
