@@ -12,7 +12,7 @@ also starts in a document with a smaller id.
 
 A map task settles what it can and sends one entry per anchor, or window, and ``FLUSH_BYTES`` of text, so a passage in a third
 of all documents does not end in one task. Entries travel as packed arrays. All comparisons are by hash: 32 bits of
-anchor and 32 of segment within a bucket, 64 bits of a window.
+anchor within a bucket and 64 of segment, 64 bits of a window.
 
 Defined results: null and empty texts have no bytes. Documents with a null id neither lose nor cause to lose bytes. Rows
 with one id are one document: they take nothing from each other. Empty tables give an empty result; columns
@@ -43,7 +43,8 @@ TASK_BYTES = 12 << 20  # text whose entries go to one task
 HOME_BYTES = 4 << 20  # text of a group of documents
 
 U = np.uint64
-ENTRY = np.dtype([("key", "<u4"), ("value", "<u4"), ("doc", "<u2"), ("at", "<u4"), ("n", "u1")])
+ENTRY = np.dtype([("key", "<u4"), ("value", "<u8"), ("doc", "<u2"), ("at", "<u4"), ("n", "u1")])
+WINDOW = np.dtype([("key", "<u4"), ("value", "<u4"), ("doc", "<u2"), ("at", "<u4"), ("n", "u1")])
 DOC = np.dtype([("id", "<i8"), ("mark", "<i4")])
 # windows found in a document: the first, their number, and whether they are only to be compared
 SPAN = np.dtype([("id", "<i8"), ("mark", "<i4"), ("at", "<u4"), ("n", "u1"), ("part", "?")])
@@ -123,7 +124,7 @@ def _by_home(spans: np.ndarray, homes: int) -> list[tuple[int, bytes]]:
 
 def _packed(
     bucket: np.ndarray, key: np.ndarray, value: np.ndarray, row: np.ndarray, at: np.ndarray, n: np.ndarray, ids: np.ndarray, marks: np.ndarray,
-    spans: np.ndarray, homes: int, buckets: int,
+    spans: np.ndarray, homes: int, buckets: int, kind: np.dtype = ENTRY,
 ) -> pa.RecordBatch:
     """Entries as one row per bucket, with the documents they come from (``row`` in ``ids`` and ``marks``).
 
@@ -137,7 +138,7 @@ def _packed(
         for at_ in range(lo, hi, 1 << 16):  # so that numbers of documents fit
             own = slice(at_, min(hi, at_ + (1 << 16)))
             used, where = np.unique(row[own], return_inverse=True)
-            docs, out = np.empty(len(used), DOC), np.empty(len(where), ENTRY)
+            docs, out = np.empty(len(used), DOC), np.empty(len(where), kind)
             docs["id"], docs["mark"] = ids[used], marks[used]
             out["key"], out["value"], out["doc"], out["at"], out["n"] = key[own], value[own], where, at[own], n[own]
             rows.append((b, docs.tobytes(), out.tobytes(), None, None))
@@ -183,7 +184,7 @@ def segment_entries(rows: DataFrame, buckets: int, homes: int) -> DataFrame:
                 sent = np.where(mixed, new_anchor, ~repeated)
                 anchor, whole, row, at, n = (x[sent] for x in (anchor, whole, row, at, np.where(mixed, n | MIXED, n)))
                 yield _packed(
-                    (anchor % U(buckets)).astype(np.int32), (anchor >> U(32)).astype(np.uint32), (whole >> U(32)).astype(np.uint32), row, at, n,
+                    (anchor % U(buckets)).astype(np.int32), (anchor >> U(32)).astype(np.uint32), whole, row, at, n,
                     own_ids, own_marks, spans, homes, buckets)
 
     return rows.mapInArrow(run, PACKED)
@@ -203,10 +204,12 @@ class IndexFamily:
             meets = np.flatnonzero(hi > lo)
             if not len(meets):
                 continue
-            # a pair's place in the level: where its anchor begins, and its value
+            # a pair's place in the level: where its anchor begins, and its value's rank
+            names, rank = np.unique(values, return_inverse=True)
+            own_rank = np.minimum(np.searchsorted(names, value[meets]), len(names) - 1)
             start = np.flatnonzero(_first_of(anchors))[np.cumsum(_first_of(anchors)) - 1]
-            pairs, own = start << 32 | values.astype(np.int64), lo[meets] << 32 | value[meets].astype(np.int64)
-            same = pairs[np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)] == own
+            pairs, own = start << 32 | rank, lo[meets] << 32 | own_rank
+            same = (pairs[np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)] == own) & (names[own_rank] == value[meets])
             known[meets[same]] = True
             other = meets[~same | (hi[meets] - lo[meets] > 1)]
             touched = np.zeros(len(anchors) + 1, np.int64)
@@ -232,7 +235,7 @@ class IndexFamily:
         return known
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> tuple[tuple[np.ndarray, ...] | None, np.ndarray]:
+def _unpack(batches: Iterator[pa.RecordBatch], kind: np.dtype = ENTRY) -> tuple[tuple[np.ndarray, ...] | None, np.ndarray]:
     """Bucket and anchor as one number, value, id, mark, window, number of windows of all entries of a task; settled spans."""
     parts, settled = [], [np.empty(0, SPAN)]
     for b in batches:
@@ -240,7 +243,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> tuple[tuple[np.ndarray, ...] |
             if spans.is_valid:
                 settled.append(np.frombuffer(spans.as_py(), SPAN))
             else:
-                own = np.frombuffer(data.as_py(), ENTRY)
+                own = np.frombuffer(data.as_py(), kind)
                 docs = np.frombuffer(docs.as_py(), DOC)[own["doc"]]
                 parts.append((own["key"].astype(U) | U(bucket) << U(32), own["value"], docs["id"], docs["mark"], own["at"], own["n"]))
     return tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else None, np.concatenate(settled)
@@ -346,7 +349,7 @@ def window_entries(rows: DataFrame, first: DataFrame, buckets: int, homes: int)
         hashes, row, at, one = (x[~repeated] for x in (hashes, row, at, one))
         return pa.Table.from_batches([_packed(
             (hashes % U(buckets)).astype(np.int32), (hashes >> U(32)).astype(np.uint32), (hashes & U(0xFFFFFFFF)).astype(np.uint32), row, at, one,
-            ids, marks, spans, homes, buckets)])
+            ids, marks, spans, homes, buckets, WINDOW)])
 
     return _grouped_texts(rows, first, homes).applyInArrow(run, PACKED)
 
@@ -354,7 +357,7 @@ def window_entries(rows: DataFrame, first: DataFrame, buckets: int, homes: int)
 def match_windows(entries: DataFrame, partitions: int, homes: int) -> DataFrame:
     """Second round, reduce side: the windows that also start in a document with a smaller id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got, spans = _unpack(batches)
+        got, spans = _unpack(batches, WINDOW)
         if got is not None:
             anchor, value, ids, marks, at, n = got
             order = np.lexsort((ids, value, anchor))

@@ -95,6 +95,20 @@ def test_repeated_bytes(spark, monkeypatch, flush):
     assert got.filter("n_spans <> size(spans)").count() == 0
 
 
+def test_segments_that_share_half_a_hash_stay(spark, monkeypatch):
+    def clashing(*args, own=suffix_dedup.segments):
+        *rest, whole = own(*args)
+        return *rest, whole & suffix_dedup.U(0xFFFFFFFF)
+
+    monkeypatch.setattr(suffix_dedup, "segments", clashing)
+    monkeypatch.setattr(suffix_dedup, "FLUSH_BYTES", 700)
+    rng = random.Random(12)
+    middle = "".join(rng.choice("abcdefghij ") for _ in range(40))
+    rows = [(i, "".join(rng.choice("abcdefghij ") for _ in range(60)) + middle + "".join(rng.choice("abcdefghij ") for _ in range(60))) for i in range(40)]
+    got = suffix_dedup.repeated_bytes(hard.table(spark, rows))
+    hard.same(got.drop("spans").collect(), hard.without_repeats(rows))
+
+
 def test_empty_tables(spark):
     docs = hard.table(spark, [])
     assert exact_dedup.exact_groups(docs).count() == 0 and exact_dedup.drop_copies(docs).count() == 0
