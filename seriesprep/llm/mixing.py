@@ -3,10 +3,12 @@
 Domains are the classes of the labelled table: good, poor and toxic. A classifier over hashed words, fitted on labelled
 documents (``TRAINING_ROWS`` at most), predicts each document's posterior over the domains. Every document gets a
 nonnegative rate, starting at 1, so that the expected tokens of each domain, sum of rate * tokens * posterior, match their
-targets. The rates come from projected gradient descent on the squared distance, measured in the inverse of the
-domains' Gram matrix, whose gradient step is safe at length 1. A step needs only the domains' totals, which Spark sums;
-as a document's rate depends on its posterior and on the totals of each step, it is recomputed from
-these few numbers, and no rates are moved or stored.
+targets. Of all rates that do, those nearest to 1 are taken: they are 1 less a weighted sum of the posteriors, one weight per domain,
+cut off at zero. The weights come from projected gradient steps measured in the inverse Gram matrix of the documents that are not cut off
+(an active-set Newton step), shortened until the dual objective falls, and go on until the projected gradient is below
+``TOLERANCE`` of all tokens; not getting there in ``STEPS`` is an error. A step needs only sums over the domains, which Spark computes; a
+document's rate is recomputed from the weights, and no rates are moved or stored. Targets that no rates reach are met as nearly
+as possible, in the inverse Gram matrix of all documents, and the remaining distance is given as a warning.
 
 Defined results: null or empty texts have no tokens and the intercept's posterior. Labels that are null or of unknown
 documents are left out; without any labels all posteriors are equal. Repeated rows count each. Targets of unreachable domains
@@ -15,6 +17,7 @@ documents are left out; without any labels all posteriors are equal. Repeated ro
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +32,10 @@ DOMAINS = ("good", "poor", "toxic")
 TARGETS = (0.97, 0.02, 0.01)
 TRAINING_ROWS = 20_000
 DIMS = 1 << 16
-STEPS = 20
+STEPS = 200  # more are an error
 TOLERANCE = 1e-6
+SLACK = 1e-9  # weight of the dual's square, which bounds it if the targets cannot be reached
+MISSED = 1e-4  # share of all tokens
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -93,13 +98,9 @@ def memberships(docs: DataFrame, model: linear.Linear, id_col: str = "doc_id", t
     return rows.mapInArrow(run, f"_id {id_type}, _key LONG, n_tokens LONG, " + ", ".join(f"{n} DOUBLE" for n in names))
 
 
-def _rate(moves: list[np.ndarray]) -> Column:
-    """A document's rate after the steps so far: each moves it along its posterior and cuts it off at zero."""
-    rate = F.lit(1.0)
-    for move in moves:
-        slope = sum((F.col(f"p{k}") * float(m) for k, m in enumerate(move)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - slope)
-    return rate
+def _rate(weights: np.ndarray) -> Column:
+    """A document's rate: 1 less the weighted sum of its posteriors, cut off at zero."""
+    return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.col(f"p{k}") * float(w) for k, w in enumerate(weights)), F.lit(0.0)))
 
 
 def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, steps: int = STEPS) -> tuple[Column, np.ndarray, np.ndarray]:
@@ -107,22 +108,43 @@ def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, steps: i
     k = len(targets)
     p = [F.col(f"p{i}") for i in range(k)]
     n = F.col("n_tokens").cast("double")
-    first = members.agg(
-        F.coalesce(F.sum(n), F.lit(0.0)).alias("n"),
-        *[F.coalesce(F.sum(n * p[i] * p[j]), F.lit(0.0)).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).head()
-    total = first["n"]
-    gram = np.array([[first[f"g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def sums(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Tokens of each domain, the Gram matrix of documents that are not cut off, and the sum of their tokens by squared rate."""
+        rate = _rate(weights)
+        left = F.when(rate > 0, n).otherwise(0.0)
+        row = members.agg(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in (
+            rate * rate * n, *[rate * n * x for x in p], *[left * p[i] * p[j] for i, j in pairs])]).head()
+        gram = np.zeros((k, k))
+        for (i, j), g in zip(pairs, row[k + 1 :], strict=True):
+            gram[i, j] = gram[j, i] = g
+        return np.array(row[1 : k + 1]), gram, row[0]
+
+    weights = np.zeros(k)
+    have, gram, square = sums(weights)
+    whole, total = gram, have.sum()
     wanted = np.array(targets) / sum(targets) * total
-    inverse = np.linalg.pinv(gram, rcond=1e-9) if total else np.zeros((k, k))
-    moves: list[np.ndarray] = []
-    have = gram.sum(axis=1)  # posteriors of a document sum to one
+    if not total:
+        return _rate(weights), have, wanted
+    inside = whole @ np.linalg.pinv(whole, rcond=1e-9)  # what rates can change
+    value = square / 2
     for _ in range(steps):
-        if np.abs(have - wanted).max() <= TOLERANCE * max(total, 1):
-            break
-        moves.append(inverse @ (have - wanted))
-        row = members.agg(*[F.coalesce(F.sum(_rate(moves) * n * p[i]), F.lit(0.0)).alias(f"s{i}") for i in range(k)]).head()
-        have = np.array([row[f"s{i}"] for i in range(k)])
-    return _rate(moves), have, wanted
+        slope = inside @ (wanted - have + SLACK * whole @ weights)
+        if np.abs(slope).max() <= TOLERANCE * total:
+            return _rate(weights), have, wanted
+        step = -np.linalg.pinv(gram + SLACK * whole, rcond=1e-14, hermitian=True) @ slope
+        step = inside.T @ step
+        size = 1.0
+        while True:
+            tried = weights + size * step
+            now_have, now_gram, square = sums(tried)
+            now = square / 2 + tried @ (inside @ wanted) + SLACK / 2 * tried @ whole @ tried
+            if now <= value + 1e-4 * size * (slope @ step) + 1e-12 * abs(value) or size < 1e-6:
+                break
+            size /= 2
+        weights, have, gram, value = tried, now_have, now_gram, now
+    raise RuntimeError(f"rates did not settle in {steps} steps: {have} tokens of {wanted}")
 
 
 def mix(
@@ -130,7 +152,9 @@ def mix(
 ) -> DataFrame:
     """Id, ``_key``, ``n_tokens``, the posteriors by name of domain, and ``rate`` of every row."""
     members = stage(memberships(docs, fit_domains(docs, labels, id_col, text_col), id_col, text_col), "memberships")
-    rate, _, _ = fit_rates(members, targets)
+    rate, have, wanted = fit_rates(members, targets)
+    if np.abs(have - wanted).max() > MISSED * wanted.sum():
+        warnings.warn(f"targets out of reach: expected tokens {have.tolist()}, wanted {wanted.tolist()}", stacklevel=2)
     return members.select(
         F.col("_id").alias(id_col), "_key", "n_tokens", *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(DOMAINS)], rate.alias("rate"))
 

@@ -232,3 +232,17 @@ def test_pipeline_of_an_empty_table(spark, tmp_path, given):
     for t, df in given.items():
         (df.limit(0) if t == "documents" else df).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rates_meet_targets_when_many_are_cut_off(spark):
+    rng = np.random.default_rng(5)
+    kind = rng.choice(3, 4000, p=[0.76, 0.13, 0.11])
+    p = rng.dirichlet(np.full(3, 0.5), 4000) * 0.5 + np.eye(3)[kind] * 0.5
+    rows = [(i, 0, int(m), *map(float, x)) for i, (m, x) in enumerate(zip(rng.integers(50, 2000, 4000), p, strict=True))]
+    members = spark.createDataFrame(rows, "_id LONG, _key LONG, n_tokens LONG, p0 DOUBLE, p1 DOUBLE, p2 DOUBLE")
+    for targets in ((0.85, 0.09, 0.06), (0.82, 0.1, 0.08)):
+        rate, have, wanted = mixing.fit_rates(members, targets)
+        assert np.abs(have - wanted).max() < 1e-5 * wanted.sum()
+        assert members.filter(rate <= 0).count() > 100
+    rate, have, wanted = mixing.fit_rates(members, (1.0, 0.0, 0.0))  # out of reach: the nearest
+    assert mixing.MISSED < np.abs(have - wanted).max() / wanted.sum() < 1e-3
