@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesprep.catalog.common import Registry, table
-from seriesprep.llm import class_lm, decontaminate, exact_dedup, jaccard_join, mixing, quality, secret_scan, suffix_dedup, url_filter, warc
+from seriesprep.llm import class_lm, decontaminate, exact_dedup, jaccard_join, mixing, quality, secret_scan, suffix_dedup, url_filter, vector_codes, warc
 
 registry = Registry()
 
@@ -177,3 +177,36 @@ def op5_class_lm(spark: SparkSession, folder: str) -> DataFrame:
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes of every document that 50-byte strings of documents with smaller ids cover."""
     return suffix_dedup.repeated_bytes(table(spark, folder, "documents")).drop("spans")
+
+
+def _codes_sql() -> str:
+    """Every round written out; whole numbers in doubles, which are exact here."""
+    parts, entries, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    steps = [
+        f"""kept AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""parts AS MATERIALIZED (SELECT vec_id, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS x FROM kept, range({parts}) t(p))""",
+        f"""b0 AS MATERIALIZED (SELECT p, e, x AS c FROM parts JOIN (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT {entries}) USING (vec_id))""",
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (SELECT vec_id, p, min({entries} * (list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c)) + e) AS best
+  FROM parts JOIN b{k} USING (p) GROUP BY vec_id, p)""")
+        if k < rounds:
+            steps.append(f"""s{k} AS (SELECT p, e, i, CAST(sum(y) AS BIGINT) AS s, count(*) AS n FROM (
+  SELECT p, CAST(best AS BIGINT) % {entries} AS e, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{k} JOIN parts USING (vec_id, p)) GROUP BY p, e, i)""")
+            steps.append(f"""m{k} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY i) AS c FROM s{k} GROUP BY p, e)""")
+            steps.append(f"""b{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b{k} b LEFT JOIN m{k} m ON b.p = m.p AND b.e = m.e)""")
+    return "WITH " + ",\n".join(steps) + f""",
+coded AS (SELECT vec_id, string_agg(printf('%02x', CAST(best AS BIGINT) % {entries}), '' ORDER BY p) AS code,
+  CAST(sum(CAST(best AS BIGINT) // {entries}) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY p, e)) AS d FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, d AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books"""
+
+
+@registry("op12_vector_codes", _codes_sql())
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Code and error of every vector, and the digest of the codebooks."""
+    coded, books = vector_codes.compress(table(spark, folder, "embeddings"))
+    return coded.withColumn("codebooks_sha256", F.lit(books.digest()))
