@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesprep.catalog.common import Registry, table
-from seriesprep.llm import class_lm, decontaminate, exact_dedup, jaccard_join, mixing, quality, secret_scan, suffix_dedup, url_filter, vector_codes, warc
+from seriesprep.llm import class_lm, decontaminate, exact_dedup, jaccard_join, mixing, quality, secret_scan, suffix_dedup, token_align, toxicity, url_filter, vector_codes, warc
 
 registry = Registry()
 
@@ -179,6 +179,18 @@ def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeated_bytes(table(spark, folder, "documents")).drop("spans")
 
 
+@registry("op11_token_align")
+def op11_token_align(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures of the alignment of two tokenizers over every document."""
+    return token_align.align_corpus(table(spark, folder, "documents"))[0]
+
+
+@registry("op13_toxicity")
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, the decision at one half, and that at the threshold of its language."""
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def _codes_sql() -> str:
     """Every round written out; whole numbers in doubles, which are exact here."""
     parts, entries, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
