@@ -38,7 +38,8 @@ FOLDER = "/opt/tokenizers"
 BYTES_FILE, PIECES_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK_CHARS = 1 << 21
 PIECE_CHARS = 1 << 20
-KNOWN_UNITS = 100_000  # of a task; it forgets them all when they are more
+KNOWN_UNITS = 300_000  # of a task; it forgets them all when they are more
+BATCH_CHARS = 1 << 16  # of units that are tokenised together
 KNOWN_CHARS = 1 << 24
 SALTS = 62  # copies of one text are dealt over so many keys
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -54,20 +55,29 @@ def byte_symbols() -> dict[str, int]:
 
 
 @dataclass(frozen=True)
-class Unit:
-    """What the alignment of a stretch of text gives; ``groups`` is None if its tokens don't give the text back."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    groups: str | None
-    pairs: np.ndarray  # distinct pairs as a * (size of B) + b
+class Units:
+    """What the alignment of stretches of text gives; ``groups`` is None where tokens don't give the stretch back."""
+
+    counts: np.ndarray  # (units, 4): tokens of A, tokens of B, groups, links
+    groups: list[str | None]
+    n_pairs: np.ndarray
+    pairs: np.ndarray  # the distinct pairs of one unit after the other, as a * (size of B) + b
     times: np.ndarray
 
 
+def _joined(parts: list[Units]) -> Units:
+    if len(parts) == 1:
+        return parts[0]
+    cat = lambda name: np.concatenate([getattr(p, name) for p in parts])
+    return Units(cat("counts"), [g for p in parts for g in p.groups], cat("n_pairs"), cat("pairs"), cat("times"))
+
+
+NONE = Units(np.zeros((0, 4), np.int64), [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+BAD = Units(np.zeros((1, 4), np.int64), [None], np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 class Aligner:
-    """Both tokenizers with the bytes of their tokens."""
+    """Both tokenizers with the bytes of their tokens, and the units aligned so far."""
 
     def __init__(self, bytes_path: str, pieces_path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -78,16 +88,19 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
         symbols = byte_symbols()
-        names = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = {i: bytes(symbols[c] for c in t) for t, i in names.items() if all(c in symbols for c in t)}
+        names = {i: t for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        of = lambda t: bytes(symbols[c] for c in t) if all(c in symbols for c in t) else t.encode()
+        self.a_bytes = [of(names.get(i, "")) for i in range(max(names) + 1)]
         self.size_b = self.b.get_piece_size()
         self.pieces = [self.b.id_to_piece(i) for i in range(self.size_b)]
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(self.pieces)]
+        self.lengths = [np.array([len(t) for t in x], np.int64) for x in (self.a_bytes, self.b_bytes)]
+        # every id followed by a comma, or by what ends its list: a bar for A, a semicolon for B
+        self.shown = [f"{i}{e}" for size, last in ((len(self.a_bytes), "|"), (self.size_b, ";")) for i in range(size) for e in (",", last)]
         self.cuts = self.cuts_at_blanks()
         self.known: dict[str, int] = {}
-        self.units: list[Unit] = []
-        self.chars = 0
+        self.units, self.chars = NONE, 0
 
     def cuts_at_blanks(self) -> bool:
         """Whether both tokenise what lies between two single blanks by itself."""
@@ -98,41 +111,68 @@ class Aligner:
     def _plain_pieces(self) -> bool:
         return all(self.b.encode(s) == self.b.encode("x") + self.b.encode(s[2:]) for s in ("x y", "x ﬁ é"))
 
-    def encode(self, texts: list[str]) -> Iterator[Unit]:
-        a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        b = self.b.encode(texts, num_threads=1)
-        for t, x, y in zip(texts, a, b, strict=True):
-            yield self.align(t, x.ids, y)
-
-    def align(self, text: str, a: list[int], b: list[int]) -> Unit:
+    def align(self, units: list[str]) -> Units:
+        """The units, which may be joined by blanks if they begin and end with characters that are not white space."""
+        text = " ".join(units)
+        a = np.array(self.a.encode(" " + text, add_special_tokens=False).ids, np.int64)
+        b = np.array(self.b.encode(text), np.int64)
         whole = b" " + text.encode()
-        own, other = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(own) != whole or b"".join(other) != whole:
-            return Unit(0, 0, 0, 0, None, np.empty(0, np.int64), np.empty(0, np.int64))
-        at, to = np.cumsum([len(t) for t in own]), np.cumsum([len(t) for t in other])
-        ends = np.intersect1d(at, to)
-        cut_a, cut_b = (np.concatenate([[0], np.searchsorted(x, ends, "right")]) for x in (at, to))
-        groups, pairs = [], []
-        for k in range(len(ends)):
-            left, right = a[cut_a[k] : cut_a[k + 1]], b[cut_b[k] : cut_b[k + 1]]
-            groups.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-            pairs.append((np.array(left, np.int64)[:, None] * self.size_b + np.array(right, np.int64)).ravel())
-        links = np.concatenate(pairs)
-        distinct, times = np.unique(links, return_counts=True)
-        return Unit(len(a), len(b), len(ends), len(links), ";".join(groups), distinct, times)
+        if any(b"".join(map(own.__getitem__, ids.tolist())) != whole for own, ids in ((self.a_bytes, a), (self.b_bytes, b))):
+            return BAD if len(units) == 1 else _joined([self.align([u]) for u in units])
+        to_a, to_b = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
+        ends = to_a[np.isin(to_a, to_b, assume_unique=True)]
+        unit_ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        last = np.searchsorted(ends, unit_ends)  # the last group of each unit
+        cut_a, cut_b = (np.searchsorted(x, ends, "right") for x in (to_a, to_b))  # tokens up to the end of each group
+        first_a, first_b = (np.concatenate([[0], c[:-1]]) for c in (cut_a, cut_b))
+        n_a, n_b = cut_a - first_a, cut_b - first_b
+        owner = np.searchsorted(unit_ends, ends)
+        by_unit = lambda x: np.bincount(owner, x, len(units)).astype(np.int64)
+        counts = np.stack([by_unit(n_a), by_unit(n_b), np.bincount(owner, minlength=len(units)), by_unit(n_a * n_b)], axis=1)
+        # links: every A token as often as its group has B tokens
+        group = np.repeat(np.arange(len(ends)), n_a)
+        times = n_b[group]
+        left = np.repeat(a, times)
+        start = np.concatenate([[0], np.cumsum(times)])[:-1]
+        right = b[np.repeat(first_b[group] - start, times) + np.arange(len(left))]
+        key, often = np.unique(np.repeat(owner[group], times) * (len(self.a_bytes) * self.size_b) + left * self.size_b + right, return_counts=True)
+        of = key // (len(self.a_bytes) * self.size_b)
+        # groups as text: tokens of A and B of one group after the other
+        ordered = np.empty(len(a) + len(b), np.int64)
+        group_b = np.repeat(np.arange(len(ends)), n_b)
+        ordered[np.arange(len(a)) + first_b[group]] = 2 * a + (np.arange(len(a)) + 1 == cut_a[group])
+        ordered[np.arange(len(b)) + cut_a[group_b]] = 2 * (len(self.a_bytes) + b) + (np.arange(len(b)) + 1 == cut_b[group_b])
+        shown = list(map(self.shown.__getitem__, ordered.tolist()))
+        stop = (cut_a + cut_b)[last].tolist()
+        groups = ["".join(shown[lo:hi])[:-1] for lo, hi in zip([0, *stop], stop)]
+        return Units(counts, groups, np.bincount(of, minlength=len(units)), key % (len(self.a_bytes) * self.size_b), often)
 
     def forget(self) -> None:
         """Drop the units if there are too many of them; numbers given before are void."""
-        if len(self.units) > KNOWN_UNITS or self.chars > KNOWN_CHARS:
-            self.known, self.units, self.chars = {}, [], 0
+        if len(self.known) > KNOWN_UNITS or self.chars > KNOWN_CHARS:
+            self.known, self.units, self.chars = {}, NONE, 0
 
     def numbers(self, strings: list[str]) -> np.ndarray:
         """The number of the unit of every string."""
         new = [s for s in dict.fromkeys(strings) if s not in self.known]
-        for s, unit in zip(new, self.encode(new), strict=True):
-            self.known[s] = len(self.units)
-            self.units.append(unit)
-            self.chars += len(s)
+        if new:
+            parts, held, size = [self.units], [], 0
+            plain = [s for s in new if s and not s[0].isspace() and not s[-1].isspace() and BLANK not in s]
+            alone = set(plain)
+            for s in plain if self.cuts else []:
+                held.append(s)
+                size += len(s)
+                if size >= BATCH_CHARS:
+                    parts.append(self.align(held))
+                    held, size = [], 0
+            if held:
+                parts.append(self.align(held))
+            other = [s for s in new if not self.cuts or s not in alone]
+            parts += [self.align([s]) for s in other]
+            for s in [*(plain if self.cuts else []), *other]:
+                self.known[s] = len(self.known)
+                self.chars += len(s)
+            self.units = _joined(parts)
         return np.fromiter(map(self.known.__getitem__, strings), np.int64, len(strings))
 
     def stretches(self, text: str) -> Iterator[str]:
@@ -144,23 +184,33 @@ class Aligner:
             yield text[lo:hi]
             lo = hi + 1
 
-    def of_text(self, text: str) -> tuple[np.ndarray, np.ndarray, str] | None:
-        """Numbers of a text's distinct units, how often each occurs, and the digest of its groups; None if it has no tokens."""
-        digest, found, bad = hashlib.sha256(), [], False
-        for k, part in enumerate(self.stretches(text)):
-            numbers = self.numbers(_BETWEEN.split(part) if self.cuts else [part])
-            groups = [self.units[i].groups for i in numbers.tolist()]
-            bad = bad or None in groups
-            if not bad:
-                digest.update(((";" if k else "") + ";".join(groups)).encode())
-            distinct, times = np.unique(numbers, return_counts=True)
-            found.append((distinct, times))
-        if bad or not found:
-            return None
-        if len(found) == 1:
-            return *found[0], digest.hexdigest()
-        distinct, where = np.unique(np.concatenate([d for d, _ in found]), return_inverse=True)
-        return distinct, np.bincount(where, np.concatenate([t for _, t in found])).astype(np.int64), digest.hexdigest()
+    def _split(self, text: str) -> list[str]:
+        return _BETWEEN.split(text) if self.cuts else [text]
+
+    def of_texts(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, str] | None]:
+        """Per text: numbers of its distinct units, how often each occurs, and the digest of its groups; None without tokens."""
+        short = [self._split(t) if 0 < len(t) <= PIECE_CHARS else [] for t in texts]
+        flat = self.numbers([u for units in short for u in units])
+        out, at = [], 0
+        for text, units in zip(texts, short, strict=True):
+            digest, found, bad = hashlib.sha256(), [], not text
+            pieces = [flat[at : at + len(units)]] if units else (self.numbers(self._split(p)) for p in self.stretches(text))
+            at += len(units)
+            for k, numbers in enumerate(pieces):
+                groups = [self.units.groups[i] for i in numbers.tolist()]
+                bad = bad or None in groups
+                if not bad:
+                    digest.update(((";" if k else "") + ";".join(groups)).encode())
+                found.append(np.unique(numbers, return_counts=True))
+            if bad:
+                out.append(None)
+            elif len(found) == 1:
+                out.append((*found[0], digest.hexdigest()))
+            else:
+                distinct, where = np.unique(np.concatenate([d for d, _ in found]), return_inverse=True)
+                times = np.bincount(where, np.concatenate([t for _, t in found])).astype(np.int64)
+                out.append((distinct, times, digest.hexdigest()))
+        return out
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -195,28 +245,23 @@ CHUNK_SCHEMA = "chunk BINARY, " + ", ".join(f"`{n}` ARRAY<{_SQL[t]}>" for n, t i
 
 def _chunk(own: Aligner, texts: list[str], copies: list[int], salts: list[int]) -> pa.RecordBatch:
     """One row: per text its key, copies, measures and units; per unit of the chunk its pairs."""
-    out: dict[str, list] = {n: [] for n in _LISTS}
-    out |= {"copies": copies, "salts": salts}
-    numbers, times = [], []
-    for t in texts:
-        out["key"].append(hashlib.sha256(t.encode()).digest())
-        distinct, often, digest = own.of_text(t) or (np.empty(0, np.int64), np.empty(0, np.int64), "")
-        units = [own.units[i] for i in distinct.tolist()]
-        for name in ("n_a", "n_b", "n_groups", "n_links"):
-            out[name].append(sum(getattr(u, name) * n for u, n in zip(units, often.tolist(), strict=True)))
-        out["digest"].append(digest)
-        out["n_units"].append(len(distinct))
-        numbers.append(distinct)
-        times.append(often)
-    used, local = np.unique(np.concatenate(numbers), return_inverse=True)
-    units = [own.units[i] for i in used.tolist()]
-    none = [np.empty(0, np.int64)]
-    out |= {"unit": local, "times": np.concatenate(times), "n_pairs": [len(u.pairs) for u in units],
-            "pair": np.concatenate([u.pairs for u in units] or none), "pair_times": np.concatenate([u.times for u in units] or none)}
+    found = own.of_texts(texts)
+    none = np.empty(0, np.int64)
+    numbers = [f[0] if f else none for f in found]
+    chosen, times = np.concatenate(numbers), np.concatenate([f[1] if f else none for f in found])
+    sizes = np.array([len(n) for n in numbers])
+    used, local = np.unique(chosen, return_inverse=True)
+    text = np.repeat(np.arange(len(texts)), sizes)
+    sums = np.zeros((len(texts), 4), np.int64)
+    np.add.at(sums, text, own.units.counts[chosen] * times[:, None])
+    at, _ = _spread(own.units.n_pairs, used)
+    keys = [hashlib.sha256(t.encode()).digest() for t in texts]
+    out = dict(zip(_LISTS, [
+        keys, copies, salts, *sums.T, [f[2] if f else "" for f in found], sizes, local, times,
+        own.units.n_pairs[used], own.units.pairs[at], own.units.times[at]], strict=True))
     own.forget()
-    lists = [pa.array([out[n]], pa.list_(t)) if isinstance(out[n], list) else
-             pa.ListArray.from_arrays(pa.array([0, len(out[n])], pa.int32()), pa.array(out[n], t)) for n, t in _LISTS.items()]
-    return pa.record_batch([pa.array([out["key"][0]], pa.binary()), *lists], names=["chunk", *_LISTS])
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(out[n])], pa.int32()), pa.array(out[n], t)) for n, t in _LISTS.items()]
+    return pa.record_batch([pa.array([keys[0]], pa.binary()), *lists], names=["chunk", *_LISTS])
 
 
 def align_texts(texts: DataFrame, bytes_path: str, pieces_path: str) -> DataFrame:

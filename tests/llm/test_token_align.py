@@ -95,9 +95,9 @@ def test_units_equal_whole_texts(tools):
     own = ta.Aligner(A_PATH, B_PATH)
     assert own.cuts
     letters = list("abcEé ß日🙂'.,;-_<>0123\n\t\r\x00\x1c\x85  ▁") + [" "] * 12 + ["the", "'s", "ing", "</s>", "  "]
-    for _ in range(3000):
-        text = "".join(rng.choices(letters, k=rng.randrange(1, 30)))
-        found, want = own.of_text(text), groups_of(tools, text)
+    texts = ["".join(rng.choices(letters, k=rng.randrange(1, 30))) for _ in range(3000)]
+    for text, found in zip(texts, own.of_texts(texts), strict=True):
+        want = groups_of(tools, text)
         assert (found is None) == (want is None), repr(text)
         if want:
             joined = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in want)
