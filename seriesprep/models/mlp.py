@@ -1,31 +1,43 @@
-"""A small multilayer perceptron trained where the rows are.
-
-One Spark job per epoch: every task starts from the broadcast weights, runs mini-batch Adam
-over its own rows and returns its weights, which the driver averages by row count (parameter
-averaging). The same job scores the validation rows with the weights it started from, so
-early stopping costs no extra pass. Tasks see rows as Arrow batches; only weights travel.
+"""Multilayer perceptrons trained by summed gradients, several at once.
+
+Training rows are dealt to mini-batches and shards by a hash of the row, and packed into blocks of ``BLOCK_ROWS`` rows in a
+fixed order. A mini-batch is one Spark job: tasks return the gradients of their blocks, which are added up in a fixed
+order, and the driver takes one Adam step. What comes out is plain mini-batch training, whatever the layout of
+the input and the number of tasks. A mini-batch has ``Net.batch`` rows, or more if an epoch would need more than
+``Net.most_steps`` jobs. The first job of an epoch also scores the validation rows with the weights it starts from. If no
+mini-batch has more than one block, there is nothing to add up: then one task reads the blocks of an epoch in turn
+and takes the same steps, in one job.
+
+Several nets over the same features (cells, for example one per target and horizon) share the blocks and the jobs:
+each has its own labels, fill values, scales and early stop, and a job carries the gradients of all that still train. Only
+weights and gradients travel.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import pickle
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesprep.functions.scalars import col
 from seriesprep.models.estimators import Preparation
 from seriesprep.operators.labels import fit_scale
-from seriesprep.workspace import stage
+from seriesprep.workspace import fresh_path, stage
 
 Weights = list[np.ndarray]
+BLOCK_ROWS = 1024
+FAN = 64  # sums are added up by so many
+VALIDATION = -1  # number of the validation rows among the mini-batches
 
 
 @dataclass(frozen=True)
@@ -38,6 +50,7 @@ class Net:
     l2: float = 1e-4
     rate: float = 1e-3
     batch: int = 512
+    most_steps: int = 64  # mini-batches of an epoch; they grow if there are more rows
     epochs: int = 200
     patience: int = 100
     slow_after: int = 10  # epochs without gain before the rate is halved
@@ -132,37 +145,10 @@ class State:
             v = self.v[i] / (1 - 0.999**self.steps)
             self.w[i] = self.w[i] - rate * m / (np.sqrt(v) + 1e-7)
 
-    def pack(self, times: float) -> bytes:
-        """All numbers multiplied by the row count, ready to be summed over tasks."""
-        return (np.concatenate([a.ravel() for a in (*self.w, *self.m, *self.v)]) * times).tobytes()
-
-    def unpack(self, flat: np.ndarray, steps: float) -> State:
-        parts, at = [], 0
-        for a in (*self.w, *self.m, *self.v):
-            parts.append(flat[at:at + a.size].reshape(a.shape))
-            at += a.size
-        k = len(self.w)
-        return State(parts[:k], parts[k:2 * k], parts[2 * k:], steps)
-
-
-def _batches(frames: Iterator[pa.RecordBatch], n_in: int, n_out: int, size: int):
-    """Arrow batches as matrices (x, y, weight, is_train), re-cut to mini-batches per kind."""
-    for rb in frames:
-        if not rb.num_rows:
-            continue
-        data = np.column_stack([
-            rb.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(rb.num_columns)
-        ])
-        for train in (True, False):
-            part = data[(data[:, -1] > 0) == train]
-            for i in range(0, len(part), size):
-                b = part[i:i + size]
-                yield b[:, :n_in], b[:, n_in:n_in + n_out], b[:, -2], train
-
 
 @dataclass
 class MlpModel:
-    """Averaged weights with the preparation and target scaling they were trained on."""
+    """Weights of the best epoch with the preparation and target scaling they were trained on."""
 
     net: Net
     prep: Preparation
@@ -226,104 +212,308 @@ def _prepared(prep: Preparation):
     return out
 
 
-def fit_mlp(
-    train: DataFrame, val: DataFrame, features: Sequence[str], labels: dict[str, str],
-    net: Net = REGRESSION, classes: int = 3, weight: str | None = None,
-) -> MlpModel:
-    """Train on ``train``, stop early on ``val``, keep the weights of the best epoch.
+@dataclass(frozen=True)
+class Labels:
+    """What one net learns: the label column of each target, and the column of the training rows' weights."""
+
+    columns: dict[str, str]
+    weight: str | None = None
+
+
+class Course:
+    """One net in training: its place in the blocks, its weights and the course of its losses."""
+
+    def __init__(self, net: Net, prep: Preparation, task: Labels, scale, features: Sequence[str], labels: list[str], weights: list[str], n_out: int):
+        self.net, self.prep, self.task, self.scale = net, prep, task, scale
+        at = {c: i for i, c in enumerate(dict.fromkeys([*features, *labels, *weights]))}
+        self.x = np.array([at[c] for c in prep.features], int)
+        self.fill = np.array([prep.fill[c] for c in prep.features])
+        self.mean, self.spread = (np.array([prep.scale[c][k] for c in prep.features]) for k in (0, 1))
+        self.y = np.array([at[c] for c in task.columns.values()], int)
+        shift = [scale[t] if scale else (0.0, 1.0) for t in task.columns]
+        self.y_mean, self.y_spread = (np.array([p[k] for p in shift]) for k in (0, 1))
+        self.weight = at[task.weight] if task.weight else None
+        self.state = State.fresh(_start(net, len(self.x), n_out))
+        self.rate, self.best, self.best_w, self.since, self.slow = net.rate, np.inf, self.state.w, 0, 0
+        self.history: list[tuple[int, float, float, float]] = []
+        self.done = False
+
+    def shared(self) -> tuple:
+        """What tasks need."""
+        return self.x, self.fill, self.mean, self.spread, self.y, self.y_mean, self.y_spread, self.weight, self.state.w
+
+    def sizes(self) -> int:
+        return sum(w.size for w in self.state.w) + 4
+
+    def penalty(self) -> float:
+        return self.net.l2 * sum(float((w * w).sum()) for w in self.state.w[:-2:2])
+
+    def step(self, total: np.ndarray) -> None:
+        """One Adam step along the summed gradient of a mini-batch."""
+        n = total[-3]
+        if not n:
+            return
+        grads, at = [], 0
+        for i, w in enumerate(self.state.w):
+            own = total[at : at + w.size].reshape(w.shape) / n
+            hidden = i % 2 == 0 and i < len(self.state.w) - 2
+            grads.append(own + 2.0 * self.net.l2 * w if hidden else own)
+            at += w.size
+        self.state.step(grads, self.rate)
+
+    def course(self) -> tuple:
+        """What an epoch changes."""
+        return self.state, self.rate, self.best, self.best_w, self.since, self.slow, self.history, self.done
+
+    def follow(self, course: tuple) -> None:
+        self.state, self.rate, self.best, self.best_w, self.since, self.slow, self.history, self.done = course
+
+    def judge(self, epoch: int, loss: float, val_loss: float) -> None:
+        """Keep the best weights, halve the rate without gain, stop without patience."""
+        self.history.append((epoch, float(loss), float(val_loss), self.rate))
+        if val_loss < self.best:
+            self.best, self.best_w, self.since, self.slow = val_loss, list(self.state.w), 0, 0
+            return
+        self.since, self.slow = self.since + 1, self.slow + 1
+        if self.slow >= self.net.slow_after:
+            self.rate, self.slow = max(self.rate * 0.5, self.net.least_rate), 0
+        self.done = self.since >= self.net.patience
+
+    def model(self) -> MlpModel:
+        return MlpModel(self.net, self.prep, list(self.task.columns), self.scale, self.best_w, self.history)
 
-    ``labels`` maps each target to its label column. Features take the training mean where
-    null and are scaled; regression targets are normalised on train.
-    """
-    prep = Preparation.fit(train, features, "mean", scale=True)
-    targets = list(labels)
-    n_in = len(prep.features)
-    n_out = classes if net.task == "class" else len(targets)
-    width = 1 if net.task == "class" else len(targets)
-    scale = None
-    if net.task == "regression":
-        found = fit_scale(train, list(labels.values()), tiny=1e-6)
-        scale = {t: found[c] for t, c in labels.items()}
-
-    def matrix(df: DataFrame, is_train: int) -> DataFrame:
-        ys = []
-        for i, (t, c) in enumerate(labels.items()):
-            mean, spread = scale[t] if scale else (0.0, 1.0)
-            ys.append(((col(c).cast("double") - F.lit(mean)) / F.lit(spread)).alias(f"y{i}"))
-        w = col(weight).cast("double") if weight and is_train else F.lit(1.0)
-        xs = [c.alias(f"x{i}") for i, c in enumerate(_prepared(prep))]
-        return df.select(*xs, *ys, w.alias("w"), F.lit(float(is_train)).alias("is_train"))
-
-    rows = stage(matrix(train, 1).unionByName(matrix(val, 0)), "mlp")
-    state = State.fresh(_start(net, n_in, n_out))
-    rate, best, best_w, since, slow = net.rate, np.inf, state.w, 0, 0
-    history: list[tuple[int, float, float, float]] = []
-    for epoch in range(1, net.epochs + 2):
-        # the job of epoch e scores the weights left by epoch e-1
-        last_pass = epoch == net.epochs + 1
-        new, loss, val_loss = _epoch(rows, state, net, rate, epoch, n_in, width, train=not last_pass)
-        if epoch > 1:
-            history.append((epoch - 1, loss, val_loss, rate))
-            if val_loss < best:
-                best, best_w, since, slow = val_loss, state.w, 0, 0
-            else:
-                since, slow = since + 1, slow + 1
-                if slow >= net.slow_after:
-                    rate, slow = max(rate * 0.5, net.least_rate), 0
-            if since >= net.patience:
-                break
-        state = new
-    return MlpModel(net, prep, targets, scale, best_w, history)
-
-
-def _summed(parts: DataFrame, schema: str) -> DataFrame:
-    """Add up the rows of the tasks in about sqrt(tasks) groups, so the driver gets few of them."""
-    tasks = parts.rdd.getNumPartitions()
-    if tasks <= 64:
-        return parts
-    groups = math.isqrt(tasks)
 
+@dataclass
+class Blocks:
+    """Packed rows by mini-batch, and how many blocks each mini-batch has."""
+
+    df: DataFrame
+    counts: dict[int, int]
+    steps: int
+
+    @classmethod
+    def deal(cls, rows: DataFrame, columns: Sequence[str], net: Net) -> Blocks:
+        """Deal staged rows, which have ``_train`` (1 or 0) and ``_key``, to mini-batches, shards and blocks."""
+        n = rows.filter("_train = 1").count()
+        steps = max(1, min(net.most_steps, math.ceil(n / net.batch)))
+        shards = max(1, math.ceil(n / steps / BLOCK_ROWS))
+        step = F.when(F.col("_train") == 1, F.pmod("_key", F.lit(steps))).otherwise(VALIDATION).cast("int")
+        shard = F.pmod(F.xxhash64("_key"), F.lit(shards)).cast("int")
+        dealt = rows.select(step.alias("step"), shard.alias("shard"), "_key", *[col(c) for c in columns])
+        # rows of one key are equal but for the input's order, so the order within a block is fixed
+        dealt = dealt.repartition("step", "shard").sortWithinPartitions("step", "shard", "_key")
+
+        def pack(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, seq, held, size = None, 0, [], 0
+
+            def block():
+                data = np.concatenate(held)
+                return pa.record_batch([
+                    pa.array([own[0]], pa.int32()), pa.array([own[1] * 2**32 + seq], pa.int64()), pa.array([data.tobytes()], pa.binary())],
+                    names=["step", "block", "data"])
+
+            for rb in frames:
+                if not rb.num_rows:
+                    continue
+                at, shard = (rb.column(k).to_numpy() for k in (0, 1))
+                data = np.column_stack([rb.column(k).to_numpy(zero_copy_only=False).astype(float) for k in range(3, rb.num_columns)])
+                cuts = np.flatnonzero((at[1:] != at[:-1]) | (shard[1:] != shard[:-1])) + 1
+                for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True):
+                    if own != (int(at[lo]), int(shard[lo])):
+                        if held:
+                            yield block()
+                        own, seq, held, size = (int(at[lo]), int(shard[lo])), 0, [], 0
+                    while lo < hi:
+                        part = data[lo : min(hi, lo + BLOCK_ROWS - size)]
+                        held.append(part)
+                        lo, size = lo + len(part), size + len(part)
+                        if size == BLOCK_ROWS:
+                            yield block()
+                            seq, held, size = seq + 1, [], 0
+            if held:
+                yield block()
+
+        packed = dealt.mapInArrow(pack, "step INT, block LONG, data BINARY")
+        path = fresh_path(rows.sparkSession, "mlp-blocks")
+        packed.write.partitionBy("step").parquet(path)
+        stored = rows.sparkSession.read.schema("block LONG, data BINARY, step INT").parquet(path)
+        counts = {r["step"]: r["count"] for r in stored.groupBy("step").count().collect()}  # a row per mini-batch
+        return cls(stored, counts, steps)
+
+    def sums(self, steps: Sequence[int], courses: list[Course], width: int, epoch: int) -> list[np.ndarray]:
+        """Per net: the summed gradient of the mini-batches, and loss, rows, and the same of the validation rows.
+
+        The last four numbers are training loss, training rows, validation loss and validation rows.
+        """
+        count = sum(self.counts.get(s, 0) for s in steps)
+        if not count:
+            return [np.zeros(c.sizes()) for c in courses]
+        spark = self.df.sparkSession
+        shared = spark.sparkContext.broadcast(([c.net for c in courses], [c.shared() for c in courses]))
+
+        def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nets, cells = shared.value
+            for rb in frames:
+                for block, data, step in zip(*(rb.column(k).to_pylist() for k in range(3)), strict=True):
+                    matrix = np.frombuffer(data).reshape(-1, width)
+                    total = np.concatenate([_cell_sums(matrix, n, c, step, [n.seed, epoch, step + 1, block]) for n, c in zip(nets, cells, strict=True)])
+                    yield pa.record_batch([
+                        pa.array([step], pa.int32()), pa.array([block], pa.int64()), pa.array([total.tobytes()], pa.binary())],
+                        names=["step", "block", "sum"])
+
+        parts = self.df.filter(F.col("step").isin(list(steps))).select("block", "data", "step").mapInArrow(run, "step INT, block LONG, sum BINARY")
+        while count > FAN:
+            count = math.ceil(count / FAN)
+            parts = _added(parts, count)
+        found = sorted(parts.collect(), key=lambda r: (r["step"], r["block"]))  # at most FAN
+        shared.destroy()
+        total = sum(np.frombuffer(r["sum"]) for r in found)
+        cuts = np.cumsum([c.sizes() for c in courses])
+        return np.split(total, cuts[:-1])
+
+
+def _cell_sums(matrix: np.ndarray, net: Net, cell: tuple, step: int, seed: list[int]) -> np.ndarray:
+    at, fill, mean, spread, y_at, y_mean, y_spread, weight_at, w = cell
+    y = matrix[:, y_at]
+    there = np.isfinite(y).all(axis=1)
+    x, y = matrix[there][:, at], (y[there] - y_mean) / y_spread
+    x = (np.where(np.isnan(x), fill, x) - mean) / spread
+    n, train = len(x), step != VALIDATION
+    if not n:
+        return np.zeros(sum(v.size for v in w) + 4)
+    weight = matrix[there, weight_at] if train and weight_at is not None else np.ones(n)
+    loss = _loss(_forward(w, x, net)[0], y, weight, net)[0]
+    if not train:
+        return np.concatenate([np.zeros(sum(v.size for v in w)), [0.0, 0.0, loss, n]])
+    grads = _gradient(w, x, y, weight, replace(net, l2=0.0), np.random.default_rng(seed))
+    return np.concatenate([*[g.ravel() * n for g in grads], [loss, n, 0.0, 0.0]])
+
+
+def _added(parts: DataFrame, groups: int) -> DataFrame:
+    """Sums of ``groups`` groups of blocks, each added up in the order of the blocks."""
     def add(table: pa.Table) -> pa.Table:
-        states = [np.frombuffer(b) for b in table.column("state").to_pylist()]
-        out = {"state": [sum(states).tobytes()], "steps": [pc.max(table.column("steps")).as_py()]}
-        for c in ("loss", "n", "val_loss", "val_n"):
-            out[c] = [pc.sum(table.column(c)).as_py()]
-        return pa.table(out)
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("step", "block", "sum")), strict=True), key=lambda r: r[:2])
+        total = sum(np.frombuffer(r[2]) for r in rows)
+        return pa.table([pa.array([rows[0][0]], pa.int32()), pa.array([rows[0][1]], pa.int64()), pa.array([total.tobytes()], pa.binary())],
+                        names=["step", "block", "sum"])
 
-    grouped = parts.withColumn("g", F.spark_partition_id() % groups).groupBy("g")
-    return grouped.applyInArrow(lambda t: add(t.drop_columns(["g"])), schema)
+    grouped = parts.withColumn("g", F.pmod(F.xxhash64("step", "block"), F.lit(groups))).groupBy("g")
+    return grouped.applyInArrow(lambda t: add(t.drop_columns(["g"])), "step INT, block LONG, sum BINARY")
 
 
-def _epoch(rows: DataFrame, state: State, net: Net, rate: float, epoch: int, n_in: int, width: int, train: bool):
-    """One pass: (averaged new state, training loss and validation loss of the given state)."""
-    shared = rows.sparkSession.sparkContext.broadcast((state.w, state.m, state.v, state.steps))
+def fit_cells(
+    train: DataFrame, val: DataFrame, features: Sequence[str], tasks: dict, net: Net = REGRESSION, classes: int = 3, parallel: int = 4,
+) -> dict:
+    """A net per task, by its name, all trained in the same jobs; each keeps the weights of its best epoch.
+
+    ``tasks`` maps names to :class:`Labels`. A net learns from the rows that have all its labels. Features take the
+    training mean where null and are scaled; regression targets are normalised on train.
+    """
+    labels = list(dict.fromkeys(c for t in tasks.values() for c in t.columns.values()))
+    weights = list(dict.fromkeys(t.weight for t in tasks.values() if t.weight))
+    keyed = [f.name for f in train.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    key = lambda df: F.xxhash64(*[col(c) for c in keyed if c in df.columns])
+    number = lambda c: col(c).cast("double").alias(c)
+    rows = [df.select(
+        *map(number, dict.fromkeys([*features, *labels])), *[number(w) if w in df.columns else F.lit(1.0).alias(w) for w in weights],
+        F.lit(kind).alias("_train"), key(df).alias("_key")) for df, kind in ((train, 1), (val, 0))]
+    staged = stage(rows[0].unionByName(rows[1]), "mlp-rows")
+    n_out = lambda t: classes if net.task == "class" else len(t.columns)
+
+    def start(task: Labels) -> Course:
+        own = staged.filter("_train = 1").dropna(subset=[f"`{c}`" for c in task.columns.values()])
+        prep = Preparation.fit(own, features, "mean", scale=True)
+        scale = None
+        if net.task == "regression":
+            found = fit_scale(own, list(task.columns.values()), tiny=1e-6)
+            scale = {t: found[c] for t, c in task.columns.items()}
+        return Course(net, prep, task, scale, features, labels, weights, n_out(task))
+
+    blocks = Blocks.deal(staged, list(dict.fromkeys([*features, *labels, *weights])), net)
+    with ThreadPoolExecutor(parallel) as pool:
+        courses = dict(zip(tasks, pool.map(start, tasks.values()), strict=True))
+    width = len(dict.fromkeys([*features, *labels, *weights]))
+    _train(blocks, list(courses.values()), width, net)
+    return {name: c.model() for name, c in courses.items()}
+
+
+def _epoch(courses: list[Course], epoch: int, steps: int, last: bool, losses: list[list[float]], sums) -> None:
+    """Judge the epoch before, unless this is the first, and take the steps of this one, unless all are done.
+
+    ``sums(read, active)`` gives the sums of mini-batches; ``losses`` holds each net's training loss and rows.
+    """
+    active = [k for k, c in enumerate(courses) if not c.done]
+    for step in range(1 if last else steps):
+        read = [VALIDATION] if last else [step, VALIDATION] if step == 0 and epoch > 1 else [step]
+        totals = sums(read, [courses[k] for k in active])
+        if step == 0 and epoch > 1:
+            for k, total in zip(active, totals, strict=True):
+                c, (loss, n) = courses[k], losses[k]
+                trained = loss / max(n, 1) + c.penalty()
+                c.judge(epoch - 1, trained, total[-2] / total[-1] + c.penalty() if total[-1] else trained)
+                losses[k] = [0.0, 0.0]
+        if last:
+            return
+        for k, total in zip(active, totals, strict=True):
+            if not courses[k].done:
+                losses[k] = [losses[k][0] + float(total[-4]), losses[k][1] + float(total[-3])]
+                courses[k].step(total)
+        active = [k for k in active if not courses[k].done]
+        if not active:
+            return
+
+
+def _train(blocks: Blocks, courses: list[Course], width: int, net: Net) -> None:
+    losses = [[0.0, 0.0] for _ in courses]
+    single = max((n for s, n in blocks.counts.items() if s != VALIDATION), default=0) <= 1 and blocks.counts.get(VALIDATION, 0) <= FAN
+    for epoch in range(1, net.epochs + 2):
+        if all(c.done for c in courses):
+            return
+        last = epoch == net.epochs + 1
+        if single:
+            losses = _epoch_in_a_task(blocks, courses, width, epoch, last, losses)
+        else:
+            _epoch(courses, epoch, blocks.steps, last, losses, lambda read, active: blocks.sums(read, active, width, epoch))
+
+
+def _epoch_in_a_task(blocks: Blocks, courses: list[Course], width: int, epoch: int, last: bool, losses: list[list[float]]) -> list[list[float]]:
+    """The same epoch taken by one task, which reads block after block; the nets follow."""
+    shared = blocks.df.sparkSession.sparkContext.broadcast((courses, losses))
+    steps = blocks.steps
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, m, v, steps = shared.value
-        own = State(list(w), list(m), list(v), steps)
-        sums = {True: [0.0, 0.0], False: [0.0, 0.0]}
-        rng = np.random.default_rng([net.seed, epoch])
-        for x, y, weight, is_train in _batches(frames, n_in, width, net.batch):
-            z, _, _ = _forward(w, x, net)
-            loss, _ = _loss(z, y, weight, net)
-            sums[is_train][0] += loss
-            sums[is_train][1] += len(x)
-            if is_train and train:
-                order = rng.permutation(len(x))
-                own.step(_gradient(own.w, x[order], y[order], weight[order], net, rng), rate)
-        yield pa.RecordBatch.from_pydict({
-            "state": [own.pack(sums[True][1])], "steps": [own.steps],
-            "loss": [sums[True][0]], "n": [sums[True][1]],
-            "val_loss": [sums[False][0]], "val_n": [sums[False][1]],
-        })
-
-    schema = "state binary, steps double, loss double, n double, val_loss double, val_n double"
-    parts = _summed(rows.mapInArrow(run, schema), schema).collect()
+        own, lost = pickle.loads(pickle.dumps(shared.value))
+        rows = (r for rb in frames for r in zip(*(rb.column(k).to_pylist() for k in range(3)), strict=True))
+        ahead = [next(rows, None)]
+
+        def sums(read: Sequence[int], active: list[Course]) -> list[np.ndarray]:
+            totals = [np.zeros(c.sizes()) for c in active]
+            while ahead[0] is not None and ahead[0][2] <= max(read):  # blocks come by step, validation first
+                block, data, step = ahead[0]
+                if step in read:
+                    matrix = np.frombuffer(data).reshape(-1, width)
+                    totals = [t + _cell_sums(matrix, c.net, c.shared(), step, [c.net.seed, epoch, step + 1, block])
+                              for t, c in zip(totals, active, strict=True)]
+                ahead[0] = next(rows, None)
+            return totals
+
+        _epoch(own, epoch, steps, last, lost, sums)
+        for _ in rows:
+            pass
+        yield pa.record_batch([pa.array([pickle.dumps(([c.course() for c in own], lost))], pa.binary())], names=["left"])
+
+    ordered = blocks.df.coalesce(1).sortWithinPartitions("step", "block")
+    (row,) = ordered.mapInArrow(run, "left BINARY").collect()
     shared.destroy()
-    penalty = net.l2 * sum(float((w * w).sum()) for w in state.w[:-2:2])
-    n, val_n = sum(p["n"] for p in parts), sum(p["val_n"] for p in parts)
-    loss = sum(p["loss"] for p in parts) / n + penalty
-    val_loss = sum(p["val_loss"] for p in parts) / val_n + penalty if val_n else loss
-    flat = sum(np.frombuffer(p["state"]) / n for p in parts)
-    steps = max(p["steps"] for p in parts)
-    return state.unpack(flat, steps), loss, val_loss
+    left, losses = pickle.loads(row["left"])
+    for c, course in zip(courses, left, strict=True):
+        c.follow(course)
+    return losses
+
+
+def fit_mlp(
+    train: DataFrame, val: DataFrame, features: Sequence[str], labels: dict[str, str],
+    net: Net = REGRESSION, classes: int = 3, weight: str | None = None,
+) -> MlpModel:
+    """Train one net on ``train``, stop early on ``val``; ``labels`` maps each target to its label column."""
+    return fit_cells(train, val, features, {0: Labels(labels, weight)}, net, classes)[0]

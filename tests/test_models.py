@@ -125,6 +125,78 @@ def test_mlp_gradient():
         assert grads[i][at] == pytest.approx((loss[0] - loss[1]) / 2e-6, abs=1e-6)
 
 
+def test_mlp_does_not_depend_on_the_layout(frame):
+    """Weights are those of one stream of mini-batches, whatever the partitions, blocks and levels of sums."""
+    df = labels.label_regression(frame, SERIES.keyed("split"), "v", 1)
+    net = mlp.Net(hidden=(8, 4), batch=100, epochs=6)
+    train, val = (df.filter(F.col("split") == s) for s in ("train", "val"))
+    models = [mlp.fit_mlp(train.repartition(n), val.repartition(n), FEATURES, {"v": "y"}, net) for n in (1, 4, 64)]
+    for other in models[1:]:
+        np.testing.assert_allclose(other.history, models[0].history, rtol=1e-8)
+        for a, b in zip(models[0].weights, other.weights, strict=True):
+            np.testing.assert_allclose(a, b, rtol=1e-8)
+
+
+def test_mlp_equals_plain_mini_batch_training(frame, monkeypatch):
+    """Without dropout a mini-batch is nothing but the gradient of its rows; blocks and sums change only the last digits."""
+    df = labels.label_regression(frame, SERIES.keyed("split"), "v", 1)
+    net = mlp.Net(hidden=(6,), dropout=0.0, batch=10**6, epochs=5, rate=0.01)
+    train, val = (df.filter(F.col("split") == s) for s in ("train", "val"))
+    monkeypatch.setattr(mlp, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(mlp, "FAN", 3)
+    model = mlp.fit_mlp(train, val, FEATURES, {"v": "y"}, net)
+    prep, (mean, spread) = model.prep, model.target_scale["v"]
+    data = train.select(*FEATURES, "y").toPandas().to_numpy(float)
+    x = np.where(np.isnan(data[:, :3]), [prep.fill[c] for c in FEATURES], data[:, :3])
+    x = (x - [prep.scale[c][0] for c in FEATURES]) / [prep.scale[c][1] for c in FEATURES]
+    y = (data[:, 3:] - mean) / spread
+    state = mlp.State.fresh(mlp._start(net, 3, 1))
+    seen = []
+    for _ in range(5):
+        state.step(mlp._gradient(state.w, x, y, np.ones(len(x)), net, None), net.rate)
+        seen.append([w.copy() for w in state.w])
+    best = min(range(len(model.history)), key=lambda k: model.history[k][2])
+    for a, b in zip(model.weights, seen[best], strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-6, atol=1e-9)
+
+
+def test_one_task_takes_the_same_steps_as_many(frame, monkeypatch):
+    df = labels.label_regression(frame, SERIES.keyed("split"), "v", 1)
+    net = mlp.Net(hidden=(8, 4), batch=150, epochs=5, patience=2, slow_after=1, rate=0.02)
+    train, val = (df.filter(F.col("split") == s) for s in ("train", "val"))
+    one = mlp.fit_mlp(train, val, FEATURES, {"v": "y"}, net)
+
+    def by_jobs(blocks, courses, width, epoch, last, losses):
+        mlp._epoch(courses, epoch, blocks.steps, last, losses, lambda read, active: blocks.sums(read, active, width, epoch))
+        return losses
+
+    monkeypatch.setattr(mlp, "_epoch_in_a_task", by_jobs)
+    many = mlp.fit_mlp(train, val, FEATURES, {"v": "y"}, net)
+    np.testing.assert_allclose(one.history, many.history, rtol=1e-8)
+    for a, b in zip(one.weights, many.weights, strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-8)
+
+
+def test_cells_train_together_as_alone(frame):
+    wide = labels.label_horizons(frame, SERIES.keyed("split"), ["v"], (1, 6), name="{t}_{h}")
+    net = mlp.Net(hidden=(6,), dropout=0.0, batch=200, epochs=8, rate=0.01, patience=3, slow_after=2)
+    train, val = (wide.filter(F.col("split") == s) for s in ("train", "val"))
+    tasks = {h: mlp.Labels({"v": f"v_{h}"}) for h in (1, 6)}
+    both = mlp.fit_cells(train, val, FEATURES, tasks, net)
+    for h in (1, 6):
+        alone = mlp.fit_cells(train, val, FEATURES, {h: tasks[h]}, net)[h]
+        assert len(alone.history) == len(both[h].history)
+        for a, b in zip(alone.weights, both[h].weights, strict=True):
+            np.testing.assert_allclose(a, b, rtol=1e-6, atol=1e-9)
+
+
+def test_mlp_with_repeated_rows_and_without_validation_rows(frame):
+    df = labels.label_regression(frame, SERIES.keyed("split"), "v", 1).filter("split = 'train'")
+    same = df.limit(1).crossJoin(df.sparkSession.range(300)).drop("id")
+    model = mlp.fit_mlp(df.unionByName(same), df.limit(0), FEATURES, {"v": "y"}, mlp.Net(hidden=(4,), epochs=2))
+    assert len(model.history) == 2 and all(np.isfinite(w).all() for w in model.weights)
+
+
 def test_isolation_forest_flags_outliers(spark):
     rng = np.random.default_rng(1)
     data = rng.normal(size=(3000, 2))
