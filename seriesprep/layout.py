@@ -19,8 +19,10 @@ import math
 from collections.abc import Callable, Sequence
 from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesprep.functions.scalars import col, quoted
 from seriesprep.spec import SeriesSpec
@@ -32,7 +34,7 @@ MAX_BLOCK_ROWS = 250_000
 MIN_BLOCK_ROWS = 1024
 MAX_COLLECTED_PARTS = 200_000
 BLOCKS_PER_SPAN = 1024
-POS, BLOCK, SPAN = "_pos", "_block", "_span"
+POS, BLOCK, SPAN, STATE = "_pos", "_block", "_span", "_state"
 _SHIFT = 33  # monotonically_increasing_id keeps the partition number above bit 33
 
 
@@ -68,7 +70,7 @@ def place(df: DataFrame, spec: SeriesSpec, reach: int = 0) -> tuple[DataFrame, S
         MAX_BLOCK_ROWS, max(MIN_BLOCK_ROWS, math.ceil(total / (4 * _partitions(df))))
     )
     block = max(block, reach, 1)
-    return number_rows(df, spec, total), spec.using(layout="indexed", block_rows=block)
+    return number_rows(df, spec, total), spec.using(layout="indexed", block_rows=block, rows=total)
 
 
 def number_rows(df: DataFrame, spec: SeriesSpec, total: int) -> DataFrame:
@@ -247,6 +249,50 @@ def block_carry(
     return join_carry(blocks, table, spec, list(summaries))
 
 
+def number_of_blocks(df: DataFrame, spec: SeriesSpec) -> int:
+    rows = spec.rows if spec.rows is not None else (df.agg(F.max(POS)).first()[0] or 0) + 1
+    return rows // spec.block_rows + 1
+
+
+def chain_blocks(
+    table: DataFrame, by: Sequence[str], total: Callable[[pa.Table], pa.Table], advance: Callable[[pa.Table, bytes | None], list[bytes | None]],
+    blocks: int, backwards: bool = False,
+) -> DataFrame:
+    """``_block``, the keys and ``_state``: what each block of ``table``, one row per block and series, takes over from those before it.
+
+    Blocks that take over nothing are left out.
+
+    A scan with summaries that merge: ``total`` merges the ordered rows of one series into one row of the same columns, and
+    ``advance`` gives the state that comes into each row, given the one that comes into the first. No group has more than
+    ``BLOCKS_PER_SPAN`` rows: longer series are merged by spans of blocks, these are chained in the same way, and so on.
+    """
+    fields = [table.schema[BLOCK], *[table.schema[k] for k in by]]
+    order = [(BLOCK, "descending" if backwards else "ascending")]
+
+    def incoming(rows: pa.Table, start: bytes | None = None) -> pa.Table:
+        rows = rows.sort_by(order)
+        return rows.select([f.name for f in fields]).append_column(STATE, pa.array(advance(rows, start), pa.binary()))
+
+    schema = T.StructType([*fields, T.StructField(STATE, T.BinaryType())])
+    if blocks <= BLOCKS_PER_SPAN:
+        return table.groupBy(*by).applyInArrow(lambda rows: incoming(rows), schema).filter(F.col(STATE).isNotNull())
+    spanned = table.withColumn(SPAN, F.expr(f"{BLOCK} div {BLOCKS_PER_SPAN}"))
+
+    def merged(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(order)
+        one = total(rows.drop_columns([SPAN]))
+        return one.set_column(one.schema.get_field_index(BLOCK), BLOCK, rows.column(SPAN)[:1].cast(pa.int64()))
+
+    ends = spanned.groupBy(SPAN, *by).applyInArrow(merged, table.schema)
+    before = chain_blocks(ends, by, total, advance, math.ceil(blocks / BLOCKS_PER_SPAN), backwards)
+    joined = match_rows(spanned, before.withColumnRenamed(BLOCK, SPAN), [SPAN, *by])
+
+    def within(rows: pa.Table) -> pa.Table:
+        return incoming(rows.drop_columns([SPAN, STATE]), rows.column(STATE)[0].as_py())
+
+    return joined.groupBy(SPAN, *by).applyInArrow(within, schema).filter(F.col(STATE).isNotNull())
+
+
 def _from_start(w: WindowSpec, keys: list[str], backwards: bool) -> WindowSpec:
     order = [F.col(k).desc() if backwards else F.col(k).asc() for k in keys]
     return w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

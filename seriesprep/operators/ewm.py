@@ -5,8 +5,8 @@ The recursive mean moves from ``y`` to ``(w*y + a*x) / (w + a)`` at each known v
 and ages its weight. Started without a past, a block gives means ``f``. The past only changes
 the first known value of the block from ``x`` to some ``y``, and every later mean by
 ``A*(y - x)``, where ``A`` is the product of the factors ``w/(w + a)`` so far. So each block is
-summed up by a handful of numbers, these are chained over the small block table, and a
-second pass over the blocks adds the correction.
+summed up by a handful of numbers. Summaries of neighbours merge into one of the same kind, so they are chained by spans
+of blocks (:func:`seriesprep.layout.chain_blocks`), and a second pass over the blocks adds the correction.
 """
 
 from __future__ import annotations
@@ -136,29 +136,61 @@ def _with_past(blocks: DataFrame, spec: SeriesSpec, columns, cells, keys) -> Dat
         return pa.table(row | {k: pa.array([v], pa.list_(pa.float64())) for k, v in parts.items()})
 
     summary = narrow.groupBy(*keys).applyInArrow(summarise, summary_schema)
-    past_schema = T.StructType(key_fields + [T.StructField(PAST, T.BinaryType())])
-
-    def chain(table: pa.Table) -> pa.Table:
-        table = table.sort_by(layout.BLOCK)
-        y, w = [np.nan] * len(cells), [np.nan] * len(cells)
-        past = []
-        for row in table.to_pylist():
-            past.append(np.array([y, w]).tobytes())
-            for i, (_, a) in enumerate(cells):
-                if row["first"][i] is None:
-                    w[i] *= (1.0 - a) ** row["n"]
-                    continue
-                end, x = row["mean"][i], row["first"][i]
-                if not np.isnan(y[i]):
-                    start = _blend(y[i], w[i] * (1.0 - a) ** row["lead"][i], x, a)
-                    end += row["factor"][i] * (start - x)
-                y[i], w[i] = end, (1.0 - a) ** row["tail"][i]
-        cols = {k: table.column(k) for k in keys}
-        cols[PAST] = pa.array(past, pa.binary())
-        return pa.table(cols).slice(1)  # nothing comes into the first block of a series
-
-    past = summary.groupBy(*spec.by).applyInArrow(chain, past_schema)
+    alphas = np.array([a for _, a in cells])
+    past = layout.chain_blocks(
+        summary, spec.by, lambda rows: _total(rows, alphas), lambda rows, start: _advance(rows, start, alphas), layout.number_of_blocks(blocks, spec))
+    past = past.withColumnRenamed(layout.STATE, PAST)
     joined = layout.join_carry(blocks, past, spec, [PAST])
     # the series that comes in starts the block, so its first row is enough to hold the past
     starts = F.col(layout.POS) == F.col(layout.BLOCK) * spec.block_rows
     return joined.withColumn(PAST, F.when(starts, F.col(PAST)))
+
+
+def _summaries(rows: pa.Table) -> dict[str, np.ndarray]:
+    """Row counts, and per part a matrix of blocks and cells, NaN where a block has no known value."""
+    out = {"n": rows.column("n").to_numpy()}
+    for part in ("lead", "first", "tail", "mean", "factor"):
+        out[part] = np.array([[np.nan if v is None else v for v in cells] for cells in rows.column(part).to_pylist()], float)
+    return out
+
+
+def _blend_all(y: np.ndarray, weight: np.ndarray, x: np.ndarray, alphas: np.ndarray) -> np.ndarray:
+    return (weight * y + alphas * x) / (weight + alphas)
+
+
+def _advance(rows: pa.Table, start: bytes | None, alphas: np.ndarray) -> list[bytes | None]:
+    """Means and weights that come into each block, packed; None into the first of a series."""
+    parts, keep = _summaries(rows), 1.0 - alphas
+    y, w = np.full((2, len(alphas)), np.nan) if start is None else np.frombuffer(start).reshape(2, -1)
+    states: list[bytes | None] = []
+    for r in range(rows.num_rows):
+        states.append(np.array([y, w]).tobytes() if r or start is not None else None)
+        x = parts["first"][r]
+        begin = _blend_all(y, w * keep ** parts["lead"][r], x, alphas)
+        moved = np.where(np.isnan(y), 0.0, parts["factor"][r] * (begin - x))
+        known = ~np.isnan(x)
+        y = np.where(known, parts["mean"][r] + moved, y)
+        w = np.where(known, keep ** parts["tail"][r], w * keep ** float(parts["n"][r]))
+    return states
+
+
+def _total(rows: pa.Table, alphas: np.ndarray) -> pa.Table:
+    """The summary of neighbouring blocks taken as one."""
+    parts, keep = _summaries(rows), 1.0 - alphas
+    n, none = 0.0, np.full(len(alphas), np.nan)
+    lead, first, tail, mean, factor = none, none, none, none, none
+    for r in range(rows.num_rows):
+        x, own = parts["first"][r], {p: parts[p][r] for p in ("lead", "tail", "mean", "factor")}
+        known, seen = ~np.isnan(x), ~np.isnan(first)
+        weight = keep ** (tail + own["lead"])
+        begin = _blend_all(mean, weight, x, alphas)
+        mean = np.where(known, np.where(seen, own["mean"] + own["factor"] * (begin - x), own["mean"]), mean)
+        factor = np.where(known, np.where(seen, factor * own["factor"] * weight / (weight + alphas), own["factor"]), factor)
+        tail = np.where(known, own["tail"], tail + float(parts["n"][r]))
+        lead, first = np.where(seen, lead, n + own["lead"]), np.where(seen, first, x)
+        n += float(parts["n"][r])
+    out = rows.slice(0, 1)
+    for name, value in (("lead", lead), ("first", first), ("tail", tail), ("mean", mean), ("factor", factor)):
+        cells = [[None if np.isnan(v) else float(v) for v in value]]
+        out = out.set_column(out.schema.get_field_index(name), name, pa.array(cells, pa.list_(pa.float64())))
+    return out.set_column(out.schema.get_field_index("n"), "n", pa.array([int(n)], pa.int64()))

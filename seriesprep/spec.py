@@ -22,7 +22,7 @@ class SeriesSpec:
     * ``"direct"``  - one window partition per series. Only for series of a known small size.
     * ``"blocked"`` - rows get a dense position and windows run over blocks of positions.
     * ``"auto"``    - direct when the longest series has at most ``max_direct_rows`` rows.
-    * ``"indexed"`` - set by :func:`seriesprep.layout.place`; the table carries ``_pos``.
+    * ``"indexed"`` - set by :func:`seriesprep.layout.place`; the table carries ``_pos``, and ``rows`` says how many rows it has.
     """
 
     ts: str = "timestamp"
@@ -33,6 +33,7 @@ class SeriesSpec:
     layout: str = "auto"
     block_rows: int | None = None
     max_direct_rows: int = 500_000
+    rows: int | None = None
 
     @property
     def signals(self) -> tuple[str, ...]:

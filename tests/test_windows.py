@@ -180,3 +180,34 @@ def test_shifted_stretch_and_infinity_give_the_flags_of_pandas(spark):
     exact = [(np.nanmean(w), np.nanstd(w, ddof=1)) for w in (series[(times > t - pd.Timedelta("24h")) & (times <= t)] for t in times)]
     plain = np.array([int(abs(v - m) > 3 * s) if k >= 12 and np.isfinite(s) else 0 for k, (v, (m, s)) in enumerate(zip(a, exact, strict=True))])
     assert (out["an_resid_a"].to_numpy() == plain)[12:].all() and (plain == want)[12:][sure[12:]].mean() > 0.97
+
+
+@pytest.mark.parametrize("block", [7, 64])
+def test_a_crowded_day_is_cut_into_blocks(spark, block):
+    """Two thirds of the rows lie in one day, some at the very same time; spans go over many blocks and blocks over many spans."""
+    rng = np.random.default_rng(11)
+    day = pd.Timestamp("2024-03-05")
+    crowd = day + pd.to_timedelta(rng.integers(0, 86_400, 400) // 30 * 30, unit="s")
+    rest = day + pd.to_timedelta(rng.integers(-40 * 24, 40 * 24, 200), unit="h")
+    times = [*crowd, *rest, *[pd.Timestamp("1969-12-31 23:30")] * 3]
+    a = rng.normal(0, 1, len(times)) + np.where(rng.random(len(times)) < 0.2, 1e5, 0.0)
+    a = [None if rng.random() < 0.1 else float(v) for v in a]
+    rows = [("x" if i % 50 else None, i, t.to_pydatetime(), v, 0.0) for i, (t, v) in enumerate(zip(times, a, strict=True))]
+    df = spark.createDataFrame(rows, "k string, id long, ts timestamp_ntz, a double, b double").repartition(6)
+    out = rolling_time(df, SPEC.using(block_rows=block), ["a", "b"], 24, 2).toPandas().sort_values("id")
+    data = pd.DataFrame({"k": [r[0] or "" for r in rows], "ts": times, "a": [np.nan if v is None else v for v in a]})
+    for r, (_, own) in zip(out.itertuples(), data.iterrows(), strict=True):
+        w = data[(data.k == own.k) & (data.ts <= own.ts) & (data.ts > own.ts - pd.Timedelta("24h"))].a.dropna()
+        if len(w) < 2:
+            assert pd.isna(r.a_mean_24h) and pd.isna(r.a_std_24h)
+        else:
+            assert r.a_mean_24h == pytest.approx(w.mean(), rel=1e-9, abs=1e-9) and r.a_std_24h == pytest.approx(w.std(), rel=1e-9, abs=1e-9)
+    assert (out.b_std_24h.dropna() == 0).all()
+
+
+def test_windows_of_time_frames_are_blocks(spark):
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    df = rolling_time(events, SeriesSpec(ts="ts", tiebreak=("event_id",)), ["value"])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Window [" in line]
+    assert lines and all("_block" in line for line in lines)
