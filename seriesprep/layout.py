@@ -63,9 +63,12 @@ def place(df: DataFrame, spec: SeriesSpec, reach: int = 0) -> tuple[DataFrame, S
     """Settle the layout. Call it once and pass the result on to share one sort among operators."""
     if spec.layout in ("direct", "indexed"):
         return df, spec
-    longest, total = longest_series(df, spec)
-    if spec.layout == "auto" and longest <= spec.max_direct_rows:
-        return df, spec.using(layout="direct")
+    if spec.layout == "blocked":
+        total = df.count()
+    else:
+        longest, total = longest_series(df, spec)
+        if longest <= spec.max_direct_rows:
+            return df, spec.using(layout="direct")
     block = spec.block_rows or min(
         MAX_BLOCK_ROWS, max(MIN_BLOCK_ROWS, math.ceil(total / (4 * _partitions(df))))
     )

@@ -33,7 +33,7 @@ def rolling_time(
     of sums. Infinite values count as missing.
     """
     keys = {k: f"_by{i}" for i, k in enumerate(spec.by)}
-    points = _points(df, spec, keys, columns)
+    points = stage(_points(df, spec, keys, columns), "points")
     asked = points.select(*keys.values(), (F.col(_T) - F.expr(f"INTERVAL '{hours}' HOUR")).alias(_AT), _T, F.lit(ASKED).alias(_KIND))
     entries = points.withColumns({_AT: F.col(_T), _KIND: F.lit(POINT)}).unionByName(asked, allowMissingColumns=True)
     entries = entries.withColumn(_CUT, F.expr(_span(_AT, hours)))
