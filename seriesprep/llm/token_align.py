@@ -36,9 +36,9 @@ from seriesprep.workspace import stage
 
 FOLDER = "/opt/tokenizers"
 BYTES_FILE, PIECES_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 20
 PIECE_CHARS = 1 << 20
-KNOWN_UNITS = 300_000  # of a task; it forgets them all when they are more
+KNOWN_UNITS = 120_000  # of a task; it forgets them all when they are more
 BATCH_CHARS = 1 << 16  # of units that are tokenised together
 KNOWN_CHARS = 1 << 24
 SALTS = 62  # copies of one text are dealt over so many keys
@@ -147,9 +147,9 @@ class Aligner:
         groups = ["".join(shown[lo:hi])[:-1] for lo, hi in zip([0, *stop], stop)]
         return Units(counts, groups, np.bincount(of, minlength=len(units)), key % (len(self.a_bytes) * self.size_b), often)
 
-    def forget(self) -> None:
-        """Drop the units if there are too many of them; numbers given before are void."""
-        if len(self.known) > KNOWN_UNITS or self.chars > KNOWN_CHARS:
+    def forget(self, all_units: bool = False) -> None:
+        """Drop the units if there are too many of them, or all; numbers given before are void."""
+        if all_units or len(self.known) > KNOWN_UNITS or self.chars > KNOWN_CHARS:
             self.known, self.units, self.chars = {}, NONE, 0
 
     def numbers(self, strings: list[str]) -> np.ndarray:
@@ -279,6 +279,7 @@ def align_texts(texts: DataFrame, bytes_path: str, pieces_path: str) -> DataFram
                     held, size = [], 0
         if held:
             yield _chunk(own, *map(list, zip(*held, strict=True)))
+        own.forget(all_units=True)
 
     return texts.select("text", "copies", "salts").mapInArrow(run, CHUNK_SCHEMA)
 
