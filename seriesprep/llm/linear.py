@@ -43,8 +43,10 @@ def bounded_sample(rows: DataFrame, key, count: int, most: int) -> DataFrame:
 def fit(features: DataFrame, classes: int, dims: int, steps: int = 40, rate: float = 0.3, decay: float = 1e-4) -> Linear:
     """Fit on rows of ``index`` (array of ints), ``value`` and ``target`` (arrays of floats, ``target`` one per class).
 
-    Full-batch steps with a rate of its own for every weight. At most ``SHARDS`` tasks return one gradient each.
+    Full-batch steps with a rate of its own for every weight. Weights are broadcast and let go after each step; at most ``SHARDS``
+    tasks return one gradient each.
     """
+    context = features.sparkSession.sparkContext
     data = stage(features, "training-rows").coalesce(SHARDS)
     count = data.count()
     weights = np.zeros((classes, dims + 1))
@@ -52,9 +54,9 @@ def fit(features: DataFrame, classes: int, dims: int, steps: int = 40, rate: flo
         return Linear(weights)
     seen = np.full_like(weights, 1e-8)
 
-    def gradient(model: Linear):
+    def gradient(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((classes, dims + 1))
+            model, total = Linear(shared.value), np.zeros((classes, dims + 1))
             for b in batches:
                 lists = b.column(0)
                 starts = lists.offsets.to_numpy().astype(np.int64)
@@ -71,7 +73,9 @@ def fit(features: DataFrame, classes: int, dims: int, steps: int = 40, rate: flo
         return run
 
     for _ in range(steps):
-        parts = data.mapInArrow(gradient(Linear(weights)), "g BINARY").collect()  # at most SHARDS
+        shared = context.broadcast(weights)
+        parts = data.mapInArrow(gradient(shared), "g BINARY").collect()  # at most SHARDS
+        shared.destroy()
         step = sum(np.frombuffer(r["g"]).reshape(weights.shape) for r in parts) / count + decay * weights
         seen += step**2
         weights = weights - rate * step / np.sqrt(seen)

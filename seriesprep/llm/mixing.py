@@ -1,18 +1,19 @@
 """Mixing to target weights with soft memberships.
 
-Domains are the classes of the labelled table: good, poor and toxic. A classifier over hashed words, fitted on labelled
-documents (``TRAINING_ROWS`` at most), predicts each document's posterior over the domains. Every document gets a
-nonnegative rate, starting at 1, so that the expected tokens of each domain, sum of rate * tokens * posterior, match their
-targets. Of all rates that do, those nearest to 1 are taken: they are 1 less a weighted sum of the posteriors, one weight per domain,
-cut off at zero. The weights come from projected gradient steps measured in the inverse Gram matrix of the documents that are not cut off
-(an active-set Newton step), shortened until the dual objective falls, and go on until the projected gradient is below
-``TOLERANCE`` of all tokens; not getting there in ``STEPS`` is an error. A step needs only sums over the domains, which Spark computes; a
-document's rate is recomputed from the weights, and no rates are moved or stored. Targets that no rates reach are met as nearly
-as possible, in the inverse Gram matrix of all documents, and the remaining distance is given as a warning.
+Domains are the classes of the labelled table: good, poor and toxic. A classifier over the ``WORDS`` tokens that tell the labelled
+documents' domains apart best, fitted on ``TRAINING_ROWS`` of them at most, predicts each document's posterior over the domains. Every
+document gets a nonnegative rate, so that the expected tokens of each domain, the sum of rate * tokens * posterior, match their
+targets. Rates start at 1 and are fitted by distributed projected gradient steps on the squared distance of the domains' expected tokens from
+their targets: a step moves each rate against its own slope, its posteriors times one weight per domain, and cuts it off at zero. The slope is
+measured in the inverse Gram matrix of the documents that are not cut off, and a step is halved until the distance falls, down to ``LEAST_STEP``. A step
+needs the domains' totals only, which Spark sums up; a document's rate follows from the steps so far, three numbers each, so rates are neither
+moved nor stored. Steps end when the targets are met within ``TOLERANCE`` of all tokens, when the distance has stopped falling
+(``SETTLED``), or after ``STEPS``; the nearest step is taken, and what distance remains is given as a warning.
 
 Defined results: null or empty texts have no tokens and the intercept's posterior. Labels that are null or of unknown
-documents are left out; without any labels all posteriors are equal. Repeated rows count each. Targets of unreachable domains
-(no tokens expected) are left out. An empty table gives an empty result; columns other than id and text play no part.
+documents are left out; of several labels of one id the largest domain counts, so toxic before poor before good. Without any labels all
+posteriors are equal. Repeated rows count each. Targets of unreachable domains (no tokens expected) are left out. Very long texts are read in
+pieces. An empty table gives an empty result; columns other than id and text play no part.
 """
 
 from __future__ import annotations
@@ -25,16 +26,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesprep.llm import linear, textnum
+from seriesprep.llm import linear, wordchoice
 from seriesprep.workspace import stage
 
 DOMAINS = ("good", "poor", "toxic")
-TARGETS = (0.97, 0.02, 0.01)
+# clean documents themselves are expected to hold some 2.5 % of poor and of toxic tokens each; lower targets would cost clean documents
+TARGETS = (0.94, 0.03, 0.03)
 TRAINING_ROWS = 20_000
-DIMS = 1 << 16
-STEPS = 200  # more are an error
+WORDS, LEAST_ROWS = 300, 8  # of 300, 1000 and 3000 words, 300 did best on folds of training labels
+STEPS = 60
 TOLERANCE = 1e-6
-SLACK = 1e-9  # weight of the dual's square, which bounds it if the targets cannot be reached
+LEAST_STEP = 1e-3  # of a full step; taken even if the distance grows, which leads past edges of the cut-off
+SETTLED = 0.01  # of the squared distance, gained in 25 steps
+SLACK = 1e-9  # keeps the Gram matrix of few documents regular
 MISSED = 1e-4  # share of all tokens
 
 
@@ -44,107 +48,120 @@ def domain_of(quality: Column, toxic: Column) -> Column:
     return F.when(known, F.when(toxic == 1, 2).when(quality == 1, 0).otherwise(1))
 
 
-def _word_features(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Presence of hashed words: flat index, value, and bounds of rows."""
-    code = (textnum.word_hashes(buf, starts, ends) % np.uint64(DIMS)).astype(np.int64)
-    sets = [np.unique(code[lo:hi]) for lo, hi in zip(before[:-1].tolist(), before[1:].tolist(), strict=True)]
-    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
-    flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-    return flat, np.ones(len(flat)), bounds
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
+    """``_domain`` and ``_text`` of the labelled documents, about ``most`` ids at most."""
+    known = labels.select(F.col(id_col).alias("_own"), domain_of(F.col("quality"), F.col("toxic")).alias("_domain")).filter(
+        "_domain IS NOT NULL AND _own IS NOT NULL").groupBy("_own").agg(F.max("_domain").alias("_domain"))
+    chosen = linear.bounded_sample(known, F.col("_own"), known.count(), most)
+    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_own"])  # some `most` rows of two numbers
+    return stage(rows.select("_domain", F.col(text_col).cast("string").alias("_text")), "domain-training")
 
 
-def fit_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", training_rows: int = TRAINING_ROWS) -> linear.Linear:
-    """The classifier of documents into domains; ``labels`` has the id, ``quality`` and ``toxic``."""
-    known = labels.select(F.col(id_col).alias("_own"), domain_of(F.col("quality"), F.col("toxic")).alias("_domain")).filter(
-        "_domain IS NOT NULL AND _own IS NOT NULL").dropDuplicates(["_own"])
-    count = known.count()
-    # about training_rows rows of two numbers, whatever the size of the tables
-    chosen = linear.bounded_sample(known, F.col("_own"), count, training_rows)
-    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_own"]).select("_domain", F.col(text_col).cast("string").alias("_text"))
+def fit_rows(rows: DataFrame, words: int = WORDS, least: int = LEAST_ROWS) -> tuple[np.ndarray, linear.Linear]:
+    """Vocabulary and weights of the classifier from rows of ``_domain`` and ``_text``."""
+    vocabulary = wordchoice.choose_words(rows, len(DOMAINS), words, least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, buf, offs in textnum.slices(b.column(1)):
-                index, value, bounds = _word_features(buf, *(found := textnum.word_bounds(buf, offs)))
+            for lo, hi, codes, bounds, _ in wordchoice.token_sets(b.column(1)):
+                index, value, bounds = wordchoice.known_features(vocabulary, codes, bounds)
                 target = np.eye(len(DOMAINS))[b.column(0).to_numpy(zero_copy_only=False)[lo:hi]]
                 at = pa.array(bounds, pa.int32())
                 yield pa.record_batch([
                     pa.ListArray.from_arrays(at, pa.array(index, pa.int32())), pa.ListArray.from_arrays(at, pa.array(value, pa.float32())),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(target) + 1) * len(DOMAINS), pa.int32()), pa.array(target.ravel(), pa.float32()))],
                     names=["index", "value", "target"])
-                del found
 
     features = rows.mapInArrow(run, "index ARRAY<INT>, value ARRAY<FLOAT>, target ARRAY<FLOAT>")
-    return linear.fit(features, len(DOMAINS), DIMS, steps=30, rate=0.2, decay=1e-4)
+    return vocabulary, linear.fit(features, len(DOMAINS), max(len(vocabulary), 1), steps=60, rate=0.5, decay=3e-4)
 
 
-def memberships(docs: DataFrame, model: linear.Linear, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fit_domains(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", training_rows_: int = TRAINING_ROWS,
+) -> tuple[np.ndarray, linear.Linear]:
+    """The classifier of documents into domains; ``labels`` has the id, ``quality`` and ``toxic``."""
+    return fit_rows(training_rows(docs, labels, id_col, text_col, training_rows_))
+
+
+def memberships(docs: DataFrame, model: tuple[np.ndarray, linear.Linear], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_id``, ``_key``, ``n_tokens`` and one posterior per domain, ``p0``, ``p1``, ..., of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.weights)
+    shared = docs.sparkSession.sparkContext.broadcast((model[0], model[1].weights))
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_key"), F.col(text_col).cast("string").alias("_text"))
     names = [f"p{k}" for k in range(len(DOMAINS))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = linear.Linear(shared.value)
+        vocabulary, weights = shared.value
+        own = linear.Linear(weights)
         for b in batches:
-            for lo, hi, buf, offs in textnum.slices(b.column(2)):
-                starts, ends, before = textnum.word_bounds(buf, offs)
-                p = own.posteriors(*_word_features(buf, starts, ends, before))
+            for lo, hi, codes, bounds, words in wordchoice.token_sets(b.column(2)):
+                p = own.posteriors(*wordchoice.known_features(vocabulary, codes, bounds))
                 yield pa.record_batch([
-                    b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), pa.array(np.diff(before), pa.int64()),
+                    b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), pa.array(words, pa.int64()),
                     *[pa.array(p[:, k]) for k in range(p.shape[1])]], names=["_id", "_key", "n_tokens", *names])
 
     id_type = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"_id {id_type}, _key LONG, n_tokens LONG, " + ", ".join(f"{n} DOUBLE" for n in names))
 
 
-def _rate(weights: np.ndarray) -> Column:
-    """A document's rate: 1 less the weighted sum of its posteriors, cut off at zero."""
-    return F.greatest(F.lit(0.0), F.lit(1.0) - sum((F.col(f"p{k}") * float(w) for k, w in enumerate(weights)), F.lit(0.0)))
+def _rate(steps: list[np.ndarray]) -> Column:
+    """A document's rate: 1, less its posteriors times the weights of each step, cut off at zero after each."""
+    rate = F.lit(1.0)
+    for weights in steps:
+        rate = F.greatest(F.lit(0.0), rate - sum((F.col(f"p{k}") * float(w) for k, w in enumerate(weights)), F.lit(0.0)))
+    return rate
 
 
-def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, steps: int = STEPS) -> tuple[Column, np.ndarray, np.ndarray]:
-    """The rate as a column over ``members``, and the expected and the wanted tokens of each domain."""
-    k = len(targets)
-    p = [F.col(f"p{i}") for i in range(k)]
-    n = F.col("n_tokens").cast("double")
+def _totals(members: DataFrame, steps: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Expected tokens of each domain, and the Gram matrix of the documents that are not cut off."""
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    names = [*[f"t{i}" for i in range(k)], *[f"g{i}_{j}" for i, j in pairs]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(names))
+        for b in batches:
+            n = b.column(0).to_numpy().astype(float)
+            p = np.stack([b.column(1 + i).to_numpy() for i in range(k)], axis=1)
+            rate = np.ones(len(n))
+            for weights in steps:
+                rate = np.maximum(0.0, rate - p @ weights)
+            left = np.where(rate > 0, n, 0.0)
+            total += [*((rate * n) @ p), *[(left * p[:, i]) @ p[:, j] for i, j in pairs]]
+        yield pa.record_batch([pa.array([x]) for x in total], names=names)
+
+    rows = members.select("n_tokens", *[f"p{i}" for i in range(k)]).mapInArrow(run, ", ".join(f"{x} DOUBLE" for x in names))
+    row = rows.agg(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in names]).head()
+    gram = np.zeros((k, k))
+    for (i, j), g in zip(pairs, row[k:], strict=True):
+        gram[i, j] = gram[j, i] = g
+    return np.array(row[:k]), gram
 
-    def sums(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """Tokens of each domain, the Gram matrix of documents that are not cut off, and the sum of their tokens by squared rate."""
-        rate = _rate(weights)
-        left = F.when(rate > 0, n).otherwise(0.0)
-        row = members.agg(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in (
-            rate * rate * n, *[rate * n * x for x in p], *[left * p[i] * p[j] for i, j in pairs])]).head()
-        gram = np.zeros((k, k))
-        for (i, j), g in zip(pairs, row[k + 1 :], strict=True):
-            gram[i, j] = gram[j, i] = g
-        return np.array(row[1 : k + 1]), gram, row[0]
-
-    weights = np.zeros(k)
-    have, gram, square = sums(weights)
-    whole, total = gram, have.sum()
+
+def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, steps: int = STEPS) -> tuple[Column, np.ndarray, np.ndarray]:
+    """The rate as a column over ``members``, and the expected and the wanted tokens of each domain."""
+    taken: list[np.ndarray] = []
+    have, whole = _totals(members, taken, len(targets))
+    total, gram = have.sum(), whole
     wanted = np.array(targets) / sum(targets) * total
     if not total:
-        return _rate(weights), have, wanted
-    inside = whole @ np.linalg.pinv(whole, rcond=1e-9)  # what rates can change
-    value = square / 2
-    for _ in range(steps):
-        slope = inside @ (wanted - have + SLACK * whole @ weights)
-        if np.abs(slope).max() <= TOLERANCE * total:
-            return _rate(weights), have, wanted
-        step = -np.linalg.pinv(gram + SLACK * whole, rcond=1e-14, hermitian=True) @ slope
-        step = inside.T @ step
-        size = 1.0
+        return _rate(taken), have, wanted
+    metric = np.linalg.pinv(whole, rcond=1e-9, hermitian=True)
+    distance = lambda x: float((x - wanted) @ metric @ (x - wanted))
+    best = [(distance(have), 0, have)]  # after each step: the least distance so far, by how many steps, and the tokens there
+    while len(taken) < steps and np.abs(have - wanted).max() > TOLERANCE * total:
+        if len(best) > 25 and best[-1][0] > best[-26][0] * (1 - SETTLED):
+            break
+        full, size = np.linalg.pinv(gram + SLACK * whole, rcond=1e-14, hermitian=True) @ (have - wanted), 1.0
         while True:
-            tried = weights + size * step
-            now_have, now_gram, square = sums(tried)
-            now = square / 2 + tried @ (inside @ wanted) + SLACK / 2 * tried @ whole @ tried
-            if now <= value + 1e-4 * size * (slope @ step) + 1e-12 * abs(value) or size < 1e-6:
+            now, now_gram = _totals(members, [*taken, full * size], len(targets))
+            if distance(now) < distance(have) or size < LEAST_STEP:
                 break
             size /= 2
-        weights, have, gram, value = tried, now_have, now_gram, now
-    raise RuntimeError(f"rates did not settle in {steps} steps: {have} tokens of {wanted}")
+        taken.append(full * size)
+        have, gram = now, now_gram
+        best.append(min(best[-1], (distance(have), len(taken), have), key=lambda b: b[0]))
+    _, count, have = best[-1]
+    taken = taken[:count]
+    return _rate(taken), have, wanted
 
 
 def mix(
