@@ -22,8 +22,8 @@ from seriesprep.llm import decontaminate, exact_dedup, jaccard_join, mixing, qua
 from seriesprep.workspace import stage
 
 
-# good, poor and toxic; rejected documents have gone by then, so few tokens of poor ones are left to draw
-TARGETS = (0.985, 0.005, 0.01)
+# good, poor and toxic, about as clean documents are expected to hold them, so that these stay
+TARGETS = mixing.TARGETS
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
