@@ -6,14 +6,19 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesprep.functions.quantiles import exact_quantiles
 from seriesprep.functions.scalars import col
 from seriesprep.operators.impute import fit_medians, impute_saved
 from seriesprep.operators.labels import apply_scale, fit_scale
+from seriesprep.workspace import stage
 
+KEY = "_row_key"
+GROUPS = 64  # of tasks whose samples are merged first
 CHUNK = 4096  # rows scored at a time
 NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, depth double"
 
@@ -74,10 +79,11 @@ class IsolationForest:
         self.seed, self.complete_rows = seed, complete_rows
 
     def fit(self, train: DataFrame) -> IsolationForestModel:
-        x = train.select(*[col(c).cast("double").alias(c) for c in self.features])
+        atomic = [f.name for f in train.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        x = train.select(*[col(c).cast("double").alias(c) for c in self.features], F.xxhash64(*[col(c) for c in atomic]).alias(KEY))
         medians: dict[str, float] = {}
         if self.complete_rows:
-            x = x.dropna()
+            x = x.dropna(subset=[f"`{c}`" for c in self.features])
         else:
             medians = fit_medians(x, self.features)
             x = impute_saved(x, medians)
@@ -91,37 +97,76 @@ class IsolationForest:
             raise ValueError("the isolation forest needs at least two training rows")
         forest = self._trees(x, n, size)
         model = IsolationForestModel(self.features, medians, scale, forest, size, None)
-        scores = model.score(train, "_score").select("_score")
+        scores = stage(model.score(train, "_score").select("_score"), "scores")
         (threshold,) = exact_quantiles(scores, ["_score"], [1.0 - self.contamination])["_score"]
         model.threshold = threshold
         return model
 
-    def _trees(self, x: DataFrame, n: int, size: int) -> np.ndarray:
-        """Sample up to ``size`` rows per tree and grow the trees in parallel, one per group."""
-        wanted = self.trees * size
-        if n > 2 * wanted:
-            # rows are plenty: thin them out, then deal every row to one tree
-            drawn = x.sample(fraction=min(1.0, 1.5 * wanted / n), seed=self.seed)
-            drawn = drawn.withColumn("tree", F.floor(F.rand(self.seed + 1) * self.trees).cast("int"))
-        else:
-            # every tree considers every row, and takes about twice what it needs
-            drawn = x.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))))
-            drawn = drawn.filter(F.rand(self.seed + 1) < min(1.0, 2.0 * size / n))
-        order = Window.partitionBy("tree").orderBy("_r")
-        drawn = drawn.withColumn("_r", F.rand(self.seed + 2)).withColumn("_k", F.row_number().over(order))
-        limit, seed, features = int(np.ceil(np.log2(size))), self.seed, self.features
-
-        def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-            tree = int(pdf["tree"].iloc[0])
-            nodes = _grow(pdf[features].to_numpy(), np.random.default_rng([seed, tree]), limit)
-            out = pd.DataFrame(nodes, columns=["feature", "cut", "left", "right", "depth"])
-            return out.assign(tree=tree, node=range(len(out)))[
-                ["tree", "node", "feature", "cut", "left", "right", "depth"]
-            ]
-
-        sampled = drawn.filter(F.col("_k") <= size).drop("_r", "_k")
+    def _trees(self, x: DataFrame, n: int, size: int) -> pd.DataFrame:
+        """Draw ``size`` rows per tree and grow the trees in parallel, one per group.
+
+        A tree takes the rows with the smallest hashes of seed, tree and row. Smallest hashes merge: every task keeps those of
+        its rows, some groups of tasks those of their tasks, so a tree's group holds a bounded number of rows and the same rows
+        are drawn whatever the layout.
+        """
+        limit, seed, features, trees = int(np.ceil(np.log2(size))), self.seed, self.features, self.trees
+
+        def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kept = [(np.empty(0, np.uint64), np.empty((0, len(features)))) for _ in range(trees)]
+            for b in batches:
+                data = np.column_stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(len(features))])
+                key = b.column(len(features)).to_numpy().view(np.uint64)
+                for t in range(trees):
+                    kept[t] = _smallest(*kept[t], _mixed(key, seed * trees + t), data, size)
+            for t, (h, rows) in enumerate(kept):
+                if len(h):
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1) * len(features), pa.int32()), pa.array(rows.ravel()))
+                    yield pa.record_batch([pa.array(np.full(len(h), t), pa.int32()), pa.array(h.view(np.int64)), lists], names=["tree", "h", "x"])
+
+        def fewer(table: pa.Table) -> pa.Table:
+            h, rows = _drawn(table, len(features))
+            chosen, rows = _smallest(np.empty(0, np.uint64), np.empty((0, len(features))), h, rows, size)
+            return pa.table([pa.array(np.full(len(chosen), table.column("tree")[0].as_py()), pa.int32()), pa.array(chosen.view(np.int64)),
+                             pa.array(list(rows), pa.list_(pa.float64()))], names=["tree", "h", "x"])
+
+        def grow(table: pa.Table) -> pa.Table:
+            tree = table.column("tree")[0].as_py()
+            h, rows = _drawn(table, len(features))
+            _, rows = _smallest(np.empty(0, np.uint64), np.empty((0, len(features))), h, rows, size)
+            nodes = _grow(rows, np.random.default_rng([seed, tree]), limit)
+            numbers = [np.full(len(nodes), tree), np.arange(len(nodes)), *np.array(nodes, float).T]
+            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.float64()]
+            return pa.table([pa.array(v).cast(k) for v, k in zip(numbers, kinds, strict=True)],
+                            names=["tree", "node", "feature", "cut", "left", "right", "depth"])
+
+        schema = "tree INT, h LONG, x ARRAY<DOUBLE>"
+        drawn = x.select(*[col(c) for c in features], KEY).mapInArrow(draw, schema).withColumn("g", F.spark_partition_id() % GROUPS)
+        drawn = drawn.groupBy("tree", "g").applyInArrow(lambda t: fewer(t), schema)
         # at most trees * 2 * sample_rows nodes
-        return sampled.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
+        return drawn.groupBy("tree").applyInArrow(lambda t: grow(t), NODE_SCHEMA).toPandas()
+
+
+def _mixed(key: np.ndarray, salt: int) -> np.ndarray:
+    """Hashes of keys under a salt: all bits depend on all bits."""
+    with np.errstate(over="ignore"):
+        x = key + np.uint64((salt + 1) * 0x9E3779B97F4A7C15 % 2**64)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        return x ^ (x >> np.uint64(31))
+
+
+def _smallest(h: np.ndarray, rows: np.ndarray, more: np.ndarray, data: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``size`` smallest hashes of both and their rows, in order."""
+    if len(h) == size:
+        low = more < h[-1]
+        more, data = more[low], data[low]
+    h, rows = np.concatenate([h, more]), np.concatenate([rows, data])
+    order = np.lexsort((*rows.T, h))[:size]
+    return h[order], rows[order]
+
+
+def _drawn(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
+    return table.column("h").to_numpy().view(np.uint64), np.array(table.column("x").to_pylist(), float).reshape(-1, width)
 
 
 class IsolationForestModel:
@@ -132,14 +177,7 @@ class IsolationForestModel:
         self.nodes, self.size, self.threshold = nodes, size, threshold
 
     def score(self, df: DataFrame, name: str = "an_score") -> DataFrame:
-        """Anomaly score in (0, 1); null where a feature stays null.
-
-        Scoring is all arithmetic, so rows that come in fewer partitions than there are cores
-        are spread first.
-        """
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
+        """Anomaly score in (0, 1); null where a feature stays null."""
         nodes = self.nodes.sort_values(["tree", "node"])
         start = np.concatenate([[0], np.cumsum(nodes.groupby("tree").size().to_numpy())])
         offset = np.repeat(start[:-1], np.diff(start))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,9 @@ from seriesprep.operators.windows import rolling_stats
 from seriesprep.spec import SeriesSpec
 
 QUARTILES = (0.25, 0.5, 0.75)
-PAIRS_PER_PASS = 400
+MOMENTS = ("n", "mean of x", "mean of y", "squares of x", "squares of y", "products")
+BAND_BYTES = 1 << 20
+MERGE_GROUPS = 256
 
 
 def table_summary(df: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -141,29 +145,73 @@ def mean_by_dow(df: DataFrame, spec: SeriesSpec, columns: Sequence[str]) -> Data
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair over the rows that have both, null for constants.
 
-    Aggregates for the pairs on and above the diagonal, some hundred at a time; the other
-    half mirrors them.
+    One scan: a task multiplies the matrices of its rows, centred, and of what is known in them, which gives counts, means and
+    co-moments of all pairs at once. Matrices are cut into bands of rows and merged band by band, first by groups of tasks.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
-    cells: dict[tuple[int, int], Column] = {}
-    for i, a in enumerate(names):
-        for j in range(i, len(names)):
-            b = names[j]
-            x, y = col(a).cast("double"), col(b).cast("double")
-            sx, sy = F.stddev_pop(F.when(y.isNotNull(), x)), F.stddev_pop(F.when(x.isNotNull(), y))
-            cells[i, j] = F.try_divide(F.covar_pop(x, y), sx * sy)
-    out = None
-    keys = list(cells)
-    for at in range(0, len(keys), PAIRS_PER_PASS):
-        part = keys[at:at + PAIRS_PER_PASS]
-        wide = df.agg(*[cells[i, j].alias(f"_{i}_{j}") for i, j in part])
-        entries = [(i, j, f"_{i}_{j}") for i, j in part] + [(j, i, f"_{i}_{j}") for i, j in part if i != j]
-        rows = F.array(*[
-            F.struct(F.lit(names[i]).alias("x"), F.lit(names[j]).alias("y"), F.col(c).alias("corr")) for i, j, c in entries
-        ])
-        table = wide.select(F.explode(rows).alias("_r")).select("_r.*")
-        out = table if out is None else out.unionByName(table)
-    return out
+    size = len(names)
+    if not size:
+        return df.sparkSession.createDataFrame([], "x string, y string, corr double")
+    high = max(1, min(size, BAND_BYTES // (8 * size * len(MOMENTS))))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(MOMENTS), size, size))
+        for b in batches:
+            if b.num_rows:
+                x = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(size)])
+                total = _merge_moments(total, _moments(x))
+        for lo in range(0, size, high):
+            part = total[:, lo : lo + high]
+            yield pa.record_batch([pa.array([lo], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["band", "m"])
+
+    def merged(table: pa.Table) -> np.ndarray:
+        parts = sorted(table.column("m").to_pylist())  # in an order of their own, so the result does not depend on the shuffle's
+        total = np.frombuffer(parts[0]).reshape(len(MOMENTS), -1, size)
+        for p in parts[1:]:
+            total = _merge_moments(total, np.frombuffer(p).reshape(total.shape))
+        return total
+
+    def fewer(table: pa.Table) -> pa.Table:
+        return pa.table([table.column("band")[:1], pa.array([merged(table).tobytes()], pa.binary())], names=["band", "m"])
+
+    def pairs(table: pa.Table) -> pa.Table:
+        lo, m = table.column("band")[0].as_py(), merged(table)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            corr = m[5] / np.sqrt(m[3] * m[4])
+        known = ((m[3] > 0) & (m[4] > 0)).ravel()
+        x, y = np.indices(corr.shape)
+        return pa.table([pa.array([names[lo + i] for i in x.ravel()]), pa.array([names[j] for j in y.ravel()]), pa.array(corr.ravel(), mask=~known)],
+                        names=["x", "y", "corr"])
+
+    parts = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)]).mapInArrow(measure, "band INT, m BINARY")
+    parts = parts.withColumn("g", F.spark_partition_id() % MERGE_GROUPS).groupBy("band", "g").applyInArrow(lambda t: fewer(t), "band INT, m BINARY")
+    return parts.groupBy("band").applyInArrow(lambda t: pairs(t), "x STRING, y STRING, corr DOUBLE")
+
+
+def _moments(x: np.ndarray) -> np.ndarray:
+    """Counts, means and centred moments of all pairs of columns over the rows that have both."""
+    known = ~np.isnan(x)
+    v = known.astype(float)
+    count = v.sum(axis=0)
+    centre = np.where(known, x, 0.0).sum(axis=0) / np.maximum(count, 1)
+    low, high = (f(np.where(known, x, s), axis=0) for f, s in ((np.min, np.inf), (np.max, -np.inf)))
+    centre = np.where(low == high, low, centre)
+    d = np.where(known, x - centre, 0.0)
+    n, sums, squares, products = v.T @ v, d.T @ v, (d * d).T @ v, d.T @ d
+    many = np.maximum(n, 1)
+    own = np.maximum(squares - sums * sums / many, 0.0)
+    own = np.where(own <= 1e-13 * squares, 0.0, own)  # nothing but rounding is left
+    return np.stack([n, np.where(n > 0, centre[:, None] + sums / many, 0.0), np.where(n > 0, centre[None, :] + sums.T / many, 0.0),
+                     own, own.T, products - sums * sums.T / many])
+
+
+def _merge_moments(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    n = a[0] + b[0]
+    many = np.maximum(n, 1)
+    dx, dy = (np.where((a[0] > 0) & (b[0] > 0), b[k] - a[k], 0.0) for k in (1, 2))
+    share, weight = b[0] / many, a[0] * b[0] / many
+    means = [np.where(a[0] > 0, a[k] + d * share, b[k]) for k, d in ((1, dx), (2, dy))]
+    return np.stack([n, *means, a[3] + b[3] + dx * dx * weight, a[4] + b[4] + dy * dy * weight, a[5] + b[5] + dx * dy * weight])
 
 
 def rolling_volatility(df: DataFrame, spec: SeriesSpec, column: str, size: int = 24, min_periods: int = 8) -> DataFrame:

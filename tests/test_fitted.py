@@ -135,3 +135,51 @@ def test_interpolation_against_pandas(frame):
     out = impute.interpolate_time(unique, SPEC.using(layout="blocked", block_rows=9), ["a"]).toPandas().sort_values("ts")
     want = fn(unique.toPandas().sort_values("ts"))
     np.testing.assert_allclose(out["a"].to_numpy(float), want["a"].to_numpy(float))
+
+
+def test_quantiles_do_not_depend_on_the_counters(spark, monkeypatch):
+    """Few counters mean more passes with fewer bits each; the values stay the same, also for zeros, ties and the ends of the range."""
+    from seriesprep.functions import quantiles
+
+    rng = np.random.default_rng(8)
+    data = pd.DataFrame({"a": rng.normal(0, 1e-300, 501), "b": rng.integers(-3, 3, 501).astype(float), "c": np.where(rng.random(501) < 0.5, -0.0, 0.0),
+                         "d": rng.choice([-np.inf, -1.5e308, 5e-324, 1e308, np.inf, np.nan], 501)})
+    df = spark.createDataFrame(data).repartition(5)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    want = quantiles.exact_quantiles(df, list(data.columns), probs)
+    for c in "abc":
+        np.testing.assert_allclose(want[c], np.quantile(data[c], probs), rtol=1e-12, atol=0)
+    monkeypatch.setattr(quantiles, "CELLS", 100)
+    assert quantiles.exact_quantiles(df, list(data.columns), probs) == want
+
+
+def test_many_columns_and_ranks_at_once(spark):
+    from seriesprep.functions import quantiles
+
+    rng = np.random.default_rng(9)
+    data = pd.DataFrame(rng.normal(size=(60, 300)), columns=[f"c{i}" for i in range(300)])
+    data[data > 1.5] = np.nan
+    probs = [0.05, 0.25, 0.5, 0.75]
+    got = quantiles.exact_quantiles(spark.createDataFrame(data), list(data.columns), probs)
+    for c in data:
+        np.testing.assert_allclose(got[c], np.nanquantile(data[c], probs), rtol=1e-12)
+
+
+def test_correlations_of_many_columns_equal_those_of_pandas(spark, monkeypatch):
+    from seriesprep.operators import profile
+
+    rng = np.random.default_rng(10)
+    data = pd.DataFrame(rng.normal(size=(400, 40)) @ rng.normal(size=(40, 40)), columns=[f"c{i}" for i in range(40)])
+    data["c3"] += 1e7
+    data["c4"] = 0.1
+    data[rng.random(data.shape) < 0.2] = np.nan
+    data["c5"] = np.where(np.arange(400) < 399, np.nan, 1.0)
+    monkeypatch.setattr(profile, "BAND_BYTES", 10_000)
+    out = profile.correlation_matrix(spark.createDataFrame(data).repartition(7)).toPandas()
+    assert len(out) == 1600
+    got = out.pivot(index="x", columns="y", values="corr").astype(float).loc[list(data), list(data)]
+    want = data.corr()
+    want.loc["c4"] = want["c4"] = np.nan
+    np.testing.assert_allclose(got.to_numpy(), want.to_numpy(), rtol=1e-7, atol=1e-7)
+    plan = profile.correlation_matrix(spark.createDataFrame(data))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") == 1

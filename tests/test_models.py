@@ -223,6 +223,17 @@ def test_isolation_forest_on_many_rows_thins_them_out(spark):
     assert model.transform(df).agg(F.avg("an_iso")).first()[0] <= 0.021
 
 
+def test_forest_does_not_depend_on_the_layout(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(size=(2000, 2)))]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    models = [IsolationForest(["a", "b"], trees=7, sample_rows=64).fit(df.repartition(n)) for n in (1, 9)]
+    a, b = (m.nodes.sort_values(["tree", "node"]).reset_index(drop=True) for m in models)
+    assert (a[["tree", "node", "feature", "left", "right"]] == b[["tree", "node", "feature", "left", "right"]]).all().all()
+    np.testing.assert_allclose(a["cut"], b["cut"], rtol=1e-9)
+    assert models[0].threshold == pytest.approx(models[1].threshold)
+
+
 def test_residual_flag_needs_eleven_values(spark):
     def flags(n):
         rows = [("x", i, datetime(2024, 1, 1) + timedelta(hours=i), 100.0 if i == n - 1 else 0.0, 0.0) for i in range(n)]
