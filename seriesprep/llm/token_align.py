@@ -24,8 +24,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -213,15 +215,16 @@ class Aligner:
         return out
 
 
-_aligners: dict[tuple[str, str], Aligner] = {}
-
-
 def aligner(bytes_path: str, pieces_path: str) -> Aligner:
-    """The tokenizers of this Python worker."""
-    key = (bytes_path, pieces_path)
-    if key not in _aligners:
-        _aligners[key] = Aligner(*key)
-    return _aligners[key]
+    """The tokenizers of this Python process.
+
+    Functions travel with the job, and their module's variables with them; what is to outlive a task is kept in a module of its own.
+    """
+    known = sys.modules.setdefault("_token_aligners", ModuleType("_token_aligners")).__dict__
+    key = f"{bytes_path}|{pieces_path}"
+    if key not in known:
+        known[key] = Aligner(bytes_path, pieces_path)
+    return known[key]
 
 
 def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
