@@ -110,11 +110,13 @@ def fit_logistic(train: DataFrame, prep: Preparation, label: str = "y", max_iter
     return _fit(lr, prep, train, label)
 
 
+def tree_classifier(depth: int = 7, leaf: int = 30, seed: int = 42, max_bins: int = 128) -> DecisionTreeClassifier:
+    return DecisionTreeClassifier(maxDepth=depth, minInstancesPerNode=leaf, seed=seed, maxBins=max_bins, maxMemoryInMB=512)
+
+
 def fit_tree_classifier(train: DataFrame, prep: Preparation, label: str = "y", depth: int = 7, leaf: int = 30,
                         seed: int = 42, max_bins: int = 128) -> Forecaster:
-    return _fit(DecisionTreeClassifier(
-        maxDepth=depth, minInstancesPerNode=leaf, seed=seed, maxBins=max_bins, maxMemoryInMB=512,
-    ), prep, train, label)
+    return _fit(tree_classifier(depth, leaf, seed, max_bins), prep, train, label)
 
 
 def fit_forest_classifier(train: DataFrame, prep: Preparation, label: str = "y", trees: int = 300,

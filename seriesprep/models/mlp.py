@@ -6,7 +6,7 @@ order, and the driver takes one Adam step. What comes out is plain mini-batch tr
 the input and the number of tasks. A mini-batch has ``Net.batch`` rows, or more if an epoch would need more than
 ``Net.most_steps`` jobs. The first job of an epoch also scores the validation rows with the weights it starts from. If no
 mini-batch has more than one block, there is nothing to add up: then one task reads the blocks of an epoch in turn
-and takes the same steps, in one job.
+and takes the same steps, in one job, or of some epochs if it can hold the blocks.
 
 Several nets over the same features (cells, for example one per target and horizon) share the blocks and the jobs:
 each has its own labels, fill values, scales and early stop, and a job carries the gradients of all that still train. Only
@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import json
 import math
-import pickle
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -25,6 +24,7 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +37,7 @@ from seriesprep.workspace import fresh_path, stage
 Weights = list[np.ndarray]
 BLOCK_ROWS = 1024
 FAN = 64  # sums are added up by so many
+EPOCHS_HELD, HELD_BYTES = 10, 64 << 20  # of one task
 VALIDATION = -1  # number of the validation rows among the mini-batches
 
 
@@ -262,11 +263,13 @@ class Course:
         self.state.step(grads, self.rate)
 
     def course(self) -> tuple:
-        """What an epoch changes."""
-        return self.state, self.rate, self.best, self.best_w, self.since, self.slow, self.history, self.done
+        """What an epoch changes, as plain values."""
+        state = self.state
+        return (state.w, state.m, state.v, state.steps), self.rate, self.best, self.best_w, self.since, self.slow, self.history, self.done
 
     def follow(self, course: tuple) -> None:
-        self.state, self.rate, self.best, self.best_w, self.since, self.slow, self.history, self.done = course
+        state, self.rate, self.best, self.best_w, self.since, self.slow, self.history, self.done = course
+        self.state = State(*state)
 
     def judge(self, epoch: int, loss: float, val_loss: float) -> None:
         """Keep the best weights, halve the rate without gain, stop without patience."""
@@ -349,10 +352,10 @@ class Blocks:
         if not count:
             return [np.zeros(c.sizes()) for c in courses]
         spark = self.df.sparkSession
-        shared = spark.sparkContext.broadcast(([c.net for c in courses], [c.shared() for c in courses]))
+        shared = spark.sparkContext.broadcast(cloudpickle.dumps(([c.net for c in courses], [c.shared() for c in courses])))
 
         def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            nets, cells = shared.value
+            nets, cells = cloudpickle.loads(shared.value)
             for rb in frames:
                 for block, data, step in zip(*(rb.column(k).to_pylist() for k in range(3)), strict=True):
                     matrix = np.frombuffer(data).reshape(-1, width)
@@ -466,46 +469,57 @@ def _epoch(courses: list[Course], epoch: int, steps: int, last: bool, losses: li
 def _train(blocks: Blocks, courses: list[Course], width: int, net: Net) -> None:
     losses = [[0.0, 0.0] for _ in courses]
     single = max((n for s, n in blocks.counts.items() if s != VALIDATION), default=0) <= 1 and blocks.counts.get(VALIDATION, 0) <= FAN
-    for epoch in range(1, net.epochs + 2):
-        if all(c.done for c in courses):
-            return
-        last = epoch == net.epochs + 1
+    rows = sum(n for n in blocks.counts.values()) * BLOCK_ROWS
+    together = EPOCHS_HELD if rows * width * 8 <= HELD_BYTES else 1  # a task that can hold the blocks reads them once for some epochs
+    epoch = 1
+    while epoch <= net.epochs + 1 and not all(c.done for c in courses):
         if single:
-            losses = _epoch_in_a_task(blocks, courses, width, epoch, last, losses)
+            upto = min(epoch + together, net.epochs + 2)
+            losses = _epochs_in_a_task(blocks, courses, width, range(epoch, upto), net.epochs, losses)
+            epoch = upto
         else:
-            _epoch(courses, epoch, blocks.steps, last, losses, lambda read, active: blocks.sums(read, active, width, epoch))
+            _epoch(courses, epoch, blocks.steps, epoch > net.epochs, losses, lambda read, active, e=epoch: blocks.sums(read, active, width, e))
+            epoch += 1
 
 
-def _epoch_in_a_task(blocks: Blocks, courses: list[Course], width: int, epoch: int, last: bool, losses: list[list[float]]) -> list[list[float]]:
-    """The same epoch taken by one task, which reads block after block; the nets follow."""
-    shared = blocks.df.sparkSession.sparkContext.broadcast((courses, losses))
+def _epochs_in_a_task(blocks: Blocks, courses: list[Course], width: int, epochs: range, last: int, losses: list[list[float]]) -> list[list[float]]:
+    """The same epochs taken by one task, which reads block after block; the nets follow."""
+    shared = blocks.df.sparkSession.sparkContext.broadcast(cloudpickle.dumps((courses, losses)))
     steps = blocks.steps
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, lost = pickle.loads(pickle.dumps(shared.value))
-        rows = (r for rb in frames for r in zip(*(rb.column(k).to_pylist() for k in range(3)), strict=True))
-        ahead = [next(rows, None)]
-
-        def sums(read: Sequence[int], active: list[Course]) -> list[np.ndarray]:
-            totals = [np.zeros(c.sizes()) for c in active]
-            while ahead[0] is not None and ahead[0][2] <= max(read):  # blocks come by step, validation first
-                block, data, step = ahead[0]
-                if step in read:
-                    matrix = np.frombuffer(data).reshape(-1, width)
-                    totals = [t + _cell_sums(matrix, c.net, c.shared(), step, [c.net.seed, epoch, step + 1, block])
-                              for t, c in zip(totals, active, strict=True)]
-                ahead[0] = next(rows, None)
-            return totals
-
-        _epoch(own, epoch, steps, last, lost, sums)
-        for _ in rows:
+        own, lost = cloudpickle.loads(shared.value)
+        stream = (r for rb in frames for r in zip(*(rb.column(k).to_pylist() for k in range(3)), strict=True))
+        held = list(stream) if len(epochs) > 1 else stream
+
+        def one(epoch: int) -> None:
+            rows = iter(held)
+            ahead = [next(rows, None)]
+
+            def sums(read: Sequence[int], active: list[Course]) -> list[np.ndarray]:
+                totals = [np.zeros(c.sizes()) for c in active]
+                while ahead[0] is not None and ahead[0][2] <= max(read):  # blocks come by step, validation first
+                    block, data, step = ahead[0]
+                    if step in read:
+                        matrix = np.frombuffer(data).reshape(-1, width)
+                        totals = [t + _cell_sums(matrix, c.net, c.shared(), step, [c.net.seed, epoch, step + 1, block])
+                                  for t, c in zip(totals, active, strict=True)]
+                    ahead[0] = next(rows, None)
+                return totals
+
+            _epoch(own, epoch, steps, epoch > last, lost, sums)
+
+        for epoch in epochs:
+            if not all(c.done for c in own):
+                one(epoch)
+        for _ in stream:
             pass
-        yield pa.record_batch([pa.array([pickle.dumps(([c.course() for c in own], lost))], pa.binary())], names=["left"])
+        yield pa.record_batch([pa.array([cloudpickle.dumps(([c.course() for c in own], lost))], pa.binary())], names=["left"])
 
     ordered = blocks.df.coalesce(1).sortWithinPartitions("step", "block")
     (row,) = ordered.mapInArrow(run, "left BINARY").collect()
     shared.destroy()
-    left, losses = pickle.loads(row["left"])
+    left, losses = cloudpickle.loads(row["left"])
     for c, course in zip(courses, left, strict=True):
         c.follow(course)
     return losses

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from seriesprep.functions.scalars import bin_right_closed, col
 from seriesprep.metrics import compare_datasets, macro_scores, rmse_finite
-from seriesprep.models import estimators
+from seriesprep.models import estimators, mlp
 from seriesprep.models.estimators import Forecaster, Preparation
 from seriesprep.operators.labels import HORIZONS, baseline_seasonal, label_horizons
 from seriesprep.spec import SeriesSpec
@@ -182,6 +182,88 @@ def classification_sweep(
     return _result_table(df, cells, schema), cells
 
 
+def tuned_tree_sweep(
+    df: DataFrame, spec: SeriesSpec, target: str, features: Sequence[str], edges: Sequence[float], horizons: Sequence[int] = HORIZONS,
+    depths: Sequence[int] = (5, 7, 9, 11), leaves: Sequence[int] = (10, 20, 30, 50), seed: int = 42, parallel: int = 4, split: str = "split",
+) -> tuple[DataFrame, DataFrame]:
+    """Per horizon: a tree tuned on validation, fitted again on train and validation, scored on test next to the current class.
+
+    A horizon's rows are prepared (fill values of train) and staged once for all its fits, and the validation rows
+    meet all trees of the grid in one job. Of equal accuracies the first of the grid wins. Returns the scores and the grid.
+    """
+    name = "y_{h}h"
+    labeled = label_horizons(df, spec.keyed(split), [target], horizons, edges, name)
+    labeled = stage(labeled.withColumn("y_now", bin_right_closed(col(target), edges)), "labeled")
+    grid = [(d, leaf) for d in depths for leaf in leaves]
+
+    def run(h: int) -> tuple[tuple, list[tuple]] | None:
+        label = name.format(h=h)
+        rows = labeled.filter(col(label).isNotNull())
+        sizes = {r[split]: r["count"] for r in rows.groupBy(split).count().collect()}
+        if not all(sizes.get(s) for s in ("train", "val", "test")):
+            return None
+        prep = Preparation.fit(rows_of(rows, "train", split=split), features, "median")
+        ready = stage(prep.transform(rows).select(col(split).alias(split), "features", col(label).cast("double").alias("label"), "y_now"), "prepared")
+        train, val = rows_of(ready, "train", split=split), rows_of(ready, "val", split=split)
+
+        def fit(cell: tuple[int, int], data: DataFrame, p: str):
+            return estimators.tree_classifier(*cell, seed=seed).setPredictionCol(p).setProbabilityCol("").setRawPredictionCol("").fit(data)
+
+        with ThreadPoolExecutor(parallel) as pool:
+            models = list(pool.map(lambda k: fit(grid[k], train, f"p{k}"), range(len(grid))))
+        judged = val
+        for m in models:
+            judged = m.transform(judged)
+        hits = judged.agg(*[F.avg((F.col(f"p{k}") == F.col("label")).cast("int")).alias(f"p{k}") for k in range(len(grid))]).first()
+        best = max(range(len(grid)), key=lambda k: (hits[k], -k))
+        final = fit(grid[best], rows_of(ready, "train", "val", split=split), "prediction")
+        predicted = _as_int(final.transform(rows_of(ready, "test", split=split))).withColumn("label", col("label").cast("int"))
+        test = macro_scores(predicted, "label", "prediction").first()
+        base = macro_scores(predicted.dropna(subset=["y_now"]), "label", "y_now").first()
+        row = (h, *grid[best], hits[best], test["accuracy"], test["macro_f1"], base["accuracy"] if base["n"] else None,
+               base["macro_f1"] if base["n"] else None, test["n"], base["n"] or 0)
+        return row, [(h, *cell, hits[k], k == best) for k, cell in enumerate(grid)]
+
+    done = [r for r in map(run, horizons) if r is not None]
+    spark = df.sparkSession
+    scores = spark.createDataFrame([r for r, _ in done], (
+        "horizon int, depth int, leaf int, val_acc double, test_acc double, test_f1 double, baseline_acc double, baseline_f1 double, "
+        "n_test long, n_baseline long"))
+    cells = spark.createDataFrame([c for _, cs in done for c in cs], "horizon int, depth int, leaf int, val_acc double, best boolean")
+    return scores, cells
+
+
+def mlp_sweep(
+    df: DataFrame, spec: SeriesSpec, targets: Sequence[str], features: Sequence[str], horizons: Sequence[int] = HORIZONS,
+    net: mlp.Net = mlp.REGRESSION, split: str = "split",
+) -> tuple[DataFrame, dict[tuple[str, int], mlp.MlpModel]]:
+    """A perceptron per target and horizon, all trained in the same jobs, with their scores by split next to persistence.
+
+    Each cell learns from the rows that have its label and its current value. Cells with an empty split are skipped.
+    """
+    name = "{t}_tplus_{h}"
+    labeled = stage(label_horizons(df, spec.keyed(split), targets, horizons, name=name), "labeled")
+    cells = [(t, h) for t in targets for h in horizons]
+    label = {c: name.format(t=c[0], h=c[1]) for c in cells}
+    known = {c: col(label[c]).isNotNull() & col(c[0]).isNotNull() for c in cells}
+    sizes = labeled.groupBy(split).agg(*[F.count_if(known[c]).alias(f"_{k}") for k, c in enumerate(cells)]).collect()
+    have = {r[split]: r for r in sizes}
+    cells = [c for k, c in enumerate(cells) if all(s in have and have[s][f"_{k}"] for s in ("train", "val", "test"))]
+    # a label counts where the current value is known
+    usable = labeled.withColumns({label[c]: F.when(known[c], col(label[c])) for c in cells})
+    models = mlp.fit_cells(rows_of(usable, "train", split=split), rows_of(usable, "val", split=split), features,
+                           {c: mlp.Labels({c[0]: label[c]}) for c in cells}, net)
+    scored = rows_of(usable, "train", "val", "test", split=split)
+    for k, c in enumerate(cells):
+        scored = models[c].transform(scored).withColumnRenamed("prediction", f"_p{k}")
+    long = scored.select(col(split).alias("split"), F.explode(F.array(*[F.struct(
+        F.lit(t).alias("target"), F.lit(h).alias("horizon"), col(label[t, h]).alias("y"), F.when(col(label[t, h]).isNotNull(), F.col(f"_p{k}")).alias("p"),
+        col(t).cast("double").alias("now")) for k, (t, h) in enumerate(cells)])).alias("_c")).select("split", "_c.*").filter("y IS NOT NULL")
+    gap, naive = F.col("y") - F.col("p"), F.col("y") - F.col("now")
+    return long.groupBy("split", "target", "horizon").agg(
+        F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(gap * gap)).alias("rmse"), F.sqrt(F.avg(naive * naive)).alias("rmse_naive")), models
+
+
 def _as_int(df: DataFrame) -> DataFrame:
     return df.withColumn("prediction", col("prediction").cast("int"))
 
