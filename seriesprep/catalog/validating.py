@@ -83,9 +83,23 @@ def _(spark, folder):
     return op.target_summary(op.expected_from_raw(raw(spark, folder), HOURLY), HOURLY)
 
 
-@registry("validation_summary")
+STORED = "unix_seconds(CAST(ts AS TIMESTAMP)) + CASE WHEN hour(ts) = 7 THEN 5400 ELSE 0 END"  # seven o'clock is stored after eight
+
+
+def _summary_sql() -> str:
+    cells = [f"SELECT 'column_present' AS \"check\", '{c}' AS \"column\", 0 AS n" for c in ("ts", *SIGNALS)]
+    cells += ["SELECT 'timestamp_parses', 'ts', 0", "SELECT 'unique_times', 'ts', (SELECT count(*) FROM (SELECT ts FROM faulty GROUP BY 1 HAVING count(*) > 1))",
+              "SELECT 'common_times', 'ts', CASE WHEN (SELECT count(*) FROM raw JOIN faulty USING (ts)) > 0 THEN 0 ELSE 1 END",
+              "SELECT 'sorted', 'ts', (SELECT count(*) FILTER (ts < before) FROM (SELECT ts, lag(ts) OVER (ORDER BY epoch(ts) + CASE WHEN hour(ts) = 7 THEN 5400 ELSE 0 END) AS before FROM faulty))"]
+    cells += [f"SELECT 'sentinel', '{c}', (SELECT count(*) FROM raw r JOIN faulty f USING (ts) WHERE r.{c} = '-200' AND f.{c} IS NOT NULL)" for c in SIGNALS]
+    cells += [f"SELECT 'drift', '{c}', (SELECT count(*) FROM clean c JOIN faulty f USING (ts) WHERE abs(f.{c} - c.{c}) > 1e-12)" for c in SIGNALS]
+    return f"""SELECT "check", "column", CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END AS status, CAST(n AS BIGINT) AS "count" FROM ({' UNION ALL '.join(cells)})"""
+
+
+@registry("validation_summary", f"WITH {FAULTY_SQL} {_summary_sql()}")
 def _(spark, folder):
-    return op.validation_summary(raw(spark, folder), faulty_clean(spark, folder), HOURLY)
+    stored = faulty_clean(spark, folder).withColumn("stored", F.expr(STORED))
+    return op.validation_summary(raw(spark, folder), stored, HOURLY, ordinal="stored")
 
 
 @registry("preprocess", f"""WITH {CLEAN_SQL} SELECT ts, {many(HOURLY.targets)}, {many(

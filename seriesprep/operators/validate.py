@@ -156,31 +156,36 @@ def target_summary(clean: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 def validation_summary(
     raw: DataFrame, clean: DataFrame, spec: SeriesSpec, date: str = "Date", time: str = "Time",
-    allow_imputation: bool = False, drop_missing_targets: bool = False, rtol: float = 0.0, atol: float = 1e-12,
+    allow_imputation: bool = False, drop_missing_targets: bool = False, rtol: float = 0.0, atol: float = 1e-12, ordinal: str | None = None,
 ) -> DataFrame:
-    """All checks as rows (check, column, status, count); missing columns stop the others."""
+    """All checks as rows (check, column, status, count); missing columns stop the others.
+
+    Raw and clean values of the same time are joined once, and all comparisons are counted over that join. With ``ordinal``, a column that
+    tells the order of the clean rows as they were stored, rows out of time order are counted, too.
+    """
     gate = check_columns(clean, spec)
     if gate.filter(F.col("status") == "fail").limit(1).count():
         return gate
     clean = clean.withColumn(spec.ts, col(spec.ts).try_cast("timestamp_ntz"))
-    numbers = raw_numbers(raw, spec, date, time)
-    repeats = is_sorted_unique(clean, spec).select(
-        F.lit("unique_times").alias("check"), F.lit(spec.ts).alias("column"), F.col("repeated_times").alias("count")
-    )
-    sentinel = check_sentinel(numbers, clean, spec, None, drop_missing_targets).select(
-        F.lit("sentinel").alias("check"), "column", (F.col("raw_sentinels") - F.col("clean_nulls")).alias("count")
-    )
-    drift = check_drift(numbers, clean, spec, None, allow_imputation, rtol, atol, drop_missing_targets).select(
-        F.lit("drift").alias("check"), "column", F.col("drifted").alias("count")
-    )
-    expected = expected_from_raw(raw, spec, date, time, drop_missing_targets)
-    overlap = common_timestamps(expected, clean, spec).agg(F.count(F.lit(1)).alias("_n")).select(
-        F.lit("common_times").alias("check"), F.lit(spec.ts).alias("column"),
-        F.when(F.col("_n") > 0, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("count"),
-    )
-    found = repeats.unionByName(sentinel).unionByName(drift).unionByName(overlap)
+    order = is_sorted_unique(clean, spec, ordinal).select(F.array(*[
+        _count_of(check, spec.ts, F.col(c)) for check, c in (("unique_times", "repeated_times"), ("sorted", "out_of_order")) if ordinal or c != "out_of_order"
+    ]).alias("_c"))
+    both, names = _paired(raw_numbers(raw, spec, date, time), clean, spec, spec.signals, drop_missing_targets)
+    firm = spec.targets if allow_imputation else spec.signals
+    counts = [_count_of("common_times", spec.ts, F.when(F.count(F.lit(1)) > 0, F.lit(0)).otherwise(F.lit(1)))]
+    for i, n in enumerate(names):
+        r, c = F.col(f"_r{i}"), F.col(f"_c{i}")
+        counts.append(_count_of("sentinel", n, F.count_if((r == SENTINEL) & c.isNotNull())))
+        if n in firm:
+            far = F.abs(c - r) > F.lit(atol) + F.lit(rtol) * F.abs(r)
+            counts.append(_count_of("drift", n, F.count_if(r.isNotNull() & (r != SENTINEL) & far)))
+    found = order.unionByName(both.agg(F.array(*counts).alias("_c"))).select(F.explode("_c").alias("_c")).select("_c.*")
     status = F.when(F.col("count") == 0, "pass").otherwise("fail")
-    return gate.unionByName(found.select("check", "column", status.alias("status"), F.col("count").cast("long").alias("count")))
+    return gate.unionByName(found.select("check", "column", status.alias("status"), "count"))
+
+
+def _count_of(check: str, column: str, count: Column) -> Column:
+    return F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"), count.cast("long").alias("count"))
 
 
 def passed(summary: DataFrame) -> bool:
