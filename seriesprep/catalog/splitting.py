@@ -130,14 +130,32 @@ def _(spark, folder):
     return spark.createDataFrame(rows, "fold int, part string, start timestamp_ntz, end timestamp_ntz")
 
 
-@registry("splits_manifest", f"""WITH {SPLIT_SQL} SELECT split, min(ts) AS "start", max(ts) AS "end", 24 AS purge_hours FROM splitted GROUP BY split""")
+def _manifest_sql() -> str:
+    """Every entry of the manifest as a row: splits with counts, folds moved inside the data, and the request."""
+    folds = " UNION ALL ".join(
+        f"SELECT 'fold {i} {part}' AS entry, (SELECT min(ts) FROM hourly WHERE ts >= {sql_ts(r[0])}) AS \"start\", (SELECT max(ts) FROM hourly WHERE ts <= {sql_ts(r[1])}) AS \"end\", "
+        "NULL AS rows, NULL AS percent" for i, fold in enumerate(WINDOWS) for part, r in zip(("train", "val"), fold))
+    return f"""WITH {SPLIT_SQL}, entries AS (SELECT split AS entry, min(ts) AS "start", max(ts) AS "end", count(*) AS rows,
+      round(100.0 * count(*) / (SELECT count(*) FROM splitted), 2) AS percent FROM splitted GROUP BY split UNION ALL {folds})
+      SELECT *, (SELECT count(*) FROM hourly) AS total_rows, 24 AS purge_hours, 'ratios' AS mode, '1,6,12,24' AS horizons, false AS warned FROM entries"""
+
+
+@registry("splits_manifest", _manifest_sql())
 def _(spark, folder):
     df = hourly(spark, folder)
     path = fresh_path(spark, "splits")
-    op.write_manifest(spark, op.splits_manifest(df, HOURLY, hourly_splits(df, purge_hours=24)), path)
-    splits = op.read_manifest(spark, path)
-    rows = [(n, *splits.ranges[n], splits.purge_hours) for n in op.SPLITS]
-    return spark.createDataFrame(rows, "split string, start timestamp_ntz, end timestamp_ntz, purge_hours int")
+    splits = op.make_splits(df, HOURLY, ratios={}, folds=WINDOWS, purge_hours=24)
+    manifest = op.splits_manifest(df, HOURLY, splits)
+    op.write_manifest(spark, manifest, path)
+    again = op.read_manifest(spark, path)
+    counts = manifest["summary"]
+    rows = [(n, *again.ranges[n], counts[f"{n}_rows"], counts[f"{n}_pct"]) for n in op.SPLITS]
+    rows += [(f"fold {i} {part}", *fold[part], None, None) for i, fold in enumerate(again.rolling_cv) for part in ("train", "val")]
+    horizons = ",".join(map(str, again.horizons))
+    whole = (counts["total_rows"], again.purge_hours, again.mode, horizons, "warning" in manifest)
+    return spark.createDataFrame([(*r, *whole) for r in rows], (
+        "entry string, start timestamp_ntz, end timestamp_ntz, rows long, percent double, total_rows long, purge_hours int, mode string, "
+        "horizons string, warned boolean"))
 
 
 @registry("assemble_clean", f"WITH {HOURLY_SQL} SELECT ts, {r6('click', 'click')}, {r6('view', 'view')} FROM hourly")
