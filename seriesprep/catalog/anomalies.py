@@ -78,11 +78,22 @@ def _(spark, folder):
     return op.anomaly_counts(flagged(spark, folder, True))
 
 
-@registry("isolation_forest")
-def _(spark, folder):
+def _scored_lines(spark, folder):
     items = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     forest = IsolationForest(features).fit(items.filter(F.col("l_returnflag") != "R"))
-    return forest.transform(items, "an_iso").groupBy("l_returnflag").agg(
+    return forest.transform(items, "an_iso")
+
+
+# the threshold is the 0.98 quantile of the training scores, so one row in fifty lies above it
+@registry("isolation_forest_share", "SELECT count(*) AS n, CAST(0.02 AS DOUBLE) AS share FROM lineitem WHERE l_returnflag <> 'R'")
+def _(spark, folder):
+    train = _scored_lines(spark, folder).filter(F.col("l_returnflag") != "R")
+    return train.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("an_iso"), 2).alias("share"))
+
+
+@registry("isolation_forest")
+def _(spark, folder):
+    return _scored_lines(spark, folder).groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"), F.sum("an_iso").alias("n_iso"))

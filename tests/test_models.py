@@ -65,6 +65,34 @@ def test_tuning_keeps_the_first_best(frame):
     assert sum(r["best"] for r in rows) == 1
 
 
+def test_tuned_trees_are_fitted_again_and_scored(frame):
+    scores, grid = sweep.tuned_tree_sweep(frame, SERIES, "v", FEATURES, (8.0, 12.0), (1, 109, 110), (2, 4), (5, 10))
+    rows, cells = scores.collect(), grid.collect()
+    assert [r["horizon"] for r in rows] == [1, 109]
+    for r in rows:
+        own = [c for c in cells if c["horizon"] == r["horizon"]]
+        assert len(own) == 4 and sum(c["best"] for c in own) == 1
+        best = max(own, key=lambda c: c["val_acc"])  # the first of the best
+        assert best["best"] and (r["depth"], r["leaf"], r["val_acc"]) == (best["depth"], best["leaf"], best["val_acc"])
+    assert rows[0]["test_acc"] > rows[0]["baseline_acc"] + 0.1 and rows[0]["n_test"] == rows[0]["n_baseline"] == 109
+    # the same tree as the plain steps give: tuned on validation, fitted again on train and validation
+    df = labels.label_horizons(frame, SERIES.keyed("split"), ["v"], (1,), (8.0, 12.0), "y_{h}").dropna(subset=["y_1"])
+    (depth, leaf), _ = sweep.tune_tree(df, FEATURES, "y_1", (2, 4), (5, 10))
+    prep = est.Preparation.fit(sweep.rows_of(df, "train"), FEATURES, "median")
+    model = sweep.refit_train_val(lambda t, p, y: est.fit_tree_classifier(t, p, y, depth, leaf), df, prep, "y_1")
+    hit = (F.col("prediction") == F.col("y_1")).cast("int")
+    assert rows[0]["test_acc"] == pytest.approx(model.transform(sweep.rows_of(df, "test")).agg(F.avg(hit)).first()[0])
+
+
+def test_perceptrons_of_a_sweep_beat_persistence(frame):
+    net = mlp.Net(hidden=(16,), dropout=0.0, rate=0.01, batch=64, epochs=30)
+    scores, models = sweep.mlp_sweep(frame, SERIES, ["v"], FEATURES, (1, 6, 110), net)
+    rows = {(r["split"], r["horizon"]): r for r in scores.collect()}
+    assert set(models) == {("v", 1), ("v", 6)} and len(rows) == 6
+    assert rows["test", 1]["rmse"] < 0.7 * rows["test", 1]["rmse_naive"] and rows["test", 1]["n"] == 109
+    assert rows["test", 6]["n"] == 104
+
+
 def test_a_cell_with_an_empty_split_is_skipped(frame):
     fit = lambda t, p, y: est.fit_tree_classifier(t, p, y, depth=2, leaf=5)
     table, _ = sweep.classification_sweep(frame, SERIES, "v", FEATURES, fit, (8.0, 12.0), (1, 109, 110))
