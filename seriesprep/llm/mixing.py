@@ -12,7 +12,8 @@ moved nor stored. Steps end when the targets are met within ``TOLERANCE`` of all
 
 Defined results: null or empty texts have no tokens and the intercept's posterior. Labels that are null or of unknown
 documents are left out; of several labels of one id the largest domain counts, so toxic before poor before good. Without any labels all
-posteriors are equal. Repeated rows count each. Targets of unreachable domains (no tokens expected) are left out. Very long texts are read in
+posteriors are equal. Repeated rows count each. A target of None leaves the domain its share among the domains of no target. Targets of
+unreachable domains (no tokens expected) are left out. Very long texts are read in
 pieces. An empty table gives an empty result; columns other than id and text play no part.
 """
 
@@ -136,12 +137,21 @@ def _totals(members: DataFrame, steps: list[np.ndarray], k: int) -> tuple[np.nda
     return np.array(row[:k]), gram
 
 
-def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, steps: int = STEPS) -> tuple[Column, np.ndarray, np.ndarray]:
+def wanted_tokens(have: np.ndarray, targets: tuple[float | None, ...]) -> np.ndarray:
+    """Tokens by domain: shares as given; domains without a target share what is left as they do now."""
+    given = np.array([0.0 if t is None else t for t in targets])
+    free = np.array([t is None for t in targets])
+    if not free.any() or not have[free].sum():
+        return given / max(given.sum(), 1e-300) * have.sum()
+    return np.where(free, have / have[free].sum() * (1 - given.sum()), given) * have.sum()
+
+
+def fit_rates(members: DataFrame, targets: tuple[float | None, ...] = TARGETS, steps: int = STEPS) -> tuple[Column, np.ndarray, np.ndarray]:
     """The rate as a column over ``members``, and the expected and the wanted tokens of each domain."""
     taken: list[np.ndarray] = []
     have, whole = _totals(members, taken, len(targets))
     total, gram = have.sum(), whole
-    wanted = np.array(targets) / sum(targets) * total
+    wanted = wanted_tokens(have, targets)
     if not total:
         return _rate(taken), have, wanted
     metric = np.linalg.pinv(whole, rcond=1e-9, hermitian=True)
@@ -165,7 +175,7 @@ def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, steps: i
 
 
 def mix(
-    docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, labels: DataFrame, targets: tuple[float | None, ...] = TARGETS, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Id, ``_key``, ``n_tokens``, the posteriors by name of domain, and ``rate`` of every row."""
     members = stage(memberships(docs, fit_domains(docs, labels, id_col, text_col), id_col, text_col), "memberships")
@@ -177,7 +187,7 @@ def mix(
 
 
 def with_rates(
-    docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, labels: DataFrame, targets: tuple[float | None, ...] = TARGETS, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` that have a positive rate, with all their columns and ``n_tokens``, posteriors and ``rate``.
 

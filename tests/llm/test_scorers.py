@@ -251,6 +251,13 @@ def test_rates_meet_targets_when_many_are_cut_off(spark):
     assert mixing.MISSED < np.abs(have - wanted).max() / wanted.sum() < 1e-3
 
 
+def test_targets_may_be_left_open():
+    have = np.array([700.0, 100.0, 200.0])
+    np.testing.assert_allclose(mixing.wanted_tokens(have, (None, None, 0.04)), [840.0, 120.0, 40.0])
+    np.testing.assert_allclose(mixing.wanted_tokens(have, (0.5, 0.3, 0.2)), [500.0, 300.0, 200.0])
+    np.testing.assert_allclose(mixing.wanted_tokens(np.zeros(3), (None, None, 0.5)), np.zeros(3))
+
+
 def test_conflicting_labels_are_settled_alike(spark):
     docs = hard.table(spark, [(1, "a b c"), (2, "d e f"), (3, None)])
     labels = [(1, 1, 0), (1, 0, 0), (1, 1, 1), (2, 1, 0), (2, 0, 0), (3, 1, 0)]
