@@ -128,3 +128,43 @@ def test_training_rows_are_bounded(spark):
     docs, labels = made(spark, 300, extra=[(5, f"copy {k}", "aa", "s") for k in range(300)])
     rows = tx.training_rows(docs, labels, "doc_id", "text", "lang", 60)
     assert 20 <= rows.count() <= 110
+
+
+def test_all_labelled_rows_are_learned_from(spark, few_steps):
+    """Each bad word stands in a dozen of 40,000 rows: a sample of 10,000 would miss most of them."""
+    ids = spark.range(40_000).select(F.col("id").alias("doc_id"))
+    bad = F.when(F.col("doc_id") < 600, F.concat(F.lit(" bad"), (F.col("doc_id") % 50).cast("string"))).otherwise(F.lit(""))
+    docs = ids.withColumn("text", F.concat(F.lit("w"), (F.col("doc_id") % 97).cast("string"), bad)).withColumn("lang", F.lit("aa"))
+    labels = ids.withColumn("toxic", (F.col("doc_id") < 600).cast("int"))
+    kept = ids.filter(~tx.held_out(F.col("doc_id")))
+    assert tx.training_rows(docs, labels, "doc_id", "text", "lang").count() == kept.count() > 30_000
+    made = tx.fit(docs, labels)
+    words = np.concatenate([codes for _, _, codes, _ in tx.word_codes(pa.array([f"bad{k}" for k in range(50)]))])
+    assert np.isin(words, made.vocabulary).all()
+    found = made.score(docs.filter("doc_id < 700"), "text", "doc_id").toPandas()
+    assert (found.score[found.doc_id < 600].min() > found.score[found.doc_id >= 600].max())
+
+
+def test_thresholds_of_a_table(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    score = np.concatenate([rng.random(300).round(2).clip(1e-26, 1), 1 / (1 + np.exp(-rng.normal(0, 9, 300))), [1.0, 1.0, 1 / (1 + np.exp(60.0))]])
+    toxic = (rng.random(len(score)) < score).astype(float)
+    lang = rng.choice(["aa", "bb", "cc", None], len(score), p=[0.6, 0.3, 0.02, 0.08])
+    rows = [(float(s), float(t), k) for s, t, k in zip(score, toxic, lang, strict=True)]
+    table = spark.createDataFrame(rows, "score DOUBLE, _toxic DOUBLE, _lang STRING").repartition(3)
+    wanted = {None: tx.best_threshold(score, toxic)} | {k: tx.best_threshold(score[lang == k], toxic[lang == k]) for k in ("aa", "bb")}
+    for bins in (tx.LOGIT_BINS, 1):
+        monkeypatch.setattr(tx, "LOGIT_BINS", bins)
+        assert tx.thresholds(table) == wanted
+    assert tx.thresholds(table.limit(0)) == tx.thresholds(table.filter("_toxic = 0")) == {None: 0.5}
+
+
+def test_many_shards_learn_the_same(spark, few_steps, monkeypatch):
+    docs, labels = made(spark, 200)
+    first = tx.classify(docs, labels).toPandas().sort_values("doc_id").score.to_numpy()
+    monkeypatch.setattr(tx, "SHARD_ROWS", 16)
+    monkeypatch.setattr(tx, "GRADIENTS", 2)
+    monkeypatch.setattr(tx, "SLICE_POSITIONS", 50)
+    assert tx._groups(9) == [5, 3, 2] and tx._groups(2) == []
+    again = tx.classify(docs, labels).toPandas().sort_values("doc_id").score.to_numpy()
+    assert np.abs(first - again).max() < 1e-3
