@@ -11,8 +11,9 @@ two characters that are not white space, and both tokenise what lies between suc
 the vocabulary); texts are therefore made of units, and a task aligns each unit once. A chunk asks for the count of
 each of its distinct pairs once, with the copies of its texts that hold it summed up; a pair's count is joined to these requests,
 not to texts, and the answers return to their chunk. No group holds more than one chunk; a frequent pair has one request per chunk, in a
-join that Spark may split. The highest count of each A id is broadcast: one row per id of the vocabulary at most. Long texts
-are read in pieces. A stretch without such a blank is tokenised in one go, whatever its length.
+join that Spark may split. The units of a chunk name their pairs by place among the chunk's; these lists, most of a chunk, are kept as packed
+bytes, so that Spark moves about 1 MB a chunk and has no elements to copy. The highest count of each A id is broadcast: one row per id of the
+vocabulary at most. Long texts are read in pieces. A stretch without such a blank is tokenised in one go, whatever its length.
 
 Defined results: texts that are null, empty, or whose joined token bytes differ from the blank and the text have no tokens: all measures
 0, digest ''. Repeated rows and null ids are documents of their own. An empty table gives an empty result. Columns other than id and
@@ -159,9 +160,10 @@ class Aligner:
         new = [s for s in dict.fromkeys(strings) if s not in self.known]
         if new:
             parts, held, size = [self.units], [], 0
-            plain = [s for s in new if s and not s[0].isspace() and not s[-1].isspace() and BLANK not in s]
-            alone = set(plain)
-            for s in plain if self.cuts else []:
+            plain, other = [], []
+            for s in new:
+                (plain if self.cuts and s and s == s.strip() and BLANK not in s else other).append(s)
+            for s in plain:
                 held.append(s)
                 size += len(s)
                 if size >= BATCH_CHARS:
@@ -169,11 +171,9 @@ class Aligner:
                     held, size = [], 0
             if held:
                 parts.append(self.align(held))
-            other = [s for s in new if not self.cuts or s not in alone]
             parts += [self.align([s]) for s in other]
-            for s in [*(plain if self.cuts else []), *other]:
-                self.known[s] = len(self.known)
-                self.chars += len(s)
+            self.known.update(zip([*plain, *other], range(len(self.known), len(self.known) + len(new)), strict=True))
+            self.chars += sum(map(len, new))
             self.units = _joined(parts)
         return np.fromiter(map(self.known.__getitem__, strings), np.int64, len(strings))
 
@@ -238,16 +238,28 @@ def _salt(id_col: str):
 
 
 _LISTS = {
-    "key": pa.binary(), "copies": pa.int64(), "salts": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(),
-    "n_links": pa.int64(), "digest": pa.string(), "n_units": pa.int32(), "unit": pa.int32(), "times": pa.int32(),
-    "n_pairs": pa.int32(), "pair": pa.int64(), "pair_times": pa.int32(),
+    "key": pa.binary(), "salts": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(),
+    "digest": pa.string(), "pair": pa.int64(), "pair_copies": pa.int64(),
 }
-_SQL = {pa.binary(): "BINARY", pa.int64(): "LONG", pa.int32(): "INT", pa.string(): "STRING"}
-CHUNK_SCHEMA = "chunk BINARY, " + ", ".join(f"`{n}` ARRAY<{_SQL[t]}>" for n, t in _LISTS.items())
+_PACKED = ("n_units", "unit", "times", "n_pairs", "place", "pair_times")
+_SQL = {pa.binary(): "BINARY", pa.int64(): "LONG", pa.string(): "STRING"}
+CHUNK_SCHEMA = "chunk BINARY, " + ", ".join([*(f"`{n}` ARRAY<{_SQL[t]}>" for n, t in _LISTS.items()), *(f"`{n}` BINARY" for n in _PACKED)])
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, in as few bytes each as the largest takes: their width, then one after the other."""
+    most = int(values.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
 def _chunk(own: Aligner, texts: list[str], copies: list[int], salts: list[int]) -> pa.RecordBatch:
-    """One row: per text its key, copies, measures and units; per unit of the chunk its pairs."""
+    """One row: per text its key, measures and units; per unit of the chunk the places of its pairs; and the chunk's distinct pairs, each
+    with the number of documents of the chunk that hold it linked."""
     found = own.of_texts(texts)
     none = np.empty(0, np.int64)
     numbers = [f[0] if f else none for f in found]
@@ -257,14 +269,23 @@ def _chunk(own: Aligner, texts: list[str], copies: list[int], salts: list[int])
     text = np.repeat(np.arange(len(texts)), sizes)
     sums = np.zeros((len(texts), 4), np.int64)
     np.add.at(sums, text, own.units.counts[chosen] * times[:, None])
+    n_pairs = own.units.n_pairs[used]
     at, _ = _spread(own.units.n_pairs, used)
+    pairs, place = np.unique(own.units.pairs[at], return_inverse=True)
+    pair_times = own.units.times[at]
+    at, owner = _spread(n_pairs, local)
+    held = np.sort(text[owner] * len(pairs) + place[at])  # not np.unique, whose hash table takes several times as long
+    held = held[np.diff(held, prepend=-1) > 0]
+    pair_copies = np.zeros(len(pairs), np.int64)
+    if len(pairs):
+        np.add.at(pair_copies, held % len(pairs), np.array(copies, np.int64)[held // len(pairs)])
     keys = [hashlib.sha256(t.encode()).digest() for t in texts]
-    out = dict(zip(_LISTS, [
-        keys, copies, salts, *sums.T, [f[2] if f else "" for f in found], sizes, local, times,
-        own.units.n_pairs[used], own.units.pairs[at], own.units.times[at]], strict=True))
+    out = dict(zip(_LISTS, [keys, salts, *sums.T, [f[2] if f else "" for f in found], pairs, pair_copies], strict=True))
+    packed = [pack(x) for x in (sizes, local, times, n_pairs, place, pair_times)]
     own.forget()
     lists = [pa.ListArray.from_arrays(pa.array([0, len(out[n])], pa.int32()), pa.array(out[n], t)) for n, t in _LISTS.items()]
-    return pa.record_batch([pa.array([keys[0]], pa.binary()), *lists], names=["chunk", *_LISTS])
+    return pa.record_batch(
+        [pa.array([keys[0]], pa.binary()), *lists, *(pa.array([x], pa.binary()) for x in packed)], names=["chunk", *_LISTS, *_PACKED])
 
 
 def align_texts(texts: DataFrame, bytes_path: str, pieces_path: str) -> DataFrame:
@@ -287,10 +308,6 @@ def align_texts(texts: DataFrame, bytes_path: str, pieces_path: str) -> DataFram
     return texts.select("text", "copies", "salts").mapInArrow(run, CHUNK_SCHEMA)
 
 
-def _list(b: pa.RecordBatch | pa.Table, name: str, row: int) -> np.ndarray:
-    return b.column(name)[row].values.to_numpy(zero_copy_only=False)
-
-
 def _spread(counts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Flat positions of the items of the chosen owners, who have ``counts`` items each, and which choice each belongs to."""
     starts = np.concatenate([[0], np.cumsum(counts)])
@@ -302,23 +319,7 @@ def _spread(counts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def requests(chunks: DataFrame) -> DataFrame:
     """``chunk``, ``pair``, ``copies``: of every chunk's distinct pairs, in how many documents of the chunk each is linked."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in range(b.num_rows):
-                names, where = np.unique(_list(b, "pair", r), return_inverse=True)
-                if not len(names):
-                    continue
-                copies = _list(b, "copies", r)
-                at, owner = _spread(_list(b, "n_pairs", r).astype(np.int64), _list(b, "unit", r))
-                text = np.repeat(np.arange(len(copies)), _list(b, "n_units", r))[owner]
-                held = np.unique(text * len(names) + where[at])
-                total = np.zeros(len(names), np.int64)
-                np.add.at(total, held % len(names), copies[held // len(names)])
-                yield pa.record_batch([
-                    pa.array([b.column("chunk")[r].as_py()] * len(names), pa.binary()), pa.array(names), pa.array(total)],
-                    names=["chunk", "pair", "copies"])
-
-    return chunks.select("chunk", "copies", "n_units", "unit", "n_pairs", "pair").mapInArrow(run, "chunk BINARY, pair LONG, copies LONG")
+    return chunks.select("chunk", F.inline(F.arrays_zip("pair", "pair_copies")).alias("pair", "copies"))
 
 
 def measures(chunks: DataFrame, size_b: int) -> tuple[DataFrame, DataFrame]:
@@ -336,14 +337,13 @@ def measures(chunks: DataFrame, size_b: int) -> tuple[DataFrame, DataFrame]:
         count, top = right.column("count").to_numpy()[order], right.column("best").to_numpy(zero_copy_only=False)[order].astype(np.int64)
         rows = []
         for r in range(left.num_rows):
-            pair, often, n_pairs = (_list(left, n, r).astype(np.int64) for n in ("pair", "pair_times", "n_pairs"))
-            at = np.searchsorted(pairs[order], pair)
+            n_units, chosen, times, n_pairs, place, often = (unpack(left.column(n)[r].as_py()) for n in _PACKED)
+            at = np.searchsorted(pairs[order], left.column("pair")[r].values.to_numpy())[place]
             unit = np.repeat(np.arange(len(n_pairs)), n_pairs)
             worth = np.zeros((2, len(n_pairs)), np.int64)
-            if len(pair):
+            if len(at):
                 for k, value in enumerate((top, count)):
                     np.add.at(worth[k], unit, often * value[at])
-            n_units, chosen, times = (_list(left, n, r).astype(np.int64) for n in ("n_units", "unit", "times"))
             text = np.repeat(np.arange(len(n_units)), n_units)
             sums = np.zeros((2, len(n_units)), np.int64)
             for k in range(2):
@@ -356,7 +356,7 @@ def measures(chunks: DataFrame, size_b: int) -> tuple[DataFrame, DataFrame]:
     empty = pa.table([pa.array([], pa.binary()), *[pa.array([], pa.int64())] * (1 + len(MEASURES)), pa.array([], pa.string())],
                      names=["key", "salts", *MEASURES, "digest"])
     schema = "key BINARY, salts LONG, " + ", ".join(f"{m} LONG" for m in MEASURES) + ", digest STRING"
-    per_text = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(answered, schema)
+    per_text = chunks.drop("pair_copies").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(answered, schema)
     return per_text, counts
 
 

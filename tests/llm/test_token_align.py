@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -116,3 +117,18 @@ def test_no_unbounded_group_in_the_plan(spark):
     docs = hard.table(spark)
     texts = ta.distinct_texts(docs, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in texts and "SortAggregate" not in texts and "collect" not in texts
+
+
+def test_a_chunk_takes_little_more_than_its_text():
+    rng = random.Random(8)
+    known = ["".join(rng.choices("aeioubcdlmnrst", k=rng.randrange(2, 9))) for _ in range(20_000)]
+    texts = [" ".join(rng.choices(known, k=400)) for _ in range(200)]
+    row = ta._chunk(ta.aligner(A_PATH, B_PATH), texts, [1] * len(texts), [1] * len(texts))
+    assert row.num_rows == 1 and row.nbytes < 1.5 * sum(map(len, texts))
+
+
+@pytest.mark.parametrize(("most", "width"), [(0, 1), (255, 1), (256, 2), (65_536, 4), (1 << 32, 8)])
+def test_packed_numbers_come_back(most, width):
+    values = np.array([0, 1, most], np.int64)
+    assert len(ta.pack(values)) == 1 + 3 * width and ta.unpack(ta.pack(values)).tolist() == values.tolist()
+    assert ta.unpack(ta.pack(values[:0])).tolist() == []
