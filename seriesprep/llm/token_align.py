@@ -12,7 +12,7 @@ the vocabulary); texts are therefore made of units, and a task aligns each unit
 each of its distinct pairs once, with the copies of its texts that hold it summed up; a pair's count is joined to these requests,
 not to texts, and the answers return to their chunk. No group holds more than one chunk; a frequent pair has one request per chunk, in a
 join that Spark may split. The units of a chunk name their pairs by place among the chunk's; these lists, most of a chunk, are kept as packed
-bytes, so that Spark moves about 1 MB a chunk and has no elements to copy. The highest count of each A id is broadcast: one row per id of the
+bytes, so that Spark moves about 1.4 MB a chunk and has no elements to copy. The highest count of each A id is broadcast: one row per id of the
 vocabulary at most. Long texts are read in pieces. A stretch without such a blank is tokenised in one go, whatever its length.
 
 Defined results: texts that are null, empty, or whose joined token bytes differ from the blank and the text have no tokens: all measures
